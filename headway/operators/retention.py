@@ -24,19 +24,20 @@ def newer_bytes(segs: DataFrame) -> DataFrame:
     """Adds the bytes of all newer segments.
 
     Two levels: a running sum inside each day, plus the sum of later days. The
-    one ordered pass over everything sees a row per day, never a raw row.
+    one ordered pass over everything sees a row per day, never a raw row. The
+    null-safe join keeps both sides' segments the same plan, computed once.
     """
     dated = segs.withColumn("day", F.to_date("segment_start"))
     before = (Window.unboundedPreceding, -1)
     days = dated.groupBy("day").agg(F.sum("bytes").alias("day_bytes"))
     later = days.select(
-        "day",
+        F.col("day").alias("of_day"),
         F.sum("day_bytes").over(Window.orderBy(F.desc("day")).rowsBetween(*before)).alias("later"),
     )
     same_day = Window.partitionBy("day").orderBy(F.desc("segment_start")).rowsBetween(*before)
     return (
         dated.withColumn("same_day", F.sum("bytes").over(same_day))
-        .join(later, "day")
+        .join(later, F.col("day").eqNullSafe(F.col("of_day")))
         .select(
             "segment_start",
             "bytes",

@@ -1,0 +1,209 @@
+"""Streams against batch, restarts, retries, sinks and life cycle."""
+
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from headway.operators import clean, history, parse, serving, windows
+from headway.plans import views
+from headway.plans.batch import zoneless
+from headway.sources import files
+from headway.streaming import runner, sinks
+from headway.streaming.runner import ONCE
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+@pytest.fixture(scope="module")
+def parts(spark, small, tmp_path_factory):
+    """Cleaned telemetry in three files of mixed times, and the same as a table."""
+    folder = str(tmp_path_factory.mktemp("parts"))
+    df = views.cleaned(spark, small).withColumn("ts", F.col("ts").cast("timestamp"))
+    for i in range(3):
+        df.where(F.col("event_id") % 3 == i).coalesce(1).write.parquet(f"{folder}/part={i}")
+    return folder, df
+
+
+def stream(spark, parts):
+    folder, df = parts
+    return files.read_table_stream(spark, f"{folder}/*", df.schema, per_trigger=1)
+
+
+def batch_result(parts):
+    return windows.sliding_avg(parts[1])
+
+
+COLUMNS = ("route_id", "window_start", "window_end", "average_delay_seconds")
+
+
+@pytest.mark.parametrize("mode", ["snapshot", "upsert"])
+def test_stream_equals_batch_over_several_batches(spark, parts, folder, mode):
+    averages = windows.sliding_avg(stream(spark, parts))
+    runner.finish(sinks.write_lake(averages, f"{folder}/lake", f"{folder}/cp", mode, trigger=ONCE))
+    lake = spark.read.parquet(f"{folder}/lake")
+    assert lake.select("batch_id").distinct().count() == 3
+    want = rows(batch_result(parts).select(*COLUMNS))
+    assert rows(sinks.read_snapshots(spark, f"{folder}/lake").select(*COLUMNS)) == want
+    sizes = [r["count"] for r in lake.groupBy("batch_id").count().orderBy("batch_id").collect()]
+    if mode == "snapshot":
+        # every window again after each batch, so a plain average counts old states too
+        assert sizes == sorted(sizes) and sizes[-1] == len(want) < sum(sizes)
+    else:
+        assert sum(sizes) < 3 * len(want)
+
+
+def test_a_batch_written_twice_counts_once(spark, parts, folder):
+    batch_result(parts).write.parquet(sinks.batch_folder(folder, 0, 0))
+    batch_result(parts).write.mode("overwrite").parquet(sinks.batch_folder(folder, 0, 0))
+    assert spark.read.parquet(folder).count() == batch_result(parts).count()
+
+
+def test_runs_are_ordered_before_batches(spark, folder):
+    old = spark.createDataFrame([("7", 1, 1.0)], "route_id string, window_end int, average_delay_seconds double")
+    old = old.withColumn("window_start", F.lit(0))
+    old.write.parquet(sinks.batch_folder(folder, 0, 9))
+    old.withColumn("average_delay_seconds", F.lit(2.0)).write.parquet(sinks.batch_folder(folder, 1, 0))
+    assert sinks.read_snapshots(spark, folder).first().average_delay_seconds == 2.0
+
+
+def test_restart_goes_on_from_the_checkpoint(spark, parts, folder):
+    source, df = f"{folder}/source", parts[1]
+    for i in (0, 1):
+        df.where(F.col("event_id") % 2 == i).write.parquet(f"{source}/part={i}")
+        averages = windows.sliding_avg(files.read_table_stream(spark, f"{source}/*", df.schema))
+        query = sinks.write_lake(averages, f"{folder}/lake", f"{folder}/cp", trigger=ONCE)
+        runner.finish(query)
+        assert [n for _, n in runner.batch_counts(query)] == [df.where(F.col("event_id") % 2 == i).count()]
+    got = sinks.read_snapshots(spark, f"{folder}/lake").select(*COLUMNS)
+    assert rows(got) == rows(batch_result(parts).select(*COLUMNS))
+
+
+def test_compacted_lake_holds_the_last_values_by_date(spark, parts, folder):
+    averages = windows.sliding_avg(stream(spark, parts))
+    runner.finish(sinks.write_lake(averages, f"{folder}/lake", f"{folder}/cp", trigger=ONCE))
+    sinks.compact_lake(spark, f"{folder}/lake", f"{folder}/table")
+    table = spark.read.parquet(f"{folder}/table")
+    assert rows(table.select(*COLUMNS)) == rows(batch_result(parts).select(*COLUMNS))
+    assert table.where("event_date <> to_date(window_start)").count() == 0
+
+
+def test_lake_of_json_lines_reads_like_the_batch_layer_expects(spark, parts, folder):
+    struct = stream(spark, parts).groupBy(F.window("ts", "5 minutes", "1 minute"), "route_id")
+    averages = windows.flatten_window(
+        struct.agg(F.avg("delay_seconds").alias("average_delay_seconds")), as_text=True
+    )
+    query = sinks.write_lake(averages, f"{folder}/lake", f"{folder}/cp", "snapshot", fmt="json", trigger=ONCE)
+    runner.finish(query)
+    lake = files.read_lake(spark, f"{folder}/lake/run_id=0/batch_id=2")
+    assert rows(history.historical_avg(lake)) == rows(history.historical_avg(batch_result(parts)))
+
+
+def test_watermark_bounds_results_and_needs_none_for_complete(spark, parts, folder):
+    late = windows.sliding_avg(stream(spark, parts), late="10 minutes")
+    runner.finish(sinks.write_lake(late, f"{folder}/lake", f"{folder}/cp", "final", trigger=ONCE))
+    final = spark.read.parquet(f"{folder}/lake")
+    assert final.count() == final.select("route_id", "window_start").distinct().count()
+    assert final.count() < batch_result(parts).count()
+
+
+def test_named_serving_table_answers_sql(spark, parts, folder):
+    averages = windows.sliding_avg(stream(spark, parts))
+    runner.finish(sinks.serve_named(averages, "serving_test", f"{folder}/t", f"{folder}/cp", ONCE))
+    assert rows(files.serving_view(spark, "serving_test").select(*COLUMNS)) == rows(
+        batch_result(parts).select(*COLUMNS)
+    )
+    n = spark.sql("SELECT count(*) AS n FROM serving_test WHERE route_id = '13'").first().n
+    assert n == batch_result(parts).where("route_id = '13'").count()
+    sinks.show_top(spark, "serving_test", 3)
+
+
+def test_serving_table_has_the_current_row_of_each_route(spark, parts, folder):
+    averages = windows.sliding_avg(stream(spark, parts))
+    runner.finish(sinks.upsert_serving(averages, f"{folder}/s", f"{folder}/cp", ONCE))
+    want = serving.latest_per_route(batch_result(parts))
+    assert rows(sinks.read_serving(spark, f"{folder}/s").select(*want.columns)) == rows(want)
+
+
+def test_old_serving_versions_go_but_the_newest_stay(spark, folder):
+    df = spark.createDataFrame([(1,)], "x int")
+    for v in range(5):
+        sinks._publish(df.withColumn("v", F.lit(v)), folder, v, keep=2)
+    assert sorted(sinks._versions(spark, folder)) == [3, 4]
+    assert sinks.read_serving(spark, folder).first().v == 4
+
+
+def test_two_sinks_share_one_query(spark, parts, folder):
+    averages = windows.sliding_avg(stream(spark, parts))
+    query = sinks.run_two_sinks(averages, f"{folder}/lake", f"{folder}/s", f"{folder}/cp", trigger=ONCE)
+    runner.finish(query)
+    assert len(runner.batch_counts(query)) == 3
+    assert all(ms > 0 for _, ms in runner.batch_durations(query))
+    lake = sinks.read_snapshots(spark, f"{folder}/lake")
+    assert rows(lake.select(*COLUMNS)) == rows(batch_result(parts).select(*COLUMNS))
+    want = serving.latest_per_route(lake)
+    assert rows(sinks.read_serving(spark, f"{folder}/s").select(*want.columns)) == rows(want)
+
+
+def test_empty_batches_write_nothing(spark, parts, folder):
+    seen = []
+    nothing = stream(spark, parts).where("delay_seconds > 100000")
+    runner.finish(runner.each_batch(nothing, lambda b, i: seen.append(i), f"{folder}/cp", trigger=ONCE))
+    assert seen == []
+
+
+def test_complete_callback_gets_the_whole_aggregate(spark, parts, folder):
+    sizes = []
+    counts = stream(spark, parts).groupBy("route_id").count()
+    runner.finish(runner.run_complete(counts, lambda b, i: sizes.append(b.count()), f"{folder}/cp", ONCE))
+    assert sizes[-1] == parts[1].select("route_id").distinct().count()
+
+
+def test_a_failing_callback_fails_the_query(spark, parts, folder):
+    def fail(batch, batch_id):
+        raise ValueError("no")
+
+    with pytest.raises(Exception, match="no"):
+        runner.finish(runner.each_batch(stream(spark, parts), fail, f"{folder}/cp", trigger=ONCE))
+
+
+def test_raw_text_lands_unchanged_and_parses_again(spark, small, folder):
+    payloads = views.payloads(spark, small)
+    payloads.select("payload").write.text(f"{folder}/in")
+    lines = files.read_text_stream(spark, f"{folder}/in", per_trigger=1)
+    raw = lines.select(F.col("value").alias("payload"))
+    runner.finish(sinks.land_raw(raw, f"{folder}/raw", f"{folder}/cp", trigger=ONCE))
+    landed = spark.read.text(f"{folder}/raw")
+    assert rows(landed) == rows(payloads.select("payload"))
+    again = parse.parse_telemetry(landed.withColumnRenamed("value", "payload"))
+    assert clean.clean_telemetry(again).count() == clean.clean_telemetry(parse.parse_telemetry(payloads)).count()
+
+
+def test_a_running_query_refreshes_and_stops(spark, parts, folder):
+    averages = windows.sliding_avg(stream(spark, parts))
+    queries = [
+        sinks.run_serving(averages, f"{folder}/s", f"{folder}/cp1", "1 second"),
+        sinks.show_stream(stream(spark, parts), f"{folder}/cp2", runner.every("1 second")),
+    ]
+    end = time.time() + 60
+    while time.time() < end and not sinks._versions(spark, f"{folder}/s"):
+        time.sleep(0.5)
+    queries[0].processAllAvailable()
+    assert queries[0].isActive
+    runner.stop_all(queries)
+    assert not any(q.isActive for q in queries)
+    assert sinks.read_serving(spark, f"{folder}/s").count() == parts[1].select("route_id").distinct().count()
+
+
+def test_zoneless_keeps_other_columns(spark):
+    df = spark.sql("select timestamp'2024-01-01 00:00:00' as t, 1 as i")
+    assert zoneless(df).dtypes == [("t", "timestamp_ntz"), ("i", "int")]
+
+
+def test_kafka_reader_is_only_missing_its_jar(spark):
+    from headway.sources import topics
+
+    with pytest.raises(Exception, match="(?i)kafka"):
+        topics.read_topic(spark, "localhost:9", "t")
