@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .. import schemas
 from ..functions import numbers, times
@@ -21,6 +22,16 @@ def unwrap_envelope(payload: Column) -> Column:
     return F.coalesce(F.get_json_object(payload, "$.payload"), payload)
 
 
+def json_fields(payload: Column, schema: StructType, options: dict[str, str] | None = None) -> Column:
+    """The fields of a JSON object as columns; NULLs where the text is broken.
+
+    ``inline`` over one struct makes the parse a row generator. Later filters
+    stay above it, so the text is parsed once; a filter moved below a plain
+    projection would repeat ``from_json`` for every field it tests.
+    """
+    return F.inline(F.array(F.from_json(payload, schema, options)))
+
+
 def parse_telemetry(
     df: DataFrame,
     dialect: str = "tolerant",
@@ -48,10 +59,8 @@ def parse_telemetry(
     else:
         raise ValueError(f"unknown dialect {dialect!r}")
     others = [f for f in schema.fieldNames() if f not in ("timestamp", "delay_seconds")]
-    return (
-        df.select(*keep, F.from_json(F.col(payload), schema).alias("data"))
-        .select(*keep, "data.*")
-        .select(*keep, *others, delay.alias("delay_seconds"), ts.alias("ts"))
+    return df.select(*keep, json_fields(F.col(payload), schema)).select(
+        *keep, *others, delay.alias("delay_seconds"), ts.alias("ts")
     )
 
 
@@ -60,10 +69,8 @@ def parse_lake_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     return (
         lines.where(F.trim(F.col(value)) != "")
         .select(
-            F.from_json(
-                F.col(value), schemas.LAKE_LINE, {"columnNameOfCorruptRecord": "broken"}
-            ).alias("data")
+            json_fields(F.col(value), schemas.LAKE_LINE, {"columnNameOfCorruptRecord": "broken"})
         )
-        .where(F.col("data").isNotNull() & F.col("data.broken").isNull())
-        .select("data.route_id", "data.average_delay_seconds")
+        .where(F.col("broken").isNull())
+        .drop("broken")
     )

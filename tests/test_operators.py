@@ -64,6 +64,18 @@ def test_strict_dialects_null_what_they_cannot_read(spark):
     assert s2 == [("r", 123.0, at("00:00:05")), ("r", 123.0, start), ("r", 123.0, None)]
 
 
+def test_null_and_partial_texts_keep_their_row(spark):
+    df = texts(spark, None, "", '{"route_id":"7","delay_seconds":5', "{'route_id':'8'}")
+    got = parse.parse_telemetry(df).select("route_id", "delay_seconds", "ts").collect()
+    assert [tuple(r) for r in got][:2] == [(None, None, None)] * 2
+    assert len(got) == 4 and got[3].route_id == "8"
+
+
+def test_filters_do_not_repeat_the_parse(spark):
+    df = clean.rejected_telemetry(parse.parse_telemetry(texts(spark, "{}")))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+
+
 def test_unknown_dialect(spark):
     with pytest.raises(ValueError):
         parse.parse_telemetry(texts(spark, "{}"), "s9")
