@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -81,19 +82,24 @@ def snapshot_order():
     return F.shiftleft(F.col("run_id").cast("bigint"), 40) + F.col("batch_id")
 
 
-def latest_snapshot(lake: DataFrame, order=None) -> DataFrame:
-    """Last written average per route and window.
+def latest(lake: DataFrame, keys: Sequence[str], values: Sequence[str], order=None) -> DataFrame:
+    """Last written values of each key, by ``order`` or ``batch_id``.
 
-    The values and the order are fixed-width, so Spark keeps them in a hash
-    aggregate with map-side combine; a struct in ``max_by`` would force a sort
-    of the lake. Each batch holds a window once, so all ``max_by`` agree.
+    Values and order are fixed-width, so Spark keeps them in a hash aggregate
+    with map-side combine; a struct in ``max_by`` would force a sort of the
+    lake. Each batch holds a key once, so all ``max_by`` agree.
     """
     order = F.col("batch_id") if order is None else order
-    return (
-        lake.withColumn("_order", order)
-        .groupBy("route_id", "window_start")
-        .agg(
-            F.max_by("window_end", "_order").alias("window_end"),
-            F.max_by("average_delay_seconds", "_order").alias("average_delay_seconds"),
-        )
-    )
+    last = [F.max_by(v, "_order").alias(v) for v in values]
+    return lake.withColumn("_order", order).groupBy(*keys).agg(*last)
+
+
+def latest_snapshot(lake: DataFrame, order=None) -> DataFrame:
+    """Last written average per route and window."""
+    keys = ("route_id", "window_start")
+    return latest(lake, keys, ("window_end", "average_delay_seconds"), order)
+
+
+def latest_panes(lake: DataFrame, order=None) -> DataFrame:
+    """Last written sum and count per route and pane."""
+    return latest(lake, ("route_id", "pane"), ("delay_sum", "delay_count"), order)

@@ -357,6 +357,7 @@ ORACLE = {
     ),
     "stream_sliding_delay": _query("w", _WINDOWED),
     "stream_upsert_delay": _query("w", _WINDOWED),
+    "stream_panes": _query("w", _WINDOWED),
     "stream_speed_layer": _query("p", _PARSED_CLEAN),
     "stream_late_drop": _query(
         "slid c",
@@ -380,3 +381,4 @@ ORACLE = {
     "raw_landing": _query("text", "SELECT payload AS value FROM text"),
     "text_tail": _query("text", "SELECT payload AS value FROM text"),
 }
+ORACLE["stream_quarantine"] = ORACLE["telemetry_rejects"]

@@ -64,6 +64,23 @@ def stream_upsert_delay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _to_lake(spark, _windowed(spark, sf_dir), "upsert")
 
 
+def stream_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pane sums in state and lake, rolled up to sliding averages on read."""
+    folder = shared_folder(spark, "panes")
+    sums = windows.pane_sums(clean.clean_telemetry(_telemetry(spark, sf_dir)))
+    finish(sinks.write_lake(sums, f"{folder}/data", f"{folder}/checkpoint", trigger=ONCE))
+    return zoneless(sinks.read_panes(spark, f"{folder}/data"))
+
+
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected payloads of a topic, by reason."""
+    folder = shared_folder(spark, "rejects")
+    rows = views.as_payloads(views.as_telemetry(_events(spark, sf_dir)))
+    parsed = parse.parse_telemetry(rows, keep=("event_id",))
+    finish(sinks.write_rejects(parsed, f"{folder}/data", f"{folder}/checkpoint", ONCE))
+    return spark.read.parquet(f"{folder}/data").select("event_id", "reason")
+
+
 def stream_speed_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of a topic to averages: text, parse, clean, window, lake."""
     records = _payloads(spark, sf_dir).select(F.col("payload").cast("binary").alias("value"))
@@ -157,6 +174,8 @@ QUERIES = {
     for f in (
         stream_sliding_delay,
         stream_upsert_delay,
+        stream_panes,
+        stream_quarantine,
         stream_speed_layer,
         stream_late_drop,
         stream_serving,

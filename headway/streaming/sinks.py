@@ -11,10 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.history import latest_snapshot, snapshot_order
+from ..operators.clean import rejected_telemetry
+from ..operators.history import latest_panes, latest_snapshot, snapshot_order
 from ..operators.serving import latest_per_route
 from ..operators.topics import pair_lines, to_topic_rows
-from ..operators.windows import TOP, top_delays
+from ..operators.windows import SIZE, SLIDE, TOP, roll_panes, top_delays
 from .runner import ONCE, Trigger, each_batch, every, writer
 
 LAKE_MODES = {"snapshot": "complete", "upsert": "update", "final": "append"}
@@ -36,7 +37,7 @@ def write_lake(
     fmt: str = "parquet",
     trigger: Trigger = None,
 ) -> StreamingQuery:
-    """Windowed averages of each batch to the lake.
+    """Windowed averages (or pane sums) of each batch to the lake.
 
     ``snapshot`` writes every window again after each batch. ``upsert`` writes
     only the windows the batch changed; ``read_snapshots`` keeps the last one.
@@ -55,6 +56,25 @@ def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
     return latest_snapshot(spark.read.parquet(path), snapshot_order())
 
 
+def read_panes(
+    spark: SparkSession, path: str, size: str = SIZE, slide: str = SLIDE
+) -> DataFrame:
+    """Sliding averages of a lake that holds pane sums.
+
+    A stream of ``pane_sums`` keeps and writes one row per route and minute
+    where a stream of ``sliding_avg`` has five.
+    """
+    return roll_panes(latest_panes(spark.read.parquet(path), snapshot_order()), size, slide)
+
+
+def write_rejects(
+    df: DataFrame, path: str, checkpoint: str, trigger: Trigger = None
+) -> StreamingQuery:
+    """Quarantine of parsed rows no average takes up, in a folder per reason."""
+    out = writer(rejected_telemetry(df), checkpoint, "append", trigger)
+    return out.format("parquet").partitionBy("reason").start(path)
+
+
 def write_table(df: DataFrame, path: str, ts: str) -> None:
     """Parquet by ``event_date``.
 

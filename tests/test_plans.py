@@ -43,6 +43,15 @@ def test_filters_reach_the_scan(spark, small):
     assert "GreaterThanOrEqual(ts" in plan(batch.views.as_telemetry(df))
 
 
+def test_dates_prune_the_table(spark, small, tmp_path):
+    from headway.streaming import sinks
+
+    sinks.write_table(views.telemetry(spark, small), str(tmp_path), "ts")
+    day = spark.read.parquet(str(tmp_path)).where("event_date = date'2024-01-05'")
+    assert re.search(r"PartitionFilters: \[[^\]]*event_date", plan(day))
+    assert 0 < day.count() < 100
+
+
 def test_top_needs_no_full_sort(spark, small):
     assert "TakeOrderedAndProject" in plan(batch.top_delays(spark, small))
 

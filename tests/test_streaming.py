@@ -55,6 +55,15 @@ def test_stream_equals_batch_over_several_batches(spark, parts, folder, mode):
         assert sum(sizes) < 3 * len(want)
 
 
+def test_panes_hold_less_and_give_the_same_averages(spark, parts, folder):
+    sums = windows.pane_sums(stream(spark, parts))
+    runner.finish(sinks.write_lake(sums, f"{folder}/lake", f"{folder}/cp", trigger=ONCE))
+    got = sinks.read_panes(spark, f"{folder}/lake").select(*COLUMNS)
+    want = batch_result(parts).select(*COLUMNS)
+    assert rows(got) == rows(want)
+    assert spark.read.parquet(f"{folder}/lake").count() < want.count() / 4
+
+
 def test_a_batch_written_twice_counts_once(spark, parts, folder):
     batch_result(parts).write.parquet(sinks.batch_folder(folder, 0, 0))
     batch_result(parts).write.mode("overwrite").parquet(sinks.batch_folder(folder, 0, 0))
