@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 DIGITS_PATTERN = r"(\d+[a-zA-Z]?)"
 FULL_PATTERN = r"([A-Z]?\d+[A-Za-z]?)"
 
+# Fixed value: characters that count as white space around a line.
+WHITE = " \t\n\r\x0b\x0c"
+
 
 def route_code(route: Column, mode: str = "digits") -> Column:
     """Short code of a route text; ``''`` when it holds no digit.
@@ -23,7 +26,7 @@ def route_code(route: Column, mode: str = "digits") -> Column:
 
 def strip(text: Column) -> Column:
     """Without leading and trailing white space of any kind (tabs, newlines)."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.btrim(text, F.lit(WHITE))
 
 
 def split_pair(line: Column) -> tuple[Column, Column]:

@@ -61,20 +61,23 @@ def split_pairs(lines: DataFrame, value: str = "value") -> DataFrame:
 
 
 def pair_avg(pairs: DataFrame) -> DataFrame:
-    """Average (two decimals) per non-empty route of typed pairs."""
+    """Average (two decimals) per non-empty route, over the numeric delays."""
+    delay = F.col("average_delay_seconds")
+    if dict(pairs.dtypes)["average_delay_seconds"] == "string":
+        delay = to_double(delay)
+    # Texts that are no number are NULL to the average; a filter for them would
+    # run the conversion once more per row. Routes without any leave afterwards.
     return (
         pairs.where(F.col("route_id") != "")
         .groupBy("route_id")
-        .agg(round2(F.avg("average_delay_seconds")).alias("average_delay"))
+        .agg(round2(F.avg(delay)).alias("average_delay"))
+        .where(F.col("average_delay").isNotNull())
     )
 
 
 def route_avg_strict(reports: DataFrame) -> DataFrame:
     """Average per route over rows with both a route and a numeric delay."""
-    numeric = route_pairs(reports).withColumn(
-        "average_delay_seconds", to_double(F.col("average_delay_seconds").cast("string"))
-    )
-    return pair_avg(route_pairs(numeric))
+    return pair_avg(route_pairs(reports))
 
 
 def snapshot_order():

@@ -65,7 +65,8 @@ def parse_telemetry(
 
 
 def parse_lake_lines(lines: DataFrame, value: str = "value") -> DataFrame:
-    """JSON lines to ``route_id`` and the delay as text; blank and broken lines leave."""
+    """JSON lines to ``route_id`` and the delay as text; blank lines, broken lines
+    and lines that hold no object leave."""
     return (
         lines.where(F.trim(F.col(value)) != "")
         .select(
