@@ -64,14 +64,18 @@ def stream_upsert_delay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _to_lake(spark, _windowed(spark, sf_dir), "upsert")
 
 
-def stream_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pane sums in state and lake, rolled up to sliding averages on read."""
+def _to_pane_lake(spark: SparkSession, rows: DataFrame) -> DataFrame:
     folder = shared_folder(spark, "panes")
-    sums = windows.pane_sums(clean.clean_telemetry(_telemetry(spark, sf_dir)))
+    sums = windows.pane_sums(clean.clean_telemetry(rows))
     finish(sinks.write_lake(sums, f"{folder}/data", f"{folder}/checkpoint", trigger=ONCE))
     return zoneless(sinks.read_panes(spark, f"{folder}/data"))
 
 
+def stream_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pane sums in state and lake, rolled up to sliding averages on read."""
+    return _to_pane_lake(spark, _telemetry(spark, sf_dir))
+
+
 def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rejected payloads of a topic, by reason."""
     folder = shared_folder(spark, "rejects")
@@ -82,10 +86,9 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_speed_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bytes of a topic to averages: text, parse, clean, window, lake."""
+    """Bytes of a topic to averages: text, parse, clean, pane sums, lake, windows."""
     records = _payloads(spark, sf_dir).select(F.col("payload").cast("binary").alias("value"))
-    rows = parse.parse_telemetry(parse.payload_text(records))
-    return _to_lake(spark, windows.sliding_avg(clean.clean_telemetry(rows)), "upsert")
+    return _to_pane_lake(spark, parse.parse_telemetry(parse.payload_text(records)))
 
 
 def stream_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -48,7 +48,7 @@ def write_lake(
     def land(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").format(fmt).save(batch_folder(path, run_id, batch_id))
 
-    return each_batch(df, land, checkpoint, LAKE_MODES[mode], trigger)
+    return each_batch(df, land, checkpoint, LAKE_MODES[mode], trigger, skip_empty=False)
 
 
 def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
@@ -198,7 +198,7 @@ def upsert_serving(
     def publish(batch: DataFrame, batch_id: int) -> None:
         _publish(_with_previous(latest_per_route(batch), path, batch_id), path, batch_id)
 
-    return each_batch(df, publish, checkpoint, "update", trigger)
+    return each_batch(df, publish, checkpoint, "update", trigger, skip_empty=False)
 
 
 def run_serving(
@@ -222,7 +222,7 @@ def serve_named(
         _publish(batch, path, batch_id)
         read_serving(spark, path).createOrReplaceTempView(name)
 
-    return each_batch(df, publish, checkpoint, "complete", trigger)
+    return each_batch(df, publish, checkpoint, "complete", trigger, skip_empty=False)
 
 
 def run_two_sinks(
@@ -243,9 +243,11 @@ def run_two_sinks(
         folder = batch_folder(lake, run_id, batch_id)
         batch.write.mode("overwrite").parquet(folder)
         landed = batch.sparkSession.read.parquet(folder)
-        _publish(_with_previous(latest_per_route(landed), serving, batch_id), serving, batch_id)
+        if not landed.isEmpty():
+            current = _with_previous(latest_per_route(landed), serving, batch_id)
+            _publish(current, serving, batch_id)
 
-    return each_batch(df, land, checkpoint, "update", trigger)
+    return each_batch(df, land, checkpoint, "update", trigger, skip_empty=False)
 
 
 # ---- display ------------------------------------------------------------

@@ -64,6 +64,14 @@ def test_panes_hold_less_and_give_the_same_averages(spark, parts, folder):
     assert spark.read.parquet(f"{folder}/lake").count() < want.count() / 4
 
 
+def test_state_is_updated_once_per_batch(spark, parts, folder):
+    averages = windows.sliding_avg(stream(spark, parts))
+    query = sinks.run_two_sinks(averages, f"{folder}/lake", f"{folder}/s", f"{folder}/cp", trigger=ONCE)
+    runner.finish(query)
+    updated = sum(p["stateOperators"][0]["numRowsUpdated"] for p in query.recentProgress)
+    assert updated == spark.read.parquet(f"{folder}/lake").count()
+
+
 def test_a_batch_written_twice_counts_once(spark, parts, folder):
     batch_result(parts).write.parquet(sinks.batch_folder(folder, 0, 0))
     batch_result(parts).write.mode("overwrite").parquet(sinks.batch_folder(folder, 0, 0))
