@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.delays import live_minutes
+from ..functions.numbers import mean_of
 from ..functions.text import first_present
+from .windows import SIZE
 
 
 def latest_per_route(windowed: DataFrame, newer: str | None = None) -> DataFrame:
@@ -28,6 +30,25 @@ def latest_per_route(windowed: DataFrame, newer: str | None = None) -> DataFrame
     )
 
 
+def latest_from_panes(panes: DataFrame, size: str = SIZE) -> DataFrame:
+    """The same rows straight from pane sums, without building any window.
+
+    A route's newest window starts at its newest pane and holds no other pane,
+    so its average is that pane's.
+    """
+    newest = panes.groupBy("route_id").agg(
+        F.max("pane").alias("window_start"),
+        F.max_by("delay_sum", "pane").alias("delay_sum"),
+        F.max_by("delay_count", "pane").alias("delay_count"),
+    )
+    return newest.select(
+        "route_id",
+        "window_start",
+        (F.col("window_start") + F.expr(f"INTERVAL {size}")).alias("window_end"),
+        mean_of(F.col("delay_sum"), F.col("delay_count")).alias("average_delay_seconds"),
+    )
+
+
 def known_routes(df: DataFrame, routes: DataFrame, key: str = "route_id") -> DataFrame:
     """Rows whose route is in the dimension.
 

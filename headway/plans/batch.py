@@ -151,6 +151,10 @@ def polls_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def serving_current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return serving.latest_per_route(views.windowed(spark, sf_dir))
+
+
+def serving_from_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.current(spark, sf_dir)
 
 
@@ -274,6 +278,7 @@ QUERIES = {
         feed_flatten,
         polls_count,
         serving_current,
+        serving_from_panes,
         merge_layers,
         serving_coverage,
         lambda_view,

@@ -263,6 +263,7 @@ ORACLE = {
     "polls_count": """
         SELECT time_bucket(INTERVAL 30 SECOND, ts) AS poll_ts, count(*) AS records FROM events GROUP BY 1""",
     "serving_current": _query("cur", _CURRENT),
+    "serving_from_panes": _query("cur", _CURRENT),
     "merge_layers": _query("merged", "SELECT route, baseline_minutes, delay_minutes FROM merged"),
     "serving_coverage": _query(
         "store",

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from ..functions import times
 from ..operators.clean import clean_telemetry
 from ..operators.history import union_lake
-from ..operators.serving import latest_per_route
-from ..operators.windows import sliding_avg
+from ..operators.serving import latest_from_panes
+from ..operators.windows import pane_sums, sliding_avg
 from ..sources import dims
 
 # Fixed "now" of the board and of retention: never the clock.
@@ -52,7 +52,7 @@ def windowed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latest_per_route(windowed(spark, sf_dir))
+    return latest_from_panes(pane_sums(cleaned(spark, sf_dir)))
 
 
 def _quoted(name: str, value) -> F.Column:

@@ -28,7 +28,7 @@ def test_averages_combine_before_each_shuffle(spark, small):
 
 
 def test_latest_rows_use_hash_aggregates(spark, small):
-    for query in (batch.latest_snapshot, batch.serving_current):
+    for query in (batch.latest_snapshot, batch.serving_current, batch.serving_from_panes):
         text = plan(query(spark, small))
         assert "partial_max_by" in text and "SortAggregate" not in text
 

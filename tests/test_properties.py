@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from headway.functions import delays, numbers, text
-from headway.operators import history, monitor, retention, windows
+from headway.operators import history, monitor, retention, serving, windows
 
 START = dt.datetime(2024, 1, 1)
 FEW = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
@@ -38,6 +38,30 @@ def test_sliding_average_by_brute_force(spark, data):
     assert sum(len(v) for v in groups.values()) == 5 * len(data)
 
 
+@FEW
+@given(telemetry_rows)
+def test_newest_pane_is_the_newest_window(spark, data):
+    df = frame(spark, data)
+    slow = serving.latest_per_route(windows.sliding_avg(df))
+    fast = serving.latest_from_panes(windows.pane_sums(df)).select(*slow.columns)
+    assert sorted(map(tuple, fast.collect())) == sorted(map(tuple, slow.collect()))
+
+
+def test_a_third_of_all_rows_in_one_group(spark):
+    """One route and minute with a third of the rows: same results, a row per key and task."""
+    hot = F.col("id") % 3 == 0
+    minute = F.when(hot, 0).otherwise(F.col("id") % 500)
+    df = spark.range(0, 300_000, 1, 16).select(
+        F.when(hot, "hot").otherwise(F.concat(F.lit("r"), F.col("id") % 50)).alias("route_id"),
+        (F.col("id") % 1000).cast("int").alias("delay_seconds"),
+        (F.lit(START).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), minute.cast("int"))).alias("ts"),
+    )
+    got = windows.sliding_avg(df).where("route_id = 'hot'").collect()
+    delays_ = [i % 1000 for i in range(0, 300_000, 3)]
+    assert len(got) == 5 and {r.average_delay_seconds for r in got} == {sum(delays_) / len(delays_)}
+    assert serving.latest_from_panes(windows.pane_sums(df)).count() == df.select("route_id").distinct().count()
+
+
 @FEW
 @given(telemetry_rows)
 def test_panes_lose_no_row(spark, data):
