@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-_local_scratch: str | None = None
-
 
 def build(app: str = "headway", cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A local session for tests and the bench; a cluster brings its own."""
@@ -44,18 +41,14 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``, which all executors can reach.
-
-    Only where that setting is absent (a local test session) a temporary
-    folder of this machine takes its place.
-    """
-    global _local_scratch
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+def shared_root(spark: SparkSession) -> str:
+    """The folder all executors can reach: ``spark.checkpoint.dir``, else one in the warehouse."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        if _local_scratch is None:
-            _local_scratch = tempfile.mkdtemp(prefix="headway-")
-        root = _local_scratch
-    return f"{root.rstrip('/')}/headway/{purpose}-{uuid.uuid4().hex}"
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    return f"{root.rstrip('/')}/headway"
+
+
+def shared_folder(spark: SparkSession, purpose: str) -> str:
+    """A new folder name below the shared root; the same rule for every master."""
+    return f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"
