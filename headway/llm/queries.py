@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, packing, token_counts
+from . import ann, bpe, chat, packing, token_counts, topk
 
 WORD_BPE = "word_bpe_49k.json"
 PIECE_BPE = "piece_bpe_32k.model"
@@ -37,13 +37,28 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_chats(rows.unionByName(extra)))
 
 
+def op5_term_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op7_one_bit_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op9_segment_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_curve_packing, op2_transducer_counts, op4_chat_format, op9_segment_tree_bpe)
+    for f in (
+        op1_curve_packing,
+        op2_transducer_counts,
+        op4_chat_format,
+        op5_term_top_k,
+        op7_one_bit_ann,
+        op9_segment_tree_bpe,
+    )
 }
 
 ORACLE = {
@@ -73,4 +88,18 @@ ORACLE = {
             arg_min(turn, n) FILTER (NOT ok) AS first_bad_turn
         FROM judged GROUP BY conv_id
     """,
+    "op5_term_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+            WHERE embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
 }
