@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, packing, token_counts, topk
+from . import ann, bpe, chat, ngram_lm, packing, token_counts, topk
 
 WORD_BPE = "word_bpe_49k.json"
 PIECE_BPE = "piece_bpe_32k.model"
@@ -41,6 +41,10 @@ def op5_term_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op6_elias_fano_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.score(_table(spark, sf_dir, "documents"))
+
+
 def op7_one_bit_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -56,6 +60,7 @@ QUERIES = {
         op2_transducer_counts,
         op4_chat_format,
         op5_term_top_k,
+        op6_elias_fano_lm,
         op7_one_bit_ann,
         op9_segment_tree_bpe,
     )
