@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, ngram_lm, packing, token_counts, topk
+from . import ann, bpe, chat, ngram_lm, packing, quality, token_counts, topk
 
 WORD_BPE = "word_bpe_49k.json"
 PIECE_BPE = "piece_bpe_32k.model"
@@ -49,6 +49,10 @@ def op7_one_bit_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op8_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_segment_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
@@ -62,6 +66,7 @@ QUERIES = {
         op5_term_top_k,
         op6_elias_fano_lm,
         op7_one_bit_ann,
+        op8_attention_quality,
         op9_segment_tree_bpe,
     )
 }
