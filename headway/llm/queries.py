@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, ngram_lm, packing, quality, token_counts, topk
+from . import ann, bpe, chat, line_dedup, ngram_lm, packing, quality, token_counts, topk
 
 WORD_BPE = "word_bpe_49k.json"
 PIECE_BPE = "piece_bpe_32k.model"
@@ -57,6 +57,11 @@ def op9_segment_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
 
+def op10_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "n_removed", "text")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -68,6 +73,7 @@ QUERIES = {
         op7_one_bit_ann,
         op8_attention_quality,
         op9_segment_tree_bpe,
+        op10_line_runs,
     )
 }
 
@@ -112,4 +118,31 @@ ORACLE = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
     """,
+    "op10_line_runs": r"""
+        WITH docs AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+        every AS (
+            SELECT doc_id, unnest(range(len(lines)))::INT AS pos,
+                trim(unnest(lines), ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS line FROM docs
+        ), full_lines AS (
+            SELECT doc_id, pos, line, len(regexp_extract_all(line, '[^ \t\r\x0B\f]+')) AS words,
+                row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS nr
+            FROM every WHERE line <> ''
+        ), summed AS (
+            SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY nr) AS upto FROM full_lines
+        ), runs AS (
+            -- the shortest run of 50 words from, and up to, each line: its lines and its place
+            SELECT doc_id, list(line) OVER f AS run, pos AS first_pos, last(pos) OVER f AS last_pos, sum(words) OVER f AS n
+            FROM summed WINDOW f AS (PARTITION BY doc_id ORDER BY upto - words RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING)
+            UNION ALL
+            SELECT doc_id, list(line) OVER f, first(pos) OVER f, pos, sum(words) OVER f
+            FROM summed WINDOW f AS (PARTITION BY doc_id ORDER BY upto RANGE BETWEEN 49 PRECEDING AND CURRENT ROW)
+        ), ranked AS (
+            SELECT *, dense_rank() OVER (PARTITION BY run ORDER BY doc_id, first_pos) AS k FROM runs WHERE n >= 50
+        ), spots AS (
+            SELECT DISTINCT doc_id, unnest(range(first_pos, last_pos + 1)) AS pos FROM ranked WHERE k > 1
+        ), gone AS (SELECT doc_id, list(pos) AS spots FROM spots GROUP BY doc_id)
+        SELECT doc_id, len(lines) AS n_lines, coalesce(len(spots), 0) AS n_removed,
+            array_to_string(list_filter(lines, lambda x, i: spots IS NULL OR NOT list_contains(spots, i - 1)), chr(10)) AS text
+        FROM docs LEFT JOIN gone USING (doc_id)
+    """,
 }
