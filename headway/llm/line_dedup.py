@@ -128,17 +128,23 @@ def removed_runs(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_id
     return later.groupBy("doc_id", "version", "part").agg(F.min("begin").alias("begin"), F.max("end").alias("end")).drop("part")
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """All columns of ``docs`` with the texts without later copies, ``n_lines`` and ``n_removed`` (all lines counted).
-
-    Columns of ``docs`` with these two names are replaced.
+def dedup_lines(
+    docs: DataFrame,
+    min_words: int = MIN_WORDS,
+    key: str = "doc_id",
+    text: str = "text",
+    counts: tuple[str, str] = ("n_lines", "n_removed"),
+) -> DataFrame:
+    """All columns of ``docs``, the texts without later copies, and the numbers of lines and of lines removed.
+
+    ``counts`` names the two numbers; columns of ``docs`` with these names are replaced.
     """
     gone = (
         removed_runs(docs, min_words, key, text)
         .groupBy("doc_id", "version")
         .agg(F.collect_list(F.struct("begin", "end")).alias("gone"))
     )
-    rows = docs.drop("n_lines", "n_removed").select(F.struct("*").alias("row"), *_texts_of(key, text))
+    rows = docs.drop(*counts).select(F.struct("*").alias("row"), *_texts_of(key, text))
     rows = rows.withColumn("version", F.xxhash64("text")).alias("r")
     same = F.col("r.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("r.version") == F.col("g.version"))
     joined = rows.join(gone.alias("g"), same, "left").select("row", "r.text", "gone")
@@ -148,7 +154,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_id"
     whole = F.when(F.col("gone").isNull(), F.col(f"row.`{text}`")).otherwise(F.array_join("left", "\n"))
     n = F.size(lines)
     return joined.select(
-        *[(whole if c == text else F.col(f"row.`{c}`")).alias(c) for c in docs.columns if c not in ("n_lines", "n_removed")],
-        n.cast("long").alias("n_lines"),
-        F.when(F.col("gone").isNull(), 0).otherwise(n - F.size("left")).cast("long").alias("n_removed"),
+        *[(whole if c == text else F.col(f"row.`{c}`")).alias(c) for c in docs.columns if c not in counts],
+        n.cast("long").alias(counts[0]),
+        F.when(F.col("gone").isNull(), 0).otherwise(n - F.size("left")).cast("long").alias(counts[1]),
     )

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from . import common
 
 WORDS = 64  # of a passage
+THRESHOLD = 0.3
 SAMPLE = 2000
 PAIRS = 32
 _KIND = np.array(
@@ -166,24 +167,31 @@ def training_bags(docs: DataFrame, labels: DataFrame, sample: int) -> tuple[np.n
     return x.astype(np.float64), np.array([len(p) for p in parts], np.int64), bags["label"].to_numpy()
 
 
+def scorer(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE):
+    """A function from texts to scores, fitted on the labelled rows of ``docs`` (doc_id, text)."""
+    x, sizes, marks = training_bags(docs, labels, sample)
+    model = fit(x, sizes, marks.astype(float)) if 0 < marks.sum() < len(marks) else None
+    even = float(marks.mean()) if len(marks) else 0.5
+
+    def scores(texts: list[str]) -> np.ndarray:
+        return np.clip(model.forward(*passages(texts))["p"], 0, 1) if model else np.full(len(texts), even)
+
+    return scores
+
+
 def score(
-    docs: DataFrame, labels: DataFrame, threshold: float = 0.3, sample: int = SAMPLE, key: str = "doc_id", text: str = "text"
+    docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, sample: int = SAMPLE, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """doc_id, held_out, score (0 to 1), predicted."""
     common.ready(docs.sparkSession)
     rows = common.texts(docs, key, text)
-    x, sizes, marks = training_bags(rows, labels, sample)
-    model = fit(x, sizes, marks.astype(float)) if 0 < marks.sum() < len(marks) else None
-    even = float(marks.mean()) if len(marks) else 0.5
+    scores = scorer(rows, labels, sample)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            p = np.full(batch.num_rows, even)
-            if model:
-                p = np.clip(model.forward(*passages(batch["text"].to_pylist()))["p"], 0, 1)
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(p)], ["doc_id", "score"])
+            if batch.num_rows:
+                p = pa.array(scores(batch["text"].to_pylist()))
+                yield pa.RecordBatch.from_arrays([batch["doc_id"], p], ["doc_id", "score"])
 
     part = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     return rows.mapInArrow(run, "doc_id long, score double").select(
@@ -192,3 +200,19 @@ def score(
         "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
+
+
+def keep_good(
+    docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, sample: int = SAMPLE, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score reaches the threshold."""
+    common.ready(docs.sparkSession)
+    scores = scorer(common.texts(docs, key, text), labels, sample)
+    place = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.filter(pa.array(scores([t or "" for t in batch.column(place).to_pylist()]) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)

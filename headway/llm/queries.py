@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, line_dedup, ngram_lm, packing, quality, token_counts, topk
+from . import ann, bpe, chat, jaccard, line_dedup, ngram_lm, packing, quality, token_counts, topk
 
 WORD_BPE = "word_bpe_49k.json"
 PIECE_BPE = "piece_bpe_32k.model"
@@ -24,6 +24,10 @@ def op2_transducer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count(_table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_BPE))
 
 
+def op3_jaccard_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.classes(_table(spark, sf_dir, "documents"))
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -67,6 +71,7 @@ QUERIES = {
     for f in (
         op1_curve_packing,
         op2_transducer_counts,
+        op3_jaccard_classes,
         op4_chat_format,
         op5_term_top_k,
         op6_elias_fano_lm,
