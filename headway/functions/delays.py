@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .numbers import minutes_of, to_double
-from .text import first_present
+from .text import quoted_numbers
 
 
 def stop_delay(departure: Column, arrival: Column) -> Column:
@@ -20,17 +20,16 @@ def stop_delay(departure: Column, arrival: Column) -> Column:
     )
 
 
-def live_minutes(first: Column, second: Column, baseline: Column) -> Column:
+def live_minutes(text: Column, baseline: Column) -> Column:
     """Delay in minutes from the stored text of a route, not yet clamped.
 
     An object carries seconds in ``average_delay_seconds``; a bare number, or
     a number in quotes, follows ``minutes_of``; anything else is the baseline.
     """
-    text = first_present(first, second)
-    document = F.try_parse_json(text)
+    document = F.try_parse_json(quoted_numbers(text))
+    is_object = F.schema_of_variant(document).startswith("OBJECT")
     in_object = F.try_variant_get(document, "$.average_delay_seconds", "double") / 60.0
     in_scalar = F.try_variant_get(document, "$", "double")
-    is_object = document.isNotNull() & F.ltrim(text).startswith("{")
     return F.coalesce(
         F.when(is_object, in_object).otherwise(
             minutes_of(F.coalesce(in_scalar, to_double(text)))

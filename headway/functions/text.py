@@ -55,6 +55,11 @@ def fallback_key(route: Column) -> Column:
     return F.concat(F.lit("route:"), route, F.lit(":delay"))
 
 
+def quoted_numbers(json: Column) -> Column:
+    """JSON text with bare NaN and Infinity in quotes, as strict readers want it."""
+    return F.regexp_replace(json, r"(?<=[:\[,])(\s*)(-?(?:NaN|Infinity))(?=\s*[,}\]])", '$1"$2"')
+
+
 def first_present(*texts: Column) -> Column:
     """First text that is neither NULL nor empty."""
     return F.coalesce(*[F.nullif(t, F.lit("")) for t in texts])

@@ -9,10 +9,18 @@ from .numbers import to_double
 
 DATE_TEXT = "yyyy-MM-dd HH:mm:ss"
 
+# First and last whole epoch second of the years 0001 to 9999.
+FIRST_SECOND = -62135596800
+LAST_SECOND = 253402300799
+
 
 def from_epoch(seconds: Column) -> Column:
-    """Epoch seconds, fractions allowed, as a timestamp."""
-    return F.timestamp_seconds(seconds)
+    """Epoch seconds, fractions allowed, as a timestamp; NULL outside the years 0001 to 9999.
+
+    An epoch in milli- or microseconds lies outside, and units are not guessed.
+    """
+    inside = (seconds >= FIRST_SECOND) & (seconds < LAST_SECOND + 1)
+    return F.when(inside, F.timestamp_seconds(seconds))
 
 
 def from_text(text: Column) -> Column:

@@ -78,7 +78,7 @@ def known_profile(telemetry: DataFrame, merged: DataFrame, routes: DataFrame) ->
 def route_path(routes: DataFrame, paths: DataFrame, default: list[list[float]]) -> DataFrame:
     """Path of each route, or the default path."""
     points = F.array(*[F.array(*[F.lit(x) for x in point]) for point in default])
-    return routes.join(F.broadcast(paths), "route", "left").withColumn(
+    return routes.join(paths, "route", "left").withColumn(
         "path", F.coalesce("path", points)
     )
 
@@ -93,7 +93,7 @@ def place_vehicles(paths: DataFrame, vehicles: DataFrame) -> DataFrame:
     others = [c for c in paths.columns if c not in ("route", "path")]
     return (
         path_points(paths)
-        .join(F.broadcast(vehicles), "pos")
+        .join(vehicles, "pos")
         .select(
             "route",
             *others,

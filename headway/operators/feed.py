@@ -25,6 +25,14 @@ def flatten_feed(feed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return feed_payload(stops, keep)
 
 
+def unpack_feed(decoded: DataFrame, feed: str = "feed") -> DataFrame:
+    """A decoded feed message (``sources.files.decode_feed``) as ``flatten_feed`` takes it: its header's
+    time and its entities."""
+    return decoded.select(
+        F.col(f"{feed}.header.timestamp").cast("bigint").alias("poll_ts"), F.col(f"{feed}.entity").alias("entity")
+    )
+
+
 def feed_payload(stops: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Flat payload of a stop update: text ids, whole time and delay."""
     return stops.select(

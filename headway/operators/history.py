@@ -101,8 +101,3 @@ def latest_snapshot(lake: DataFrame, order=None) -> DataFrame:
     """Last written average per route and window."""
     keys = ("route_id", "window_start")
     return latest(lake, keys, ("window_end", "average_delay_seconds"), order)
-
-
-def latest_panes(lake: DataFrame, order=None) -> DataFrame:
-    """Last written sum and count per route and pane."""
-    return latest(lake, ("route_id", "pane"), ("delay_sum", "delay_count"), order)

@@ -60,26 +60,31 @@ def latency_report(df: DataFrame, by: str = "layer", accuracy: int = 10000) -> D
     return report.select(by, *named, "worst", "events")
 
 
-def latency_exact(df: DataFrame, by: str = "layer") -> DataFrame:
+def latency_exact(df: DataFrame, by: str = "layer", bucket: int = 3600) -> DataFrame:
     """Exact percentiles of whole-second latencies.
 
-    Rows are first counted per (layer, second). The running count then goes
-    over distinct seconds only: their number is set by the longest latency
-    (86,401 for a daily batch), not by the rows.
+    Rows are first counted per (layer, second). The running count then goes in
+    two levels: over the sums of buckets of ``bucket`` seconds, and inside each
+    bucket, so a window orders at most ``bucket`` rows, or one row per bucket.
     """
     counts = df.groupBy(by, "latency_seconds").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.withColumn("bucket", F.floor(F.col("latency_seconds") / bucket))
     layer = Window.partitionBy(by)
-    running = counts.select(
-        by,
-        "latency_seconds",
-        "n",
-        F.sum("n").over(layer.orderBy("latency_seconds")).alias("up_to"),
-        F.sum("n").over(layer).alias("total"),
+    sums = (
+        counts.groupBy(by, "bucket")
+        .agg(F.sum("n").alias("n"))
+        .select(
+            by,
+            "bucket",
+            (F.sum("n").over(layer.orderBy("bucket")) - F.col("n")).alias("below"),
+            F.sum("n").over(layer).alias("total"),
+        )
     )
+    inside = Window.partitionBy(by, "bucket").orderBy("latency_seconds")
+    running = counts.withColumn("inside", F.sum("n").over(inside)).join(sums, [by, "bucket"])
+    up_to = F.col("below") + F.col("inside")
     named = [
-        F.min(
-            F.when(F.col("up_to") >= F.lit(share) * F.col("total"), F.col("latency_seconds"))
-        ).alias(name)
+        F.min(F.when(up_to >= F.lit(share) * F.col("total"), F.col("latency_seconds"))).alias(name)
         for name, share in SHARES.items()
     ]
     return running.groupBy(by).agg(
@@ -87,6 +92,31 @@ def latency_exact(df: DataFrame, by: str = "layer") -> DataFrame:
     )
 
 
+def report_within(df: DataFrame, by: str = "layer", accuracy: int = 10000) -> DataFrame:
+    """Whether each approximate percentile of the report keeps its promise: a rank
+    error of at most ``events / accuracy``, against the exact counts."""
+    report = latency_report(df, by, accuracy)
+    shares = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(s).alias("share"), F.col(n).alias("value")) for n, s in SHARES.items()])
+    marks = report.select(by, "worst", "events", F.explode(shares).alias("s")).select(by, "worst", "events", "s.*")
+    counts = df.groupBy(by, "latency_seconds").agg(F.count(F.lit(1)).alias("n"))
+    met = (
+        counts.join(marks, by)
+        .groupBy(by, "name", "share", "worst", "events")
+        .agg(
+            F.sum(F.when(F.col("latency_seconds") < F.col("value"), F.col("n")).otherwise(0)).alias("below"),
+            F.sum(F.when(F.col("latency_seconds") <= F.col("value"), F.col("n")).otherwise(0)).alias("up_to"),
+        )
+    )
+    rank, slack = F.col("share") * F.col("events"), F.col("events") / accuracy + 1
+    return met.select(
+        by,
+        F.col("name").alias("share"),
+        "worst",
+        "events",
+        ((F.col("below") <= rank + slack) & (F.col("up_to") >= rank - slack)).alias("within"),
+    )
+
+
 def lake_footprint(lake: DataFrame, by: Sequence[str] = ("event_date",)) -> DataFrame:
     """Files, rows and bytes of a file-backed table per partition value.
 

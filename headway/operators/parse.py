@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from .. import schemas
-from ..functions import numbers, times
+from ..functions import numbers, text, times
 
 
 def payload_text(df: DataFrame, value: str = "value") -> DataFrame:
@@ -18,8 +18,10 @@ def payload_text(df: DataFrame, value: str = "value") -> DataFrame:
 
 
 def unwrap_envelope(payload: Column) -> Column:
-    """Inner text of ``{"schema": .., "payload": ..}``; other texts stay as they are."""
-    return F.coalesce(F.get_json_object(payload, "$.payload"), payload)
+    """Inner text of ``{"schema": .., "payload": ..}``, NULL if that is null; other texts stay as they are."""
+    keys = F.json_object_keys(payload)
+    enveloped = F.array_contains(keys, "schema") & F.array_contains(keys, "payload")
+    return F.when(enveloped, F.get_json_object(payload, "$.payload")).otherwise(payload)
 
 
 def json_fields(payload: Column, schema: StructType, options: dict[str, str] | None = None) -> Column:
@@ -54,24 +56,35 @@ def parse_telemetry(
         delay = F.col("delay_seconds")
     elif dialect == "s2":
         schema = schemas.TELEMETRY_DATED
-        ts = F.col("timestamp")
+        raw = F.get_json_object(payload, "$.timestamp")
+        # The reader multiplies whole numbers without a check: far ones would wrap round.
+        far = raw.rlike(r"^-?\d+$") & times.from_epoch(numbers.to_double(raw)).isNull()
+        df = df.withColumn("_far", far)
+        ts = F.when(~F.coalesce("_far", F.lit(False)), F.col("timestamp"))
         delay = F.col("delay_seconds")
     else:
         raise ValueError(f"unknown dialect {dialect!r}")
     others = [f for f in schema.fieldNames() if f not in ("timestamp", "delay_seconds")]
-    return df.select(*keep, json_fields(F.col(payload), schema)).select(
+    hidden = ["_far"] if dialect == "s2" else []
+    return df.select(*keep, *hidden, json_fields(F.col(payload), schema)).select(
         *keep, *others, delay.alias("delay_seconds"), ts.alias("ts")
     )
 
 
 def parse_lake_lines(lines: DataFrame, value: str = "value") -> DataFrame:
-    """JSON lines to ``route_id`` and the delay as text; blank lines, broken lines
-    and lines that hold no object leave."""
-    return (
-        lines.where(F.trim(F.col(value)) != "")
-        .select(
-            json_fields(F.col(value), schemas.LAKE_LINE, {"columnNameOfCorruptRecord": "broken"})
-        )
-        .where(F.col("broken").isNull())
-        .drop("broken")
-    )
+    """JSON lines to ``route_id`` and the delay as text; blank lines, broken lines,
+    lines with more than one document and lines that hold no object leave."""
+    line = text.strip(F.col(value))
+    return lines.where(is_object(line)).select(json_fields(line, schemas.LAKE_LINE))
+
+
+def is_object(line: Column) -> Column:
+    """Whether the whole text is one JSON object.
+
+    The JSON functions read the first document and pass over what follows. A
+    text that is still JSON between brackets and as a member has nothing after it.
+    """
+    line = text.quoted_numbers(line)
+    member = F.try_parse_json(F.concat(F.lit('{"x":'), line, F.lit("}")))
+    listed = F.try_parse_json(F.concat(F.lit("["), line, F.lit("]")))
+    return F.coalesce(F.schema_of_variant(member).startswith("OBJECT<x: OBJECT") & listed.isNotNull(), F.lit(False))

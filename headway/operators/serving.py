@@ -52,12 +52,11 @@ def latest_from_panes(panes: DataFrame, size: str = SIZE) -> DataFrame:
 def known_routes(df: DataFrame, routes: DataFrame, key: str = "route_id") -> DataFrame:
     """Rows whose route is in the dimension.
 
-    The dimension is the short fixed list, so it is broadcast; the rows are
-    filtered before any shuffle, and what is grouped by route afterwards has
-    no more groups than the dimension has rows.
+    No hint: the planner broadcasts a dimension below its size limit, so the
+    rows are filtered before any shuffle, and joins a larger one by shuffle.
     """
     names = routes.select(F.col("route").alias(key))
-    return df.join(F.broadcast(names), key, "left_semi")
+    return df.join(names, key, "left_semi")
 
 
 def live_value(routes: DataFrame, store: DataFrame) -> DataFrame:
@@ -74,11 +73,11 @@ def merge_layers(
     """Delay in minutes per route: live value, else baseline, else ``default``."""
     return (
         live_value(routes, known_routes(store, routes, "route"))
-        .join(F.broadcast(baselines), "route", "left")
+        .join(baselines, "route", "left")
         .withColumn("baseline_minutes", F.coalesce("baseline_minutes", F.lit(default)))
         .withColumn(
             "delay_minutes",
-            live_minutes(F.col("live"), F.lit(None).cast("string"), F.col("baseline_minutes")),
+            live_minutes(F.col("live"), F.col("baseline_minutes")),
         )
     )
 

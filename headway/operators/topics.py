@@ -9,9 +9,9 @@ from ..functions.text import join_pair
 
 
 def to_topic_rows(df: DataFrame, *columns: str) -> DataFrame:
-    """Rows as JSON text in ``value``, without a key."""
+    """Rows as JSON text in ``value``, without a key; NULL fields are written as ``null``."""
     names = columns or tuple(df.columns)
-    return df.select(F.to_json(F.struct(*names)).alias("value"))
+    return df.select(F.to_json(F.struct(*names), {"ignoreNullFields": "false"}).alias("value"))
 
 
 def route_topics(

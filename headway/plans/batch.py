@@ -19,7 +19,7 @@ from ..operators import (
     windows,
 )
 from ..session import shared_folder
-from ..sources import dims
+from ..sources import dims, files
 from ..streaming import sinks
 from . import views
 
@@ -124,6 +124,28 @@ def route_avg_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.route_avg_strict(parse.parse_lake_lines(views.lake_lines(spark, sf_dir)))
 
 
+def _folder(spark: SparkSession, purpose: str, write) -> str:
+    folder = shared_folder(spark, purpose)
+    write(folder)
+    return folder
+
+
+def historical_from_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History of lake files: broken lines are rows of the NULL route, blank ones are none."""
+    lines = views.lake_json(spark, sf_dir)
+    return history.historical_avg(files.read_lake(spark, _folder(spark, "json", lines.write.text)))
+
+
+def strict_from_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = views.lake_lines(spark, sf_dir)
+    return history.route_avg_strict(files.read_lines(spark, _folder(spark, "lines", lines.write.text)))
+
+
+def feed_from_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages = views.feed(spark, sf_dir).select("poll_ts", "entity")
+    return feed.flatten_feed(files.read_feed(spark, _folder(spark, "feed", messages.write.json)))
+
+
 def pairs_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.pair_avg(history.split_pairs(views.pair_lines(spark, sf_dir)))
 
@@ -218,7 +240,8 @@ def ingest_peak(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latency_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monitor.latency_report(views.latencies(spark, sf_dir))
+    """The approximate percentiles against the exact counts: each within its rank error."""
+    return monitor.report_within(views.latencies(spark, sf_dir))
 
 
 def latency_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -226,9 +249,12 @@ def latency_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lake_footprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files and bytes depend on the writer: only that there are some is compared."""
     folder = shared_folder(spark, "footprint")
     sinks.write_table(views.telemetry(spark, sf_dir), folder, "ts")
-    return monitor.lake_footprint(spark.read.parquet(folder))
+    return monitor.lake_footprint(spark.read.parquet(folder)).select(
+        "event_date", "rows", (F.col("files") >= 1).alias("has_files"), (F.col("bytes") > 0).alias("has_bytes")
+    )
 
 
 def retain_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -245,7 +271,8 @@ def route_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def payload_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = views.telemetry(spark, sf_dir)
+    delay = F.when(F.col("event_id") % 13 != 0, F.col("delay_seconds"))
+    rows = views.telemetry(spark, sf_dir).withColumn("delay_seconds", delay)
     return topics.to_topic_rows(rows, "event_id", "route_id", "delay_seconds").select(
         "value",
         F.get_json_object("value", "$.route_id").alias("route_id"),
@@ -272,10 +299,13 @@ QUERIES = {
         historical_avg_merged,
         historical_first20,
         route_avg_strict,
+        historical_from_json,
+        strict_from_lines,
         pairs_avg,
         pairs_text,
         latest_snapshot,
         feed_flatten,
+        feed_from_json,
         polls_count,
         serving_current,
         serving_from_panes,

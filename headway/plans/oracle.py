@@ -60,7 +60,7 @@ CTE = {
                CASE WHEN event_id % 10 IN (3, 5) THEN NULL
                     WHEN event_id % 10 = 4 THEN 'depot' ELSE route_id END AS route_id,
                CASE WHEN event_id % 10 IN (3, 5, 6) THEN NULL ELSE delay_seconds END AS delay_seconds,
-               CASE WHEN event_id % 10 IN (3, 5) THEN NULL
+               CASE WHEN event_id % 10 IN (3, 5) OR event_id % 100 IN (10, 20, 30) THEN NULL
                     WHEN event_id % 10 = 2 THEN date_trunc('second', ts) + INTERVAL 500 MILLISECOND
                     ELSE date_trunc('second', ts) END AS ts
         FROM t""",
@@ -77,8 +77,10 @@ CTE = {
             WHEN 6 THEN concat('{"timestamp":', cast(floor(epoch(ts)) AS BIGINT), ',"route_id":"', route_id, '"}')
             WHEN 7 THEN concat('{"timestamp":', cast(floor(epoch(ts)) AS BIGINT), ',"route_id":"', route_id,
                                '","delay_seconds":"', delay_seconds, '"}')
-            ELSE concat('{"timestamp":', cast(floor(epoch(ts)) AS BIGINT), ',"route_id":"', route_id,
-                        '","delay_seconds":', delay_seconds, '}') END AS payload
+            ELSE concat('{"timestamp":', CASE event_id % 100 WHEN 10 THEN cast(floor(epoch(ts)) AS BIGINT) * 1000000
+                            WHEN 20 THEN cast(floor(epoch(ts)) AS BIGINT) * 1000
+                            WHEN 30 THEN -99999999999999 ELSE cast(floor(epoch(ts)) AS BIGINT) END,
+                        ',"route_id":"', route_id, '","delay_seconds":', delay_seconds, '}') END AS payload
         FROM t""",
     "l0": """
         SELECT event_id, ts, delay_seconds, event_id % 4 AS kind,
@@ -193,7 +195,7 @@ ORACLE = {
     "telemetry_rejects": _query(
         "p",
         """ SELECT event_id, reason FROM (
-                SELECT event_id, CASE WHEN form IN (3, 5) THEN 'unparsed' WHEN form = 4 THEN 'no route code'
+                SELECT event_id, CASE WHEN form IN (3, 5) THEN 'unparsed' WHEN ts IS NULL THEN 'no event time' WHEN form = 4 THEN 'no route code'
                     WHEN form = 6 THEN 'no delay'
                     WHEN delay_seconds < -300 OR delay_seconds > 3600 THEN 'delay out of range' END AS reason
                 FROM p) WHERE reason IS NOT NULL""",
@@ -228,7 +230,8 @@ ORACLE = {
     "route_avg_strict": _query(
         "lake",
         f""" SELECT route_id, {_round2("sum(average_delay_seconds) / count(*)")} AS average_delay FROM lake
-             WHERE event_id % 17 <> 0 AND event_id % 19 <> 0 AND route_id <> ''
+             WHERE event_id % 17 <> 0 AND event_id % 19 <> 0 AND event_id % 23 <> 0 AND event_id % 29 <> 0
+               AND route_id <> ''
                AND average_delay_seconds IS NOT NULL GROUP BY route_id""",
     ),
     "pairs_avg": _query(
@@ -348,13 +351,17 @@ ORACLE = {
     ),
     "route_topics": _query(
         "p",
-        f""" SELECT event_id, concat('A.', event_type) AS topic, route_id, delay_seconds, ts FROM p
+        f""" SELECT event_id, concat('A.', event_type) AS topic,
+                    CASE WHEN event_id % 26 <> 0 THEN route_id END AS route_id,
+                    CASE WHEN event_id % 26 <> 0 THEN delay_seconds END AS delay_seconds,
+                    CASE WHEN event_id % 26 <> 0 THEN ts END AS ts FROM p
              WHERE regexp_full_match(event_type, '{TOPIC_PATTERN}')""",
     ),
     "payload_json": _query(
         "t",
-        """ SELECT concat('{"event_id":', event_id, ',"route_id":"', route_id, '","delay_seconds":', delay_seconds,
-                          '}') AS value, route_id, delay_seconds FROM t""",
+        """ SELECT concat('{"event_id":', event_id, ',"route_id":"', route_id, '","delay_seconds":',
+                          coalesce(cast(d AS VARCHAR), 'null'), '}') AS value, route_id, d AS delay_seconds
+            FROM (SELECT *, CASE WHEN event_id % 13 <> 0 THEN delay_seconds END AS d FROM t)""",
     ),
     "stream_sliding_delay": _query("w", _WINDOWED),
     "stream_upsert_delay": _query("w", _WINDOWED),
@@ -382,4 +389,29 @@ ORACLE = {
     "raw_landing": _query("text", "SELECT payload AS value FROM text"),
     "text_tail": _query("text", "SELECT payload AS value FROM text"),
 }
+ORACLE["stream_rerun"] = ORACLE["stream_two_sinks"]
+ORACLE["stream_dated_lake"] = _query("w", "SELECT *, cast(window_start AS DATE) AS event_date FROM w")
+ORACLE["stream_snapshot_lake"] = _query(
+    "slid",
+    """ SELECT cast(b.batch_id AS BIGINT) AS batch_id, route_id, window_start,
+               window_start + INTERVAL 5 MINUTE AS window_end,
+               cast(sum(delay_seconds) AS DOUBLE) / count(*) AS average_delay_seconds
+        FROM slid JOIN (VALUES (0), (1), (2)) AS b(batch_id) ON slid.event_id % 3 <= b.batch_id
+        GROUP BY b.batch_id, route_id, window_start""",
+)
+ORACLE["strict_from_lines"] = ORACLE["route_avg_strict"]
+ORACLE["feed_from_json"] = ORACLE["feed_flatten"]
+ORACLE["historical_from_json"] = _query(
+    "lake",
+    """ , read AS (SELECT CASE WHEN event_id % 17 <> 0 THEN route_id END AS route_id,
+                          CASE WHEN event_id % 17 <> 0 THEN average_delay_seconds END AS average_delay_seconds
+                   FROM lake WHERE event_id % 17 = 0 OR event_id % 19 <> 0)"""
+    + _history("read"),
+)
+ORACLE["lake_footprint"] = """
+    SELECT cast(ts AS DATE) AS event_date, count(*) AS rows, true AS has_files, true AS has_bytes FROM events GROUP BY 1"""
+ORACLE["latency_report"] = ORACLE["latency_exact"].replace(
+    "SELECT layer, min(", ", e AS (SELECT layer, min(", 1
+) + """)
+    SELECT layer, share, worst, events, true AS within FROM e, (VALUES ('p50'), ('p95'), ('p99')) AS s(share)"""
 ORACLE["stream_quarantine"] = ORACLE["telemetry_rejects"]

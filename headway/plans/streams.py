@@ -20,6 +20,8 @@ from ..streaming.runner import ONCE, finish
 from . import views
 from .batch import zoneless
 
+# Files, and so batches, of the registered streams.
+FILES = 3
 LATE = "10 minutes"
 LATE_CUT = "2024-01-15 00:00:00"
 
@@ -28,10 +30,15 @@ def _zoned(df: DataFrame) -> DataFrame:
     return df.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+def _in_files(spark: SparkSession, rows: DataFrame, n: int = FILES) -> DataFrame:
+    """A table as a stream of ``n`` files of mixed times, a file for each batch."""
+    folder = shared_folder(spark, "source")
+    rows.repartition(n).write.parquet(folder)
+    return files.read_table_stream(spark, folder, rows.schema, per_trigger=1)
+
+
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = views.table(spark, sf_dir, "events").schema
-    # A glob, because a stream takes a plain path for a folder and this may be one file.
-    return files.read_table_stream(spark, f"{sf_dir}/events.parque[t]", schema)
+    return _in_files(spark, views.table(spark, sf_dir, "events"))
 
 
 def _telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,7 +58,7 @@ def _to_lake(spark: SparkSession, averages: DataFrame, mode: str) -> DataFrame:
     finish(
         sinks.write_lake(averages, f"{folder}/data", f"{folder}/checkpoint", mode, trigger=ONCE)
     )
-    return zoneless(sinks.read_snapshots(spark, f"{folder}/data"))
+    return zoneless(sinks.read_snapshots(spark, f"{folder}/data").drop("event_date"))
 
 
 def stream_sliding_delay(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,22 +144,66 @@ def stream_named_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zoneless(windows.top_delays(files.serving_view(spark, name)))
 
 
-def stream_two_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lake and serving from one query; the rows of both, side by side."""
-    folder = shared_folder(spark, "both")
-    lake, current = f"{folder}/lake", f"{folder}/serving"
-    finish(
-        sinks.run_two_sinks(
-            _windowed(spark, sf_dir), lake, current, f"{folder}/checkpoint", trigger=ONCE
-        )
-    )
+def _both(spark: SparkSession, lake: str, current: str) -> DataFrame:
+    """The windows of a pane lake, each with whether the serving table has it."""
     served = sinks.read_serving(spark, current).select(
         "route_id", "window_start", F.lit(True).alias("is_current")
     )
-    rows = sinks.read_snapshots(spark, lake).join(served, ["route_id", "window_start"], "left")
+    rows = sinks.read_panes(spark, lake).join(served, ["route_id", "window_start"], "left")
     return zoneless(rows.withColumn("is_current", F.coalesce("is_current", F.lit(False))))
 
 
+def stream_two_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lake and serving from one query; the rows of both, side by side."""
+    folder = shared_folder(spark, "both")
+    lake, current = f"{folder}/lake", f"{folder}/serving"
+    sums = windows.pane_sums(clean.clean_telemetry(_telemetry(spark, sf_dir)))
+    finish(sinks.run_two_sinks(sums, lake, current, f"{folder}/checkpoint", trigger=ONCE))
+    return _both(spark, lake, current)
+
+
+def stream_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lake and serving over two checkpoints: three deliveries, then two newer ones as a new run."""
+    folder = shared_folder(spark, "rerun")
+    lake, current = f"{folder}/lake", f"{folder}/serving"
+    rows = _zoned(views.cleaned(spark, sf_dir))
+    older = F.col("ts") < F.lit(LATE_CUT).cast("timestamp")
+    for name, part, n in (("a", rows.where(older), 3), ("b", rows.where(~older), 2)):
+        sums = windows.pane_sums(_in_files(spark, part, n))
+        finish(sinks.run_two_sinks(sums, lake, current, f"{folder}/{name}", trigger=ONCE))
+    return _both(spark, lake, current)
+
+
+def stream_snapshot_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshot mode as the lake holds it: every window after each delivery, with its batch.
+
+    The files are delivered in the order of their names, a third of the events each.
+    """
+    folder = shared_folder(spark, "snapshots")
+    rows = _zoned(views.cleaned(spark, sf_dir))
+    for k in range(FILES):
+        rows.where(F.col("event_id") % FILES == k).coalesce(1).write.parquet(f"{folder}/source/part={k}")
+        source = files.read_table_stream(spark, f"{folder}/source/*", rows.schema)
+        averages = windows.sliding_avg(source)
+        finish(sinks.write_lake(averages, f"{folder}/data", f"{folder}/checkpoint", "snapshot", trigger=ONCE))
+    lake = spark.read.parquet(f"{folder}/data")
+    return zoneless(lake.withColumn("batch_id", F.col("batch_id").cast("bigint")).drop("run_id", "event_date"))
+
+
+def stream_dated_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lake that was compacted between two runs, read for all dates with the date."""
+    folder = shared_folder(spark, "dated")
+    rows = _zoned(views.cleaned(spark, sf_dir))
+    early = F.col("ts") < F.lit(LATE_CUT).cast("timestamp")
+    for name, part in (("a", rows.where(early)), ("b", rows.where(~early))):
+        sums = windows.pane_sums(_in_files(spark, part))
+        finish(sinks.write_lake(sums, f"{folder}/data", f"{folder}/{name}", trigger=ONCE))
+        if name == "a":
+            sinks.compact_lake(spark, f"{folder}/data")
+    found = sinks.read_panes(spark, f"{folder}/data").withColumn("event_date", F.to_date("window_start"))
+    return zoneless(found)
+
+
 def raw_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "raw")
     finish(
@@ -166,8 +217,8 @@ def raw_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def text_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed text files followed as a stream and copied line by line."""
     folder = shared_folder(spark, "tail")
-    views.payloads(spark, sf_dir).select("payload").write.text(f"{folder}/source")
-    lines = files.read_text_stream(spark, f"{folder}/source")
+    views.payloads(spark, sf_dir).select("payload").repartition(FILES).write.text(f"{folder}/source")
+    lines = files.read_text_stream(spark, f"{folder}/source", per_trigger=1)
     finish(sinks.write_text(lines, f"{folder}/data", f"{folder}/checkpoint", ONCE))
     return spark.read.text(f"{folder}/data")
 
@@ -184,6 +235,9 @@ QUERIES = {
         stream_serving,
         stream_named_top,
         stream_two_sinks,
+        stream_rerun,
+        stream_snapshot_lake,
+        stream_dated_lake,
         raw_landing,
         text_tail,
     )

@@ -68,10 +68,19 @@ def _object(*parts) -> F.Column:
 
 
 def as_payloads(rows: DataFrame) -> DataFrame:
-    """telemetry as payload text in all the forms a topic may carry."""
-    form = F.col("event_id") % 10
+    """telemetry as payload text in all the forms a topic may carry.
+
+    Three of a hundred carry an epoch no calendar has: micro- and milliseconds, and one far back.
+    """
+    form, far = F.col("event_id") % 10, F.col("event_id") % 100
     epoch = F.unix_seconds(F.col("ts").cast("timestamp"))
-    at = _plain("timestamp", epoch)
+    stamp = (
+        F.when(far == 10, epoch * 1_000_000)
+        .when(far == 20, epoch * 1000)
+        .when(far == 30, F.lit(-99_999_999_999_999))
+        .otherwise(epoch)
+    )
+    at = _plain("timestamp", stamp)
     route = _quoted("route_id", F.col("route_id"))
     delay = _plain("delay_seconds", F.col("delay_seconds"))
     payload = (
@@ -128,16 +137,39 @@ def lake(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lake_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F3 as JSON lines, every 17th cut short and every 19th blank."""
+    """F3 as JSON lines: some cut short, blank, of a tab alone, or followed by more text."""
+    i = F.col("event_id")
     body = F.to_json(F.struct("route_id", "average_delay_seconds"))
     return lake(spark, sf_dir).select(
-        F.when(F.col("event_id") % 17 == 0, F.expr("'{\"route_id\":\"1\",\"average_delay_seconds\":5'"))
-        .when(F.col("event_id") % 19 == 0, "  ")
+        F.when(i % 17 == 0, F.expr("'{\"route_id\":\"1\",\"average_delay_seconds\":5'"))
+        .when(i % 38 == 0, "\t")
+        .when(i % 19 == 0, "  ")
+        .when(i % 23 == 0, F.concat(body, F.lit(" junk")))
+        .when(i % 29 == 0, F.concat(body, body))
         .otherwise(body)
         .alias("value")
     )
 
 
+def lake_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F3 with all columns as the lines of lake files; every 17th cut short, every 19th blank."""
+    i = F.col("event_id")
+    body = F.to_json(
+        F.struct(
+            "route_id",
+            F.col("window_start").cast("string").alias("window_start"),
+            F.col("window_end").cast("string").alias("window_end"),
+            "average_delay_seconds",
+            F.col("delay_seconds").cast("double").alias("delay_seconds"),
+            F.col("ts").cast("string").alias("timestamp"),
+        )
+    )
+    cut = F.concat(F.lit("{"), F.substr(body, F.lit(2), F.length(body) - 2))
+    return lake(spark, sf_dir).select(
+        F.when(i % 17 == 0, cut).when(i % 19 == 0, "").otherwise(body).alias("value")
+    )
+
+
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F3 for snapshots: batch ``b`` holds the averages over the first ``b + 1`` thirds."""
     rows = cleaned(spark, sf_dir).withColumn(
@@ -171,7 +203,9 @@ def live_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     seconds = F.col("average_delay_seconds")
     rows = current(spark, sf_dir).withColumnRenamed("route_id", "route")
     live = (
-        F.when(form == 1, F.to_json(F.struct("average_delay_seconds")))
+        # every second object behind a line break
+        F.when(F.col("pos") % 16 == 1, F.concat(F.lit("\n"), F.to_json(F.struct("average_delay_seconds"))))
+        .when(form == 1, F.to_json(F.struct("average_delay_seconds")))
         .when(form == 2, seconds.cast("string"))
         .when(form == 3, (seconds / 60).cast("string"))
         .when(form == 4, "30")
@@ -179,7 +213,7 @@ def live_store(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(form == 6, "nan")
         .when(form == 7, "")
     )
-    return rows.join(F.broadcast(dims.dim_routes(spark)), "route").select(
+    return rows.join(dims.dim_routes(spark), "route").select(
         "route",
         live.alias("live_value"),
         F.when(form == 7, seconds.cast("string")).alias("fallback_value"),
@@ -228,13 +262,14 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def topic_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F8: payloads by topic, every second one in a schema envelope."""
+    """F8: payloads by topic, every second one in a schema envelope, every 26th in an empty one."""
+    empty = F.lit('{"schema":{"type":"string"},"payload":null}')
     body = F.concat(F.lit('{"schema":{"type":"string"},"payload":'), F.col("payload"), F.lit("}"))
     wrapped = (F.col("event_id") % 2 == 0) & F.col("payload").startswith("{")
     return payloads(spark, sf_dir).select(
         "event_id",
         F.col("event_type").alias("topic"),
-        F.when(wrapped, body).otherwise(F.col("payload")).alias("value"),
+        F.when(F.col("event_id") % 26 == 0, empty).when(wrapped, body).otherwise(F.col("payload")).alias("value"),
     )
 
 

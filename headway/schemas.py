@@ -56,9 +56,7 @@ LAKE = _struct(
     timestamp=StringType(),
 )
 
-LAKE_LINE = _struct(
-    route_id=StringType(), average_delay_seconds=StringType(), broken=StringType()
-)
+LAKE_LINE = _struct(route_id=StringType(), average_delay_seconds=StringType())
 
 _DELAY = _struct(delay=IntegerType())
 _STOP = _struct(stop_id=StringType(), departure=_DELAY, arrival=_DELAY)
@@ -69,3 +67,6 @@ FEED = _struct(poll_ts=LongType(), entity=ArrayType(_ENTITY))
 LIVE_STORE = _struct(route=StringType(), live_value=StringType(), fallback_value=StringType())
 
 PATH = _struct(route=StringType(), path=ArrayType(ArrayType(DoubleType())))
+ROUTE = _struct(pos=IntegerType(), route=StringType())
+BASELINE = _struct(route=StringType(), baseline_minutes=DoubleType())
+VEHICLE = _struct(pos=IntegerType(), suffix=StringType(), speed=StringType(), status=StringType())

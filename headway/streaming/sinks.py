@@ -1,19 +1,24 @@
 """Sinks of streams and tables.
 
 Everything is written by the executors; nothing is collected. A batch writes a
-folder named by its id in overwrite mode, so a batch that runs twice leaves
-one result.
+folder named by its run and id in overwrite mode, so a batch that runs twice
+leaves one result. A run is the stream of one checkpoint: its number is claimed
+beside the data under the identity Spark gave that stream, so a new checkpoint
+goes on behind the old one instead of over it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.clean import rejected_telemetry
-from ..operators.history import latest_panes, latest_snapshot, snapshot_order
-from ..operators.serving import latest_per_route
+from ..operators.history import latest, snapshot_order
+from ..operators.serving import latest_from_panes, latest_per_route
 from ..operators.topics import pair_lines, to_topic_rows
 from ..operators.windows import SIZE, SLIDE, TOP, roll_panes, top_delays
 from .runner import ONCE, Trigger, each_batch, every, writer
@@ -21,6 +26,69 @@ from .runner import ONCE, Trigger, each_batch, every, writer
 LAKE_MODES = {"snapshot": "complete", "upsert": "update", "final": "append"}
 
 
+# ---- runs ---------------------------------------------------------------
+
+
+def _there(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """A table, or None where nothing was written yet."""
+    try:
+        return read()
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of any Hadoop file system.
+
+    Spark's reader and writer have no such call; a session without a JVM
+    handle keeps the folder, which costs space only.
+    """
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is not None:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def stream_identity(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the stream a checkpoint belongs to: the same after restarts, new with a new checkpoint."""
+    text = spark.read.text(f"{checkpoint}/metadata")
+    return text.select(F.get_json_object("value", "$.id").alias("id")).first()["id"]
+
+
+def run_number(spark: SparkSession, path: str, identity: str) -> int:
+    """The number of a run in the order of the runs that wrote below ``path``; claimed on first use.
+
+    The claims are a small table, a row per run. Of two runs that claim one
+    number at the same time, the smaller identity has it and the other claims anew.
+    """
+    claims = f"{path}/_runs"
+    while True:
+        known = _there(lambda: spark.read.schema("run_id long, stream string").json(claims))
+        rows = known.collect() if known is not None else []
+        owner: dict[int, str] = {}
+        for row in rows:
+            owner[row["run_id"]] = min(owner.get(row["run_id"], row["stream"]), row["stream"])
+        mine = [n for n, stream in owner.items() if stream == identity]
+        if mine:
+            return min(mine)
+        claim = spark.range(1).select(F.lit(max(owner, default=-1) + 1).alias("run_id"), F.lit(identity).alias("stream"))
+        claim.coalesce(1).write.mode("append").json(claims)
+
+
+class _Run:
+    """The run of one sink; its number is looked up with the first batch."""
+
+    def __init__(self, path: str, checkpoint: str) -> None:
+        self.path, self.checkpoint, self._number = path, checkpoint, None
+
+    def number(self, spark: SparkSession) -> int:
+        if self._number is None:
+            self._number = run_number(spark, self.path, stream_identity(spark, self.checkpoint))
+        return self._number
+
+
 # ---- lake ---------------------------------------------------------------
 
 
@@ -28,32 +96,59 @@ def batch_folder(path: str, run_id: int, batch_id: int) -> str:
     return f"{path}/run_id={run_id}/batch_id={batch_id}"
 
 
+def write_batch(batch: DataFrame, folder: str, fmt: str = "parquet") -> DataFrame | None:
+    """Rows by date into a folder, a file per date; returns them as written, None (and no folder) without any."""
+    start = "pane" if "pane" in batch.columns else "window_start"
+    dated = batch.withColumn("event_date", F.to_date(start)).hint("rebalance", "event_date")
+    out = dated.write.mode("overwrite").format(fmt).option("ignoreNullFields", "false")
+    out.partitionBy("event_date").save(folder)
+    spark = batch.sparkSession
+    landed = spark.read.format(fmt).schema(dated.schema).load(folder)
+    if landed.isEmpty():
+        _remove(spark, folder)
+        return None
+    return landed
+
+
 def write_lake(
     df: DataFrame,
     path: str,
     checkpoint: str,
     mode: str = "upsert",
-    run_id: int = 0,
     fmt: str = "parquet",
     trigger: Trigger = None,
 ) -> StreamingQuery:
-    """Windowed averages (or pane sums) of each batch to the lake.
+    """Windowed averages (or pane sums) of each batch to the lake, by run, batch and ``event_date``.
 
     ``snapshot`` writes every window again after each batch. ``upsert`` writes
     only the windows the batch changed; ``read_snapshots`` keeps the last one.
     ``final`` writes a window once, when the watermark has passed its end.
-    Give a new ``run_id`` whenever the checkpoint is new.
     """
+    run = _Run(path, checkpoint)
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").format(fmt).save(batch_folder(path, run_id, batch_id))
+        write_batch(batch, batch_folder(path, run.number(batch.sparkSession), batch_id), fmt)
 
     return each_batch(df, land, checkpoint, LAKE_MODES[mode], trigger, skip_empty=False)
 
 
+def _last_written(spark: SparkSession, path: str, start: str, values: tuple[str, ...]) -> DataFrame:
+    """The last row of each date, route and ``start``: the newest compacted table and the batches since."""
+    lake = spark.read.parquet(path)
+    rows = lake.withColumn("_at", snapshot_order())
+    done = _there(lambda: spark.read.schema("upto long").json(f"{path}/_compactions"))
+    upto = done.agg(F.max("upto")).first()[0] if done is not None else None
+    columns = ("event_date", "route_id", start, *values, "_at")
+    rows = rows.select(*columns) if upto is None else rows.where(F.col("_at") > upto).select(*columns)
+    if upto is not None:
+        compacted = spark.read.parquet(f"{path}/_compacted/upto={upto}")
+        rows = rows.unionByName(compacted.withColumn("_at", F.lit(upto)).select(*columns))
+    return latest(rows, ("event_date", "route_id", start), values, F.col("_at"))
+
+
 def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
-    """Last value of every route and window a lake holds."""
-    return latest_snapshot(spark.read.parquet(path), snapshot_order())
+    """Last value of every route and window a lake holds; a filter on ``event_date`` prunes the files."""
+    return _last_written(spark, path, "window_start", ("window_end", "average_delay_seconds"))
 
 
 def read_panes(
@@ -64,7 +159,7 @@ def read_panes(
     A stream of ``pane_sums`` keeps and writes one row per route and minute
     where a stream of ``sliding_avg`` has five.
     """
-    return roll_panes(latest_panes(spark.read.parquet(path), snapshot_order()), size, slide)
+    return roll_panes(_last_written(spark, path, "pane", ("delay_sum", "delay_count")), size, slide)
 
 
 def write_rejects(
@@ -90,9 +185,25 @@ def write_table(df: DataFrame, path: str, ts: str) -> None:
     )
 
 
-def compact_lake(spark: SparkSession, path: str, out: str) -> None:
-    """Rewrite the batches of a lake as one table by date."""
-    write_table(read_snapshots(spark, path), out, "window_start")
+def compact_lake(spark: SparkSession, path: str, out: str | None = None) -> None:
+    """Rewrite the batches of a lake as one table by date.
+
+    Without ``out`` the table becomes part of the lake: readers take it and
+    only the batches written after it. Batches that land meanwhile stay theirs.
+    """
+    lake = spark.read.parquet(path)
+    if "pane" in lake.columns:
+        start, values = "pane", ("delay_sum", "delay_count")
+    else:
+        start, values = "window_start", ("window_end", "average_delay_seconds")
+    upto = lake.agg(F.max(snapshot_order())).first()[0]
+    rows = _last_written(spark, path, start, values)
+    if out is not None:
+        write_table(rows, out, start)
+        return
+    # Rows of a later batch may be among them; that batch is read again over this table.
+    write_table(rows, f"{path}/_compacted/upto={upto}", start)
+    spark.range(1).select(F.lit(upto).alias("upto")).coalesce(1).write.mode("append").json(f"{path}/_compactions")
 
 
 # ---- text ---------------------------------------------------------------
@@ -146,66 +257,94 @@ def write_topics(
 # ---- serving ------------------------------------------------------------
 
 
-def _versions(spark: SparkSession, path: str) -> dict[int, str]:
-    """Complete versions of a serving table (file names only, no data)."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = {}
-    if fs.exists(folder):
-        for status in fs.listStatus(folder):
-            name = status.getPath().getName()
-            done = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-            if name.startswith("version=") and fs.exists(done):
-                found[int(name.split("=")[1])] = status.getPath().toString()
-    return found
-
-
-def _publish(df: DataFrame, path: str, version: int, keep: int = 10) -> None:
-    """Write a version, then drop all but the newest ``keep``."""
-    df.write.mode("overwrite").parquet(f"{path}/version={version}")
+def _published(spark: SparkSession, path: str) -> list[tuple[int, int, object]]:
+    """(run, batch, time) of the complete versions, oldest first: a mark is written after a version's rows."""
+    marks = _there(
+        lambda: spark.read.schema("published_at timestamp, run_id long, batch_id long").json(f"{path}/_published")
+    )
+    if marks is None:
+        return []
+    marks = marks.groupBy("run_id", "batch_id").agg(F.max("published_at").alias("published_at"))
+    return [tuple(r) for r in marks.orderBy("run_id", "batch_id").collect()]
+
+
+def _publish(
+    df: DataFrame, path: str, run_id: int, batch_id: int, keep_for: str | None = None
+) -> None:
+    """Write a version and mark it complete; then drop the versions replaced longer than ``keep_for`` ago.
+
+    The newest version, and with it the one just written, is never dropped, and
+    without ``keep_for`` none is: how long a reader may hold on to a version is
+    the caller's to know.
+    """
     spark = df.sparkSession
-    found = _versions(spark, path)
-    for old in sorted(found)[:-keep]:
-        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(found[old])
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    df.write.mode("overwrite").parquet(batch_folder(path, run_id, batch_id))
+    mark = spark.range(1).select(F.current_timestamp().alias("published_at")).coalesce(1)
+    mark.write.mode("overwrite").json(batch_folder(f"{path}/_published", run_id, batch_id))
+    if keep_for is not None:
+        versions = _published(spark, path)
+        limit = spark.range(1).select((F.current_timestamp() - F.expr(f"INTERVAL {keep_for}")).alias("t")).first()["t"]
+        for (run, batch, _), (_, _, replaced) in zip(versions, versions[1:]):
+            if replaced < limit and (run, batch) != (run_id, batch_id):
+                _remove(spark, batch_folder(f"{path}/_published", run, batch))  # first: no reader looks for it any more
+                _remove(spark, batch_folder(path, run, batch))
 
 
 def read_serving(spark: SparkSession, path: str) -> DataFrame:
-    """Newest complete version of a serving table."""
-    versions = _versions(spark, path)
-    return spark.read.parquet(versions[max(versions)])
+    """Newest complete version of a serving table: of the newest run, its newest batch."""
+    run, batch, _ = _published(spark, path)[-1]
+    return spark.read.parquet(batch_folder(path, run, batch))
 
 
-def _with_previous(current: DataFrame, path: str, batch_id: int) -> DataFrame:
-    older = {v: f for v, f in _versions(current.sparkSession, path).items() if v < batch_id}
+def _with_previous(current: DataFrame, path: str, run_id: int, batch_id: int) -> DataFrame:
+    """The rows over those of the version before, whichever run wrote it."""
+    spark = current.sparkSession
+    older = [v for v in _published(spark, path) if v[:2] < (run_id, batch_id)]
     if not older:
         return current
-    previous = current.sparkSession.read.parquet(older[max(older)])
+    previous = spark.read.parquet(batch_folder(path, *older[-1][:2]))
     both = previous.withColumn("fresh", F.lit(0)).unionByName(current.withColumn("fresh", F.lit(1)))
     return latest_per_route(both, "fresh")
 
 
+def _current(rows: DataFrame, size: str = SIZE) -> DataFrame:
+    """The newest row of each route, from windows or from pane sums."""
+    rows = latest_from_panes(rows, size) if "pane" in rows.columns else latest_per_route(rows)
+    return rows.select("route_id", "window_start", "window_end", "average_delay_seconds")
+
+
 def upsert_serving(
-    df: DataFrame, path: str, checkpoint: str, trigger: Trigger = None
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: Trigger = None,
+    keep_for: str | None = None,
 ) -> StreamingQuery:
-    """One current row per route: the batch's changed windows over the last version.
+    """One current row per route: the batch's changed windows (or panes) over the last version.
 
     A version is a small table (a row per route) in a folder of its own, so
-    readers never meet a half-written one.
+    readers never meet a half-written one. ``keep_for`` ("1 hour") drops versions
+    so long after they were replaced.
     """
+    run = _Run(path, checkpoint)
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        _publish(_with_previous(latest_per_route(batch), path, batch_id), path, batch_id)
+        number = run.number(batch.sparkSession)
+        rows = _with_previous(_current(batch), path, number, batch_id)
+        _publish(rows, path, number, batch_id, keep_for)
 
     return each_batch(df, publish, checkpoint, "update", trigger, skip_empty=False)
 
 
 def run_serving(
-    df: DataFrame, path: str, checkpoint: str, interval: str = "10 seconds"
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    interval: str = "10 seconds",
+    keep_for: str | None = None,
 ) -> StreamingQuery:
     """Refresh the serving table at a fixed interval."""
-    return upsert_serving(df, path, checkpoint, every(interval))
+    return upsert_serving(df, path, checkpoint, every(interval), keep_for)
 
 
 def serve_named(
@@ -213,16 +352,18 @@ def serve_named(
 ) -> StreamingQuery:
     """The whole aggregate as a table that SQL can query under ``name``.
 
-    The rows stay in files of the shared folder instead of the driver's
-    memory; after each batch the name moves to the new version.
+    Each batch lands the windows it changed; the name stands for the last value
+    of every window. Rows stay in files, and with a watermark the state is bounded.
     """
     spark = df.sparkSession
+    run = _Run(path, checkpoint)
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        _publish(batch, path, batch_id)
-        read_serving(spark, path).createOrReplaceTempView(name)
+        write_batch(batch, batch_folder(path, run.number(batch.sparkSession), batch_id))
+        if _there(lambda: spark.read.parquet(path)) is not None:
+            read_snapshots(spark, path).drop("event_date").createOrReplaceTempView(name)
 
-    return each_batch(df, publish, checkpoint, "complete", trigger, skip_empty=False)
+    return each_batch(df, publish, checkpoint, "update", trigger, skip_empty=False)
 
 
 def run_two_sinks(
@@ -230,22 +371,24 @@ def run_two_sinks(
     lake: str,
     serving: str,
     checkpoint: str,
-    run_id: int = 0,
     trigger: Trigger = None,
+    keep_for: str | None = None,
 ) -> StreamingQuery:
     """Lake and serving table from one query: one read, one state, one checkpoint.
 
+    Give it pane sums with a watermark: one state row per route and minute, and
+    bounded state. Sliding averages without one reproduce the unbounded form.
     The serving rows come from the lake files just written, so the batch is
     computed once and needs no cache that a lost executor would empty.
     """
+    runs = _Run(lake, checkpoint), _Run(serving, checkpoint)
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        folder = batch_folder(lake, run_id, batch_id)
-        batch.write.mode("overwrite").parquet(folder)
-        landed = batch.sparkSession.read.parquet(folder)
-        if not landed.isEmpty():
-            current = _with_previous(latest_per_route(landed), serving, batch_id)
-            _publish(current, serving, batch_id)
+        number, served = (r.number(batch.sparkSession) for r in runs)
+        landed = write_batch(batch, batch_folder(lake, number, batch_id))
+        if landed is not None:
+            rows = _with_previous(_current(landed), serving, served, batch_id)
+            _publish(rows, serving, served, batch_id, keep_for)
 
     return each_batch(df, land, checkpoint, "update", trigger, skip_empty=False)
 

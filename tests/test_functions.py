@@ -145,17 +145,21 @@ def test_clamp_delay_and_mean(spark):
         ("inf", math.inf),
         ("", 3.0),
         (None, 3.0),
+        ('\n {"average_delay_seconds":120.0}', 2.0),
+        ('{"average_delay_seconds": Infinity}', math.inf),
     ],
 )
 def test_live_minutes(spark, raw, want):
-    got = value(spark, delays.live_minutes(lit(raw), lit(None), F.lit(3.0)))
+    got = value(spark, delays.live_minutes(lit(raw), F.lit(3.0)))
     assert got == pytest.approx(want, rel=1e-12)
 
 
 def test_live_nan_becomes_zero_and_second_key_counts(spark):
-    minutes = delays.live_minutes(lit("nan"), lit(None), F.lit(3.0))
+    minutes = delays.live_minutes(lit("nan"), F.lit(3.0))
     assert value(spark, numbers.clamp_minutes(minutes)) == 0.0
-    assert value(spark, delays.live_minutes(lit(""), lit("120"), F.lit(3.0))) == 2.0
+    inside = delays.live_minutes(lit('{"average_delay_seconds": NaN}'), F.lit(3.0))
+    assert value(spark, numbers.clamp_minutes(inside)) == 0.0
+    assert value(spark, delays.live_minutes(text.first_present(lit(""), lit("120")), F.lit(3.0))) == 2.0
 
 
 @pytest.mark.parametrize(
@@ -236,3 +240,13 @@ def test_event_time(spark, raw, want):
 
 def test_now_is_an_epoch(spark):
     assert value(spark, times.now_epoch()) > 1_700_000_000
+
+
+@pytest.mark.parametrize("seconds", ["1e14", "1704067200000", "1704067200000000", "-99999999999999", "nan", "inf", "1e300"])
+def test_epochs_no_calendar_has_are_null(spark, seconds):
+    assert value(spark, times.event_time(lit(seconds))) is None
+
+
+def test_first_and_last_second_of_the_calendar(spark):
+    for second in (times.FIRST_SECOND, times.LAST_SECOND):
+        assert value(spark, F.year(times.event_time(lit(str(second))))) in (1, 9999)

@@ -82,9 +82,49 @@ def test_unknown_dialect(spark):
 
 
 def test_envelope(spark):
-    df = texts(spark, '{"schema":{},"payload":{"a":1}}', '{"a":2}', "junk", name="v")
+    df = texts(
+        spark, '{"schema":{},"payload":{"a":1}}', '{"a":2}', "junk", '{"schema":{},"payload":null}', '{"payload":3}', name="v"
+    )
     got = [r[0] for r in df.select(parse.unwrap_envelope(F.col("v"))).collect()]
-    assert got == ['{"a":1}', '{"a":2}', "junk"]
+    assert got == ['{"a":1}', '{"a":2}', "junk", None, '{"payload":3}']
+
+
+def test_far_epochs_stop_no_window(spark):
+    far = [f'{{"route_id":"7","delay_seconds":5,"timestamp":{t}}}' for t in (10**14, 17 * 10**14, -(10**14), 17 * 10**17)]
+    for dialect in ("tolerant", "s1", "s2"):
+        rows_ = parse.parse_telemetry(texts(spark, *far), dialect)
+        assert [r.ts for r in rows_.collect()] == [None] * 4
+        assert windows.sliding_avg(clean.clean_telemetry(rows_)).count() == 0
+        assert windows.sliding_avg(clean.clean_telemetry(rows_), via="expand").count() == 0
+
+
+def test_rows_ahead_of_their_arrival_have_a_reason(spark):
+    df = spark.sql("""SELECT '7' AS route_id, 5 AS delay_seconds, t AS ts, timestamp'2024-01-01 12:00:00' AS came
+        FROM VALUES (timestamp'2024-01-01 13:00:00'), (timestamp'2024-01-01 13:00:01'), (NULL) AS v(t)""")
+    assert clean.not_ahead(df, F.col("came")).count() == 2
+    reasons = [r.reason for r in clean.rejected_telemetry(df, ingested=F.col("came")).collect()]
+    assert sorted(reasons) == ["event time ahead", "no event time"]
+
+
+def test_a_decoded_feed_fits_the_flattener(spark):
+    decoded = spark.sql("""SELECT named_struct('header', named_struct('timestamp', 5L), 'entity', array(named_struct(
+        'trip_update', named_struct('trip', named_struct('route_id', 'r', 'trip_id', 't'), 'stop_time_update',
+        array(named_struct('stop_id', 's', 'departure', named_struct('delay', 3), 'arrival', named_struct('delay', 4))))))) AS feed""")
+    got = feed.flatten_feed(feed.unpack_feed(decoded)).collect()
+    assert [tuple(r) for r in got] == [(5, "r", "t", "s", 3)]
+
+
+def test_null_fields_are_written(spark):
+    df = spark.sql("SELECT '1' AS route_id, CAST(NULL AS INT) AS delay_seconds")
+    assert topics.to_topic_rows(df).first().value == '{"route_id":"1","delay_seconds":null}'
+
+
+def test_latencies_over_many_buckets(spark):
+    df = spark.range(0, 200_000).select(F.lit("x").alias("layer"), (F.col("id") * 7 % 199_999).alias("latency_seconds"))
+    got = monitor.latency_exact(df, bucket=1000).first()
+    values = sorted(k * 7 % 199_999 for k in range(200_000))
+    want = [values[-(-len(values) * p // 100) - 1] for p in (50, 95, 99)]
+    assert [got.p50, got.p95, got.p99] == want and got.events == 200_000
 
 
 def test_rejects_and_clean_rows_split_the_input(spark):
@@ -187,6 +227,11 @@ def test_lines_drop_blank_broken_lists_and_text_delays(spark):
         spark,
         "",
         "   ",
+        "\t",
+        '{"route_id":"9","average_delay_seconds":1} junk',
+        '{"route_id":"9","average_delay_seconds":1}{"route_id":"9","average_delay_seconds":1}',
+        '{"route_id":"9","average_delay_seconds":1},{}',
+        '{"route_id":"9","average_delay_seconds":1}] {}',
         '{"route_id":"7","average_delay_seconds":5',
         "[1]",
         '{"route_id":"7"}',
@@ -418,4 +463,4 @@ def test_topic_options():
 
 def test_topic_rows(spark):
     df = spark.createDataFrame([("7", 5, None)], "route_id string, delay_seconds int, note string")
-    assert topics.to_topic_rows(df).first().value == '{"route_id":"7","delay_seconds":5}'
+    assert topics.to_topic_rows(df).first().value == '{"route_id":"7","delay_seconds":5,"note":null}'

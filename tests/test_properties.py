@@ -139,7 +139,7 @@ stored = st.one_of(
 @given(st.lists(stored, min_size=1, max_size=40))
 def test_live_values_follow_the_rule(spark, data):
     df = spark.createDataFrame(list(enumerate(data)), "i int, raw string")
-    minutes = numbers.clamp_minutes(delays.live_minutes(F.col("raw"), F.lit(None).cast("string"), F.lit(3.0)))
+    minutes = numbers.clamp_minutes(delays.live_minutes(F.col("raw"), F.lit(3.0)))
     for r in df.select("i", "raw", minutes.alias("m")).collect():
         want = max(0.0, min(python_live(r.raw, 3.0), 15.0))
         assert math.isclose(r.m, want, rel_tol=1e-12), r.raw

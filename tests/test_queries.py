@@ -4,8 +4,11 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import connect, difference
+from headway.operators import monitor
+from headway.plans import batch, streams, views
 
 QUERIES = entry.queries()
+ENGINE = [*batch.QUERIES, *streams.QUERIES]
 ORACLE = entry.oracle_sql()
 
 
@@ -14,7 +17,7 @@ def duck(small):
     return connect(small)
 
 
-@pytest.mark.parametrize("name", QUERIES)
+@pytest.mark.parametrize("name", ENGINE)
 def test_query(spark, small, duck, name):
     table = QUERIES[name](spark, small).toArrow()
     assert table.num_rows > 0
@@ -22,9 +25,9 @@ def test_query(spark, small, duck, name):
         assert difference(table, duck.sql(ORACLE[name]).to_arrow_table()) is None
 
 
-def test_only_approximate_and_file_queries_have_no_sql():
-    assert set(QUERIES) - set(ORACLE) == {"latency_report", "lake_footprint"}
-    assert not set(ORACLE) - set(QUERIES)
+def test_every_query_of_the_engine_has_sql():
+    own = {**batch.QUERIES, **streams.QUERIES}
+    assert set(own) <= set(ORACLE) <= set(QUERIES)
 
 
 def test_entry(spark):
@@ -35,7 +38,7 @@ def test_entry(spark):
 
 def test_approximate_latency_is_close(spark, small):
     exact = {r["layer"]: r for r in QUERIES["latency_exact"](spark, small).collect()}
-    for row in QUERIES["latency_report"](spark, small).collect():
+    for row in monitor.latency_report(views.latencies(spark, small)).collect():
         want = exact[row["layer"]]
         assert row["worst"] == want["worst"] and row["events"] == want["events"]
         for share in ("p50", "p95", "p99"):

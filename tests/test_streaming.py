@@ -80,9 +80,9 @@ def test_a_batch_written_twice_counts_once(spark, parts, folder):
 
 def test_runs_are_ordered_before_batches(spark, folder):
     old = spark.createDataFrame([("7", 1, 1.0)], "route_id string, window_end int, average_delay_seconds double")
-    old = old.withColumn("window_start", F.lit(0))
-    old.write.parquet(sinks.batch_folder(folder, 0, 9))
-    old.withColumn("average_delay_seconds", F.lit(2.0)).write.parquet(sinks.batch_folder(folder, 1, 0))
+    old = old.withColumn("window_start", F.lit("2024-01-01").cast("timestamp"))
+    sinks.write_batch(old, sinks.batch_folder(folder, 0, 9))
+    sinks.write_batch(old.withColumn("average_delay_seconds", F.lit(2.0)), sinks.batch_folder(folder, 1, 0))
     assert sinks.read_snapshots(spark, folder).first().average_delay_seconds == 2.0
 
 
@@ -144,12 +144,96 @@ def test_serving_table_has_the_current_row_of_each_route(spark, parts, folder):
     assert rows(sinks.read_serving(spark, f"{folder}/s").select(*want.columns)) == rows(want)
 
 
-def test_old_serving_versions_go_but_the_newest_stay(spark, folder):
+def test_serving_versions_go_by_age_only(spark, folder):
     df = spark.createDataFrame([(1,)], "x int")
-    for v in range(5):
-        sinks._publish(df.withColumn("v", F.lit(v)), folder, v, keep=2)
-    assert sorted(sinks._versions(spark, folder)) == [3, 4]
-    assert sinks.read_serving(spark, folder).first().v == 4
+
+    def publish(run, batch, keep_for):
+        sinks._publish(df.withColumn("v", F.lit(100 * run + batch)), folder, run, batch, keep_for)
+
+    for v in range(12):
+        publish(0, v, None)
+    assert [v[:2] for v in sinks._published(spark, folder)] == [(0, v) for v in range(12)]
+    publish(1, 0, "1 hour")  # a new run, low batch numbers, more than ten old versions
+    assert sinks.read_serving(spark, folder).first().v == 100
+    assert len(sinks._published(spark, folder)) == 13
+    publish(1, 1, "0 seconds")
+    assert [v[:2] for v in sinks._published(spark, folder)] == [(1, 1)]
+    assert sinks.read_serving(spark, folder).first().v == 101
+
+
+def test_an_unfinished_version_is_not_read(spark, folder):
+    df = spark.createDataFrame([(1,)], "x int")
+    sinks._publish(df, folder, 0, 0)
+    df.withColumn("x", F.lit(2)).write.parquet(sinks.batch_folder(folder, 0, 1))  # not marked
+    assert sinks.read_serving(spark, folder).first().x == 1
+
+
+def test_runs_are_numbered_by_their_stream(spark, folder):
+    assert sinks.run_number(spark, folder, "b") == 0
+    assert sinks.run_number(spark, folder, "a") == 1
+    assert sinks.run_number(spark, folder, "b") == 0
+    both = spark.range(2).select(F.lit(2).alias("run_id"), F.when(F.col("id") == 0, "x").otherwise("y").alias("stream"))
+    both.write.mode("append").json(f"{folder}/_runs")  # two claims of one number
+    assert sinks.run_number(spark, folder, "x") == 2
+    assert sinks.run_number(spark, folder, "y") == 3
+
+
+def test_a_new_checkpoint_goes_on_behind_the_old_one(spark, parts, folder):
+    df = parts[1]
+    cut = F.lit("2024-01-15 00:00:00").cast("timestamp")
+    for name, part in (("a", df.where(F.col("ts") < cut)), ("b", df.where(F.col("ts") >= cut))):
+        part.write.parquet(f"{folder}/source/{name}")
+        source = files.read_table_stream(spark, f"{folder}/source/{name}", df.schema)
+        sums = windows.pane_sums(source)
+        runner.finish(sinks.run_two_sinks(sums, f"{folder}/lake", f"{folder}/s", f"{folder}/{name}", trigger=ONCE))
+    assert rows(sinks.read_panes(spark, f"{folder}/lake").select(*COLUMNS)) == rows(batch_result(parts).select(*COLUMNS))
+    want = serving.latest_per_route(batch_result(parts))
+    assert rows(sinks.read_serving(spark, f"{folder}/s").select(*want.columns)) == rows(want)
+
+
+def test_a_compacted_lake_takes_newer_batches_over_the_table(spark, folder):
+    old = spark.createDataFrame([("7", "2024-01-01 10:00:00", 1.0)], "route_id string, w string, average_delay_seconds double")
+    old = old.select("route_id", F.col("w").cast("timestamp").alias("window_start"), F.col("w").cast("timestamp").alias("window_end"), "average_delay_seconds")
+    sinks.write_batch(old, sinks.batch_folder(folder, 0, 0))
+    sinks.write_batch(old.withColumn("route_id", F.lit("8")), sinks.batch_folder(folder, 0, 1))
+    sinks.compact_lake(spark, folder)
+    sinks.write_batch(old.withColumn("average_delay_seconds", F.lit(2.0)), sinks.batch_folder(folder, 1, 0))
+    got = {r.route_id: r.average_delay_seconds for r in sinks.read_snapshots(spark, folder).collect()}
+    assert got == {"7": 2.0, "8": 1.0}
+    day = sinks.read_snapshots(spark, folder).where("event_date = date'2024-01-02'")
+    assert day.count() == 0
+
+
+def test_a_dated_read_lists_its_dates_only(spark, parts, folder):
+    sums = windows.pane_sums(stream(spark, parts))
+    runner.finish(sinks.write_lake(sums, f"{folder}/lake", f"{folder}/cp", trigger=ONCE))
+    day = spark.read.parquet(f"{folder}/lake").where("event_date = date'2024-01-05'")
+    read = {r.f for r in day.select(F.input_file_name().alias("f")).distinct().collect()}
+    assert read and all("event_date=2024-01-05" in f for f in read)
+    plan = sinks._last_written(spark, f"{folder}/lake", "pane", ("delay_sum", "delay_count"))
+    plan = plan.where("event_date = date'2024-01-05'")._jdf.queryExecution().executedPlan().toString()
+    assert "event_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_an_empty_batch_leaves_no_folder(spark, folder):
+    empty = spark.createDataFrame([], "route_id string, window_start timestamp, window_end timestamp, average_delay_seconds double")
+    assert sinks.write_batch(empty, f"{folder}/run_id=0/batch_id=0") is None
+    assert not __import__("os").path.exists(f"{folder}/run_id=0/batch_id=0")
+
+
+def test_a_wrong_clock_closes_no_window(spark, folder):
+    """One row far ahead, as the first message: without the guard the watermark would drop the rest."""
+    times = ["2100-01-01 00:00:00", *(f"2024-01-01 {10 + k // 3}:{20 * (k % 3):02d}:30" for k in range(5))]
+    for k, t in enumerate(times):
+        row = spark.createDataFrame([("7", 60, t)], "route_id string, delay_seconds int, t string")
+        row = row.select("route_id", "delay_seconds", F.col("t").cast("timestamp").alias("ts"))
+        row = row.withColumn("came", F.lit("2024-01-01 12:00:00").cast("timestamp"))
+        row.coalesce(1).write.parquet(f"{folder}/in/part={k}")
+        source = files.read_table_stream(spark, f"{folder}/in/*", row.schema)
+        guarded = clean.not_ahead(source, F.col("came"))
+        averages = windows.sliding_avg(guarded, late="10 minutes")
+        runner.finish(sinks.write_lake(averages, f"{folder}/lake", f"{folder}/cp", "final", trigger=ONCE))
+    assert spark.read.parquet(f"{folder}/lake").count() == 20  # the last message's windows are still open
 
 
 def test_two_sinks_share_one_query(spark, parts, folder):
@@ -205,7 +289,7 @@ def test_a_running_query_refreshes_and_stops(spark, parts, folder):
         sinks.show_stream(stream(spark, parts), f"{folder}/cp2", runner.every("1 second")),
     ]
     end = time.time() + 60
-    while time.time() < end and not sinks._versions(spark, f"{folder}/s"):
+    while time.time() < end and not sinks._published(spark, f"{folder}/s"):
         time.sleep(0.5)
     queries[0].processAllAvailable()
     assert queries[0].isActive
