@@ -8,7 +8,7 @@ it reaches ``min_words`` words, so at most log2(min_words) doublings are made.
 Suffixes with equal names of that least run share a prefix of ``min_words`` words
 or more: these are the intervals of the longest-common-prefix array that matter.
 The interval's first suffix, by (doc_id, line), is kept, the run is deleted from
-the others, with the blank lines inside it.
+the others. Blank lines between deleted lines go with them.
 
 The same is done from the last line backwards. Together the least runs cover
 every maximal repeated run exactly: all starts from which enough words follow
@@ -61,7 +61,10 @@ def _lines(rows: DataFrame) -> DataFrame:
 
 
 def _least_runs(lines: DataFrame, min_words: int) -> DataFrame:
-    """(doc_id, version, begin, end, run) of the shortest runs from, and up to, each line that have ``min_words`` words."""
+    """The shortest runs from, and up to, each line that have ``min_words`` words.
+
+    (doc_id, version, begin, end, first, last, run): by line number, by number among the non-blank lines, and named.
+    """
     doc = Window.partitionBy("doc_id", "version")
     order = doc.orderBy("at")
     levels = (min_words - 1).bit_length()
@@ -84,6 +87,7 @@ def _least_runs(lines: DataFrame, min_words: int) -> DataFrame:
         found = rows.select(
             "doc_id",
             "version",
+            "at",
             "pos",
             *[f"{own}{k}" for k in range(levels + 1)],
             F.count("*").over(frame).alias("size"),
@@ -98,8 +102,17 @@ def _least_runs(lines: DataFrame, min_words: int) -> DataFrame:
             name = F.xxhash64("size", *((here, there) if own == "from" else (there, here)))
             fits = F.col("size") < 2 << k
             run = F.when(fits, name) if run is None else run.when(fits, name)
-        ends = ("pos", "far_pos") if own == "from" else ("far_pos", "pos")
-        return found.select("doc_id", "version", F.col(ends[0]).alias("begin"), F.col(ends[1]).alias("end"), run.alias("run"))
+        begin, end = ("pos", "far_pos") if own == "from" else ("far_pos", "pos")
+        first = F.col("at") if own == "from" else F.col("at") - F.col("size") + 1
+        return found.select(
+            "doc_id",
+            "version",
+            F.col(begin).alias("begin"),
+            F.col(end).alias("end"),
+            first.alias("first"),
+            (first + F.col("size") - 1).alias("last"),
+            run.alias("run"),
+        )
 
     ahead = runs(doc.orderBy("start_words").rangeBetween(0, min_words - 1), "from", "upto", F.last)
     behind = runs(doc.orderBy("end_words").rangeBetween(1 - min_words, 0), "upto", "from", F.first)
@@ -120,10 +133,10 @@ def removed_runs(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_id
     kept = runs.groupBy("run").agg(F.min("place").alias("kept"), F.max("place").alias("last"))
     kept = kept.where(~F.col("kept").eqNullSafe(F.col("last"))).select("run", "kept")
     later = runs.join(kept, "run").where(~F.col("place").eqNullSafe(F.col("kept")))
-    later = later.select("doc_id", "version", "begin", "end").distinct()
-    order = doc.orderBy("begin", "end")
-    reached = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    fresh = F.when(reached.isNull() | (F.col("begin") > reached + 1), 1).otherwise(0)
+    later = later.select("doc_id", "version", "begin", "end", "first", "last").distinct()
+    order = doc.orderBy("first", "last")
+    reached = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = F.when(reached.isNull() | (F.col("first") > reached + 1), 1).otherwise(0)
     later = later.withColumn("fresh", fresh).withColumn("part", F.sum("fresh").over(order))
     return later.groupBy("doc_id", "version", "part").agg(F.min("begin").alias("begin"), F.max("end").alias("end")).drop("part")
 

@@ -126,28 +126,33 @@ ORACLE = {
     "op10_line_runs": r"""
         WITH docs AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
         every AS (
-            SELECT doc_id, unnest(range(len(lines)))::INT AS pos,
-                trim(unnest(lines), ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS line FROM docs
-        ), full_lines AS (
-            SELECT doc_id, pos, line, len(regexp_extract_all(line, '[^ \t\r\x0B\f]+')) AS words,
-                row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS nr
-            FROM every WHERE line <> ''
+            SELECT doc_id, unnest(range(len(lines))) AS pos, unnest(lines) AS raw,
+                trim(raw, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS line FROM docs
+        ), numbered AS (
+            -- nr: number of the line, or of the line before a blank one, among those that are not blank
+            SELECT *, sum((line <> '')::INT) OVER (PARTITION BY doc_id ORDER BY pos) AS nr FROM every
         ), summed AS (
-            SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY nr) AS upto FROM full_lines
+            SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY nr) AS upto FROM (
+                SELECT *, len(regexp_extract_all(line, '[^ \t\r\x0B\f]+')) AS words FROM numbered WHERE line <> '')
         ), runs AS (
             -- the shortest run of 50 words from, and up to, each line: its lines and its place
-            SELECT doc_id, list(line) OVER f AS run, pos AS first_pos, last(pos) OVER f AS last_pos, sum(words) OVER f AS n
+            SELECT doc_id, list(line) OVER f AS run, nr AS first_nr, last(nr) OVER f AS last_nr, sum(words) OVER f AS n
             FROM summed WINDOW f AS (PARTITION BY doc_id ORDER BY upto - words RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING)
             UNION ALL
-            SELECT doc_id, list(line) OVER f, first(pos) OVER f, pos, sum(words) OVER f
+            SELECT doc_id, list(line) OVER f, first(nr) OVER f, nr, sum(words) OVER f
             FROM summed WINDOW f AS (PARTITION BY doc_id ORDER BY upto RANGE BETWEEN 49 PRECEDING AND CURRENT ROW)
         ), ranked AS (
-            SELECT *, dense_rank() OVER (PARTITION BY run ORDER BY doc_id, first_pos) AS k FROM runs WHERE n >= 50
+            SELECT *, dense_rank() OVER (PARTITION BY run ORDER BY doc_id, first_nr) AS k FROM runs WHERE n >= 50
         ), spots AS (
-            SELECT DISTINCT doc_id, unnest(range(first_pos, last_pos + 1)) AS pos FROM ranked WHERE k > 1
-        ), gone AS (SELECT doc_id, list(pos) AS spots FROM spots GROUP BY doc_id)
-        SELECT doc_id, len(lines) AS n_lines, coalesce(len(spots), 0) AS n_removed,
-            array_to_string(list_filter(lines, lambda x, i: spots IS NULL OR NOT list_contains(spots, i - 1)), chr(10)) AS text
-        FROM docs LEFT JOIN gone USING (doc_id)
+            SELECT DISTINCT doc_id, unnest(range(first_nr::BIGINT, last_nr::BIGINT + 1)) AS nr FROM ranked WHERE k > 1
+        ), marked AS (
+            -- a blank line goes if the lines round it do
+            SELECT e.*, a.nr IS NOT NULL AND (line <> '' OR b.nr IS NOT NULL) AS gone
+            FROM numbered e LEFT JOIN spots a ON a.doc_id = e.doc_id AND a.nr = e.nr
+                LEFT JOIN spots b ON b.doc_id = e.doc_id AND b.nr = e.nr + 1
+        )
+        SELECT doc_id, count(*) AS n_lines, sum(gone::INT)::BIGINT AS n_removed,
+            coalesce(string_agg(raw, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS text
+        FROM marked GROUP BY doc_id
     """,
 }
