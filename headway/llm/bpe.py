@@ -16,7 +16,6 @@ from __future__ import annotations
 import gc
 import hashlib
 import json
-import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -24,10 +23,12 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from tokenizers import Tokenizer
 
 from . import common
 
 NONE = np.int64(1) << 60
+_BEYOND = regex.compile("[^\\x00-\\u024f]").search
 LOCKSTEP = 64  # words up to so many symbols share an array
 ROWS = 20_000  # words of one array
 
@@ -48,6 +49,8 @@ class Model:
         vocab: dict[str, int] = model["vocab"]
         end = model["end_of_word_suffix"] or ""
         names = _byte_names()
+        self.library = Tokenizer.from_str(data.decode())
+        self.byte = {name: b for b, name in enumerate(names)}
         self.first = np.array([vocab[x] for x in names], np.int64)
         self.last = np.array([vocab[x + end] for x in names], np.int64)
         self.special = {t["content"]: t["id"] for t in file["added_tokens"]}
@@ -74,44 +77,58 @@ class Model:
         hit = self.keys[at] == want
         return np.where(hit, self.ranks[at], NONE), self.made[at]
 
-    # -- normalisation --------------------------------------------------------------------------
+    # -- words ----------------------------------------------------------------------------------
 
-    @staticmethod
-    def lowered(text: str) -> str:
-        """NFC, then lower case code point by code point (no rule for a final sigma)."""
-        text = unicodedata.normalize("NFC", text)
-        return "".join(map(str.lower, text)) if "Σ" in text else text.lower()
+    def split(self, text: str) -> list[str]:
+        """Normalised words of a text without white space and special strings.
+
+        Up to the Latin letters of two bytes all versions of Unicode agree and
+        composing changes nothing; beyond, the file's own normaliser and word
+        pattern say what a letter is.
+        """
+        if not _BEYOND(text):
+            low = text.lower()
+            return [low] if low.isalpha() else self.words(low)  # letters alone are one word
+        plain = self.library.normalizer.normalize_str(text)
+        pieces = self.library.pre_tokenizer.pre_tokenize_str(plain)
+        return [bytes(map(self.byte.__getitem__, piece)).decode() for piece, _ in pieces]
 
     def parts(self, chunk: str) -> list[str]:
         """The words and special strings of a chunk without white space."""
         if not self.marks or "<|" not in chunk:
-            return self.words(self.lowered(chunk))
+            return self.split(chunk)
         out: list[str] = []
         for piece in self.marks.split(chunk):
-            out += [piece] if piece in self.special else self.words(self.lowered(piece))
+            out += [piece] if piece in self.special else self.split(piece)
         return out
 
     # -- segment trees --------------------------------------------------------------------------
 
     def encode_words(self, words: list[str]) -> list[list[int]]:
         """The ids of each word."""
+        return [np.frombuffer(x, np.int64).tolist() for x in self.encode_bytes(words, np.dtype(np.int64))]
+
+    def encode_bytes(self, words: list[str], kind: np.dtype) -> list[bytes]:
+        """The ids of each word as numbers of the given type."""
         raw = [w.encode() for w in words]
-        out: list[list[int]] = [[]] * len(words)
+        out = [b""] * len(words)
         groups: dict[int, list[int]] = {}
         for k, b in enumerate(raw):
             if b[:2] == b"<|" and words[k] in self.special:
-                out[k] = [self.special[words[k]]]
+                out[k] = np.array([self.special[words[k]]], kind).tobytes()
                 continue
             groups.setdefault(1 << max(1, (len(b) - 1).bit_length()), []).append(k)
         for width, members in groups.items():
             if width > LOCKSTEP:
                 for k in members:
-                    out[k] = self._one_tree(raw[k], width)
+                    out[k] = np.array(self._one_tree(raw[k], width), kind).tobytes()
                 continue
             for at in range(0, len(members), ROWS):
                 some = members[at : at + ROWS]
-                for k, ids in zip(some, self._lockstep([raw[k] for k in some], width)):
-                    out[k] = ids
+                ids, ends = self._lockstep([raw[k] for k in some], width)
+                packed, begin = ids.astype(kind).tobytes(), 0
+                for k, end in zip(some, (ends * kind.itemsize).tolist()):
+                    out[k], begin = packed[begin:end], end
         return out
 
     def _symbols(self, raw: bytes) -> np.ndarray:
@@ -120,7 +137,8 @@ class Model:
         symbols[-1] = self.last[codes[-1]]
         return symbols
 
-    def _lockstep(self, raw: list[bytes], width: int) -> Iterator[list[int]]:
+    def _lockstep(self, raw: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words in a row, and where each word's end."""
         rows, bits = len(raw), width.bit_length() - 1
         sizes = np.array([len(b) for b in raw])
         codes = np.frombuffer(b"".join(b.ljust(width, b"\0") for b in raw), np.uint8).reshape(rows, width)
@@ -163,8 +181,8 @@ class Model:
                 node >>= 1
                 tree[who, node] = np.minimum(tree[who, 2 * node], tree[who, 2 * node + 1])
             row = row[tree[row, 1] < NONE]
-        for line in symbols.tolist():
-            yield [s for s in line if s >= 0]
+        left = symbols >= 0
+        return symbols[left], np.cumsum(left.sum(axis=1))
 
     def _one_tree(self, raw: bytes, width: int) -> list[int]:
         symbols = self._symbols(raw).tolist()
@@ -233,6 +251,38 @@ class Encoder:
             gc.enable()
 
 
+class IdBytes:
+    """The ids of a text as little-endian bytes, with the chunks' ids kept in a bounded cache."""
+
+    def __init__(self, data: bytes) -> None:
+        self.model = Model(data)
+        self.kind = np.dtype("<u2" if self.model.size <= 1 << 16 else "<u4")
+        self.chunk: dict[str, bytes] = {}
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        lasting = gc.isenabled()
+        gc.disable()  # as above
+        if len(self.chunk) > 2 * common.CACHE_ENTRIES:
+            self.chunk.clear()
+        rows = [common.chunks(t) for t in texts]
+        parts = [(c, self.model.parts(c)) for c in set().union(*rows) - self.chunk.keys()]
+        words = list({w for _, part in parts for w in part})
+        get = dict(zip(words, self.model.encode_bytes(words, self.kind))).__getitem__
+        for c, part in parts:
+            self.chunk[c] = get(part[0]) if len(part) == 1 else b"".join(map(get, part))
+        get = self.chunk.__getitem__
+        out = [b"".join(map(get, r)) for r in rows]
+        if lasting:
+            gc.enable()
+        return out
+
+
+@lru_cache(1)
+def kept_bytes(data: bytes) -> IdBytes:
+    """One for each Python worker, so that tasks share the caches."""
+    return IdBytes(data)
+
+
 @lru_cache(1)
 def kept_encoder(data: bytes) -> Encoder:
     """One for each Python worker, so that tasks share the caches."""

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..session import shared_folder
 
 #: Bytes of text in one Arrow batch, so that a batch of very long texts stays small.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 #: Entries of a per-task cache; a full cache is emptied, so memory is bounded for any vocabulary.
 CACHE_ENTRIES = 600_000
 

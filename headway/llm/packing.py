@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import common
+from . import bpe, common
 
 BUCKETS, DIMS, BITS = 1024, 3, 10
 
@@ -63,31 +63,20 @@ def _vectors(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     data = common.vocabulary(docs.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        library = Tokenizer.from_str(data.value.decode())
-        library.no_truncation()
-        library.no_padding()
-        size = max(library.get_vocab_size(), end_id + 1)
-        kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        encoder = bpe.kept_bytes(data.value)
+        kind = encoder.kind
         random = np.random.default_rng(20)
-        bucket = random.integers(0, BUCKETS, size)
+        bucket = random.integers(0, BUCKETS, max(encoder.model.size, end_id + 1))
         axes = random.standard_normal((BUCKETS, DIMS))
-        end, cache = np.array([end_id], kind).tobytes(), {}
+        end = np.array([end_id], kind).tobytes()
         for batch in batches:
-            rows = [common.chunks(t) for t in batch["text"].to_pylist()]
-            if len(cache) > common.CACHE_ENTRIES:
-                cache.clear()
-            new = list({c for r in rows for c in r if c not in cache})
-            for c, e in zip(new, library.encode_batch(new, add_special_tokens=False)):
-                cache[c] = np.array(e.ids, kind).tobytes()
-            packed = [b"".join(map(cache.__getitem__, r)) + end for r in rows]
-            y = np.empty((len(rows), DIMS))
+            packed = [ids + end for ids in encoder.encode(batch["text"].to_pylist())]
+            y = np.empty((len(packed), DIMS))
             for k, raw in enumerate(packed):
                 v = np.log1p(np.bincount(bucket[np.frombuffer(raw, kind)], minlength=BUCKETS))
                 y[k] = v @ axes / np.linalg.norm(v)
             columns = [batch["doc_id"], pa.array([len(x) // kind.itemsize for x in packed], pa.int64())]
-            columns += [pa.array([kind.itemsize] * len(rows), pa.int32()), pa.array(packed, pa.binary())]
+            columns += [pa.array([kind.itemsize] * len(packed), pa.int32()), pa.array(packed, pa.binary())]
             columns += [pa.array(y[:, d]) for d in range(DIMS)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "width", "ids", *(f"y{d}" for d in range(DIMS))])
 
