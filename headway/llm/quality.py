@@ -6,8 +6,8 @@ encoded by a small dense layer. Gated attention, learned from the documents'
 labels alone, weighs the passages; the weighted representation gets the score.
 
 The model is fitted on a bounded sample: of each label at most ``sample``
-documents, those with the lowest hash of their id. Every document is scored on
-its whole text. Labels, language, source and id are not among the inputs.
+documents, those with the lowest hash of their id, and of a long one at most
+``TRAINING_PASSAGES`` passages. Every document is scored on its whole text. Labels, language, source and id are not among the inputs.
 
 Null and empty texts are one passage without words. Null labels are dropped;
 of several labels of one id the mean, rounded, counts. Without labels of
@@ -31,6 +31,8 @@ from . import common
 WORDS = 64  # of a passage
 THRESHOLD = 0.3
 SAMPLE = 2000
+#: Of a training document, at most so many passages, evenly spaced; scores use all passages.
+TRAINING_PASSAGES = 256
 PAIRS = 32
 _KIND = np.array(
     [
@@ -157,7 +159,8 @@ def training_bags(docs: DataFrame, labels: DataFrame, sample: int) -> tuple[np.n
             if batch.num_rows:
                 x, sizes = passages(batch["text"].to_pylist())
                 ends = np.cumsum(sizes)
-                raw = [x[e - n : e].astype(np.float32).tobytes() for e, n in zip(ends, sizes)]
+                picks = [np.linspace(e - n, e - 1, min(n, TRAINING_PASSAGES)).astype(int) for e, n in zip(ends, sizes)]
+                raw = [x[p].astype(np.float32).tobytes() for p in picks]
                 yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["label"], pa.array(raw, pa.binary())], ["doc_id", "label", "x"])
 
     bags = rows.select("doc_id", "text", "label").mapInArrow(run, "doc_id long, label int, x binary").toArrow()
