@@ -104,7 +104,7 @@ def write_batch(batch: DataFrame, folder: str, fmt: str = "parquet") -> DataFram
     out.partitionBy("event_date").save(folder)
     spark = batch.sparkSession
     landed = spark.read.format(fmt).schema(dated.schema).load(folder)
-    if landed.isEmpty():
+    if not landed.inputFiles():  # names only: no date, no file
         _remove(spark, folder)
         return None
     return landed
