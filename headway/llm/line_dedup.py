@@ -17,7 +17,7 @@ The first copy of a line in the corpus is never deleted.
 
 All of it is DataFrame expressions. Lines that occur once leave before any
 sequence is built, groups are reduced to their first member by partial
-aggregation, and windows run over the lines of one document only.
+aggregation, joins leave hot names to adaptive splitting, and windows run over the lines of one document only.
 
 Null texts are empty. A null id comes first in the order. Rows that agree in id
 and text are one document and get the same result. Blank lines are kept and
@@ -30,6 +30,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import common
+
 MIN_WORDS = 50
 WHITE = " \t\r\x0B\f"
 
@@ -123,15 +125,20 @@ def removed_runs(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_id
     """(doc_id, version, begin, end): the runs to delete, by line number from 0, merged where they meet."""
     lines = _lines(_texts(docs, key, text))
     often = lines.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name")
+    # Adaptive execution splits the rows of a hot name or run only where both sides of the join
+    # come from plain exchanges, so aggregates are written before they are joined.
+    often = common.stored(often, "repeated-lines")
     lines = lines.join(often, "name", "left_semi")
     doc = Window.partitionBy("doc_id", "version")
     # A repeated row gives its lines twice.
     before = F.lag("at").over(doc.orderBy("at"))
     lines = lines.withColumn("before", before).where("before IS NULL OR before <> at").drop("before")
-    runs = _least_runs(lines, min_words).withColumn("place", F.struct("doc_id", "version", "begin"))
+    runs = common.stored(_least_runs(lines, min_words), "line-runs")
+    runs = runs.withColumn("place", F.struct("doc_id", "version", "begin"))
     # An interval of the suffix array: its first suffix stays.
     kept = runs.groupBy("run").agg(F.min("place").alias("kept"), F.max("place").alias("last"))
     kept = kept.where(~F.col("kept").eqNullSafe(F.col("last"))).select("run", "kept")
+    kept = common.stored(kept, "kept-runs")
     later = runs.join(kept, "run").where(~F.col("place").eqNullSafe(F.col("kept")))
     later = later.select("doc_id", "version", "begin", "end", "first", "last").distinct()
     order = doc.orderBy("first", "last")
