@@ -74,8 +74,9 @@ def passages(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     share = 1 / np.maximum(lengths, 1)[:, None]
     kinds = np.bincount(who * KINDS + _KIND[raw], minlength=len(parts) * KINDS).reshape(-1, KINDS) * share
     low = raw.astype(np.int64) | 32
-    pair = (low[:-1] * 31 + low[1:]) % PAIRS if len(raw) else low
-    pairs = np.bincount(who[:-1] * PAIRS + pair, minlength=len(parts) * PAIRS).reshape(-1, PAIRS) * share
+    inside = who[:-1] == who[1:]  # both bytes of a pair are of one passage
+    pair = ((low[:-1] * 31 + low[1:]) % PAIRS)[inside]
+    pairs = np.bincount(who[:-1][inside] * PAIRS + pair, minlength=len(parts) * PAIRS).reshape(-1, PAIRS) * share
     return np.hstack([np.sqrt(kinds), np.sqrt(pairs), np.array(figures)]), np.array(sizes)
 
 

@@ -109,6 +109,20 @@ def test_gradients():
         assert found[at] == pytest.approx((high - low) / 2e-6, abs=1e-5), name
 
 
+def test_a_text_scores_the_same_in_any_batch(spark, small):
+    texts = [t or "" for _, t in ODD] + ["a b", "", "zq", "Q", "one two"]
+    alone = np.vstack([quality.passages([t])[0] for t in texts])
+    x, sizes = quality.passages(texts)
+    assert (x == alone).all()
+    backwards = np.split(quality.passages(texts[::-1])[0], np.cumsum(sizes[::-1])[:-1])
+    assert (np.vstack(backwards[::-1]) == alone).all()
+    docs, labels = (spark.read.parquet(f"{small}/{t}.parquet") for t in ("documents", "labels"))
+    scores = quality.scorer(quality.common.texts(docs, "doc_id", "text"), labels)
+    one = np.concatenate([scores([t]) for t in texts])
+    assert scores(texts) == pytest.approx(one, abs=1e-9)
+    assert scores(texts[::-1])[::-1] == pytest.approx(one, abs=1e-9)
+
+
 def test_held_out_accuracy(spark):
     folder = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
