@@ -18,6 +18,8 @@ from headway.llm import common, jaccard, line_dedup, packing, quality
 from headway.session import shared_folder
 
 TOKENIZER = "word_bpe_49k.json"
+#: A character that is no white space for ``str.split``, by which near_dup takes words.
+SOLID = r"[^\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,7 +32,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     """Texts without later copies of repeated runs; emptied documents go, documents empty before stay."""
     lines, gone = "_pipeline_lines", "_pipeline_gone"
     out = line_dedup.dedup_lines(docs, counts=(lines, gone))
-    out = out.where((F.col(gone) == 0) | (F.trim("text") != ""))
+    out = out.where((F.col(gone) == 0) | F.col("text").rlike(SOLID))
     if "n_chars" in docs.columns:
         length = F.char_length("text").cast(docs.schema["n_chars"].dataType)
         out = out.withColumn("n_chars", F.when(F.col(gone) > 0, length).otherwise(F.col("n_chars")))

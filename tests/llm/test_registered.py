@@ -1,5 +1,6 @@
 """Registered queries, the pipeline, and an installation without this package."""
 
+import re
 import subprocess
 import sys
 from pathlib import Path
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 import corpus_pipeline
 from compare import connect, difference
-from conftest import rows
+from conftest import PASSAGE, rows
 from headway.llm import jaccard, line_dedup, quality, queries
 from test_tokens import check_packing
 
@@ -56,6 +57,19 @@ def test_one_stage_after_the_other(spark, small):
     assert rows(whole.groupBy("doc_id").agg(F.sum("length"))) == rows(packed.groupBy("doc_id").agg(F.sum("length")))
 
 
+def test_copies_with_blank_edges_leave_nothing(spark, small):
+    assert not any(re.search(corpus_pipeline.SOLID, chr(k)) for k in range(0x110000) if chr(k).isspace())
+    assert all(re.search(corpus_pipeline.SOLID, chr(k)) for k in range(0x110000) if not chr(k).isspace())
+    edges = [("", ""), ("", "\n\n"), ("\n", "\n"), ("\t\n", "\r\n \n"), ("\r\n\x0b\n", "\n\f"), ("", "\n\xa0"), ("\u3000\n", "")]
+    docs = [(k, a + PASSAGE + b, 0) for k, (a, b) in enumerate(edges)]
+    docs += [(20, PASSAGE + "\n\nown words", 0), (21, "\n\n", 2), (22, None, 0)]
+    table = spark.createDataFrame(docs, "doc_id long, text string, n_chars long")
+    stages = dict(corpus_pipeline.STAGES)
+    lines = stages["line_dedup"](spark, table, small)
+    assert rows(lines, "doc_id", "text") == sorted([(0, PASSAGE), (20, "\nown words"), (21, "\n\n"), (22, None)], key=str)
+    assert len(rows(stages["near_dup"](spark, lines, small))) == 4
+
+
 def test_stages_take_odd_rows(spark, odd, small):
     for name, stage in corpus_pipeline.STAGES:
         out = stage(spark, odd, small)
