@@ -6,8 +6,10 @@ encoded by a small dense layer. Gated attention, learned from the documents'
 labels alone, weighs the passages; the weighted representation gets the score.
 
 The model is fitted on a bounded sample: of each label at most ``sample``
-documents, those with the lowest hash of their id, and of a long one at most
-``TRAINING_PASSAGES`` passages. Every document is scored on its whole text. Labels, language, source and id are not among the inputs.
+documents, those with the lowest hash of their id, each with all its passages.
+Of these the first stays, and any other as long as it and those before it have
+at most ``sample_passages`` passages in all. Every document is scored on its
+whole text. Labels, language, source and id are not among the inputs.
 
 Null and empty texts are one passage without words. Null labels are dropped;
 of several labels of one id the mean, rounded, counts. Without labels of
@@ -23,7 +25,7 @@ from operator import eq
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -31,8 +33,8 @@ from . import common
 WORDS = 64  # of a passage
 THRESHOLD = 0.3
 SAMPLE = 2000
-#: Of a training document, at most so many passages, evenly spaced; scores use all passages.
-TRAINING_PASSAGES = 256
+#: Passages of the sampled documents of one label: bounds how many documents, never the text of one.
+SAMPLE_PASSAGES = 100_000
 PAIRS = 32
 _KIND = np.array(
     [
@@ -49,12 +51,16 @@ FIGURES = 5
 FEATURES = KINDS + PAIRS + FIGURES
 
 
+def _size(words: list[str]) -> int:
+    return max(1, -(-len(words) // WORDS))
+
+
 def passages(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Features of all passages, and the number of passages of each text."""
     parts, figures, sizes = [], [], []
     for text in texts:
         words = text.split()
-        sizes.append(max(1, -(-len(words) // WORDS)))
+        sizes.append(_size(words))
         for at in range(0, max(1, len(words)), WORDS):
             some = words[at : at + WORDS]
             n = max(1, len(some))
@@ -142,7 +148,7 @@ def fit(x: np.ndarray, sizes: np.ndarray, labels: np.ndarray, hidden: int = 16,
     return model
 
 
-def training_bags(docs: DataFrame, labels: DataFrame, sample: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def training_bags(docs: DataFrame, labels: DataFrame, sample: int, sample_passages: int = SAMPLE_PASSAGES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Features, passages per document and labels of the sample, in the order of the ids."""
     marks = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("q"))
@@ -153,27 +159,32 @@ def training_bags(docs: DataFrame, labels: DataFrame, sample: int) -> tuple[np.n
     order = F.xxhash64("doc_id")
     sides = [marks.where(F.col("label") == y).orderBy(order, "doc_id").limit(sample) for y in (0, 1)]
     chosen = F.broadcast(sides[0].union(sides[1]))  # at most 2 * sample ids
-    rows = docs.join(chosen, "doc_id").dropDuplicates(["doc_id"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                x, sizes = passages(batch["text"].to_pylist())
-                ends = np.cumsum(sizes)
-                picks = [np.linspace(e - n, e - 1, min(n, TRAINING_PASSAGES)).astype(int) for e, n in zip(ends, sizes)]
-                raw = [x[p].astype(np.float32).tobytes() for p in picks]
-                yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["label"], pa.array(raw, pa.binary())], ["doc_id", "label", "x"])
-
-    bags = rows.select("doc_id", "text", "label").mapInArrow(run, "doc_id long, label int, x binary").toArrow()
+    rows = docs.join(chosen, "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "label")
+    rows = common.stored(rows, "quality-sample")
+
+    def count(batch: pa.RecordBatch) -> pa.RecordBatch:
+        n = pa.array([_size(t.split()) for t in batch["text"].to_pylist()], pa.int64())
+        return pa.RecordBatch.from_arrays([batch["doc_id"], batch["label"], n], ["doc_id", "label", "n"])
+
+    def describe(batch: pa.RecordBatch) -> pa.RecordBatch:
+        x, sizes = passages(batch["text"].to_pylist())
+        raw = [part.astype(np.float32).tobytes() for part in np.split(x, np.cumsum(sizes)[:-1])]
+        return pa.RecordBatch.from_arrays([batch["doc_id"], batch["label"], pa.array(raw, pa.binary())], ["doc_id", "label", "x"])
+
+    sizes = common.map_batches(rows, count, "doc_id long, label int, n long")
+    before = Window.partitionBy("label").orderBy(order, "doc_id")
+    whole = sizes.withColumn("total", F.sum("n").over(before)).where((F.col("total") <= sample_passages) | (F.col("total") == F.col("n")))
+    rows = rows.join(F.broadcast(whole.select("doc_id")), "doc_id")
+    bags = common.map_batches(rows.select("doc_id", "text", "label"), describe, "doc_id long, label int, x binary").toArrow()
     bags = bags.sort_by("doc_id")
     parts = [np.frombuffer(b, np.float32).reshape(-1, FEATURES) for b in bags["x"].to_pylist()]
     x = np.concatenate(parts) if parts else np.zeros((0, FEATURES), np.float32)
     return x.astype(np.float64), np.array([len(p) for p in parts], np.int64), bags["label"].to_numpy()
 
 
-def scorer(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE):
+def scorer(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_passages: int = SAMPLE_PASSAGES):
     """A function from texts to scores, fitted on the labelled rows of ``docs`` (doc_id, text)."""
-    x, sizes, marks = training_bags(docs, labels, sample)
+    x, sizes, marks = training_bags(docs, labels, sample, sample_passages)
     model = fit(x, sizes, marks.astype(float)) if 0 < marks.sum() < len(marks) else None
     even = float(marks.mean()) if len(marks) else 0.5
 
@@ -184,12 +195,18 @@ def scorer(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE):
 
 
 def score(
-    docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, sample: int = SAMPLE, key: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    labels: DataFrame,
+    threshold: float = THRESHOLD,
+    sample: int = SAMPLE,
+    key: str = "doc_id",
+    text: str = "text",
+    sample_passages: int = SAMPLE_PASSAGES,
 ) -> DataFrame:
     """doc_id, held_out, score (0 to 1), predicted."""
     common.ready(docs.sparkSession)
     rows = common.texts(docs, key, text)
-    scores = scorer(rows, labels, sample)
+    scores = scorer(rows, labels, sample, sample_passages)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -207,11 +224,17 @@ def score(
 
 
 def keep_good(
-    docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, sample: int = SAMPLE, key: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    labels: DataFrame,
+    threshold: float = THRESHOLD,
+    sample: int = SAMPLE,
+    key: str = "doc_id",
+    text: str = "text",
+    sample_passages: int = SAMPLE_PASSAGES,
 ) -> DataFrame:
     """The rows of ``docs``, all columns, whose score reaches the threshold."""
     common.ready(docs.sparkSession)
-    scores = scorer(common.texts(docs, key, text), labels, sample)
+    scores = scorer(common.texts(docs, key, text), labels, sample, sample_passages)
     place = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -123,6 +123,20 @@ def test_a_text_scores_the_same_in_any_batch(spark, small):
     assert scores(texts[::-1])[::-1] == pytest.approx(one, abs=1e-9)
 
 
+def test_sampled_documents_are_whole(spark):
+    ids = [k for k in range(60) if zlib.crc32(str(k).encode()) % 5 != 0][:12]
+    docs = [(i, " ".join(f"w{i}x{j}" for j in range(quality.WORDS * 400))) for i in ids]
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, k % 2) for k, i in enumerate(ids)], "doc_id long, quality int")
+    x, sizes, marks = quality.training_bags(table, labels, 2000)
+    assert sizes.tolist() == [400] * 12 and marks.tolist() == [k % 2 for k in range(12)]
+    want = quality.passages([t for _, t in docs])[0].astype(np.float32)
+    assert (x == want).all()
+    for bound, n in ((1200, 3), (1199, 2), (1, 1)):  # fewer documents, each of them whole, and one at least
+        x, sizes, marks = quality.training_bags(table, labels, 2000, bound)
+        assert sizes.tolist() == [400] * 2 * n and marks.sum() == n and len(x) == 800 * n
+
+
 def test_held_out_accuracy(spark):
     folder = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
