@@ -9,9 +9,11 @@ values with m matches, under a uniform prior, the posterior probability that the
 similarity reaches the threshold is P(Binomial(n + 1, threshold) <= m); below
 the tolerance the pair is dropped. The rest is verified on the shingle sets.
 
-Pairs are never written out. Large buckets are split into tiles of two blocks
-of bounded size, each a unit of work of its own, and a tile gives one row per
-member: its number of links and its root in the tile's spanning forest.
+Pairs are never written out. Large buckets are split into tiles of two blocks,
+each a unit of work of its own, and a tile gives one row per member: its number
+of links and its root in the tile's spanning forest. Members are dealt to blocks
+by hash, as many blocks as keep both their members and their bytes of text
+bounded on average (a text beyond the bound is read whole).
 
 Texts without words (null, empty, blank) are linked to nothing. Rows that
 agree in text are links of each other, also with equal ids. Null ids take part
@@ -27,6 +29,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +43,7 @@ VALUES = 128
 STEP = 8
 TOLERANCE = 1e-4
 TILE = 512  # members of one block of a large bucket
+TILE_BYTES = 64 << 20  # of text of one block
 
 
 class _Hashes(dict):
@@ -112,8 +116,9 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             batch["node"],
             pa.array([None if v is None else v.tobytes() for v in values], pa.binary()),
             pa.array([None if v is None else next(bands) for v in values], pa.list_(pa.int64())),
+            pc.binary_length(batch["text"]).cast(pa.int64()),
         ]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "values", "bands"])
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "values", "bands", "size"])
 
 
 def _candidates(values: np.ndarray, left: np.ndarray, right: np.ndarray, need: np.ndarray):
@@ -218,27 +223,31 @@ def _nodes(docs: DataFrame, key: str, text: str) -> DataFrame:
     return common.texts(docs, key, text).withColumn("node", F.unhex(F.md5("text")))
 
 
-def _classified(docs: DataFrame, threshold: float, tile: int, key: str, text: str) -> tuple[DataFrame, DataFrame]:
-    """All rows as (doc_id, text, node), and the nodes: copies, links, and the first row of their class."""
-    spark = docs.sparkSession
-    common.ready(spark)
-    rows = _nodes(docs, key, text)
-    described = rows.mapInArrow(_describe, "doc_id long, node binary, values binary, bands array<long>")
+def _described(rows: DataFrame) -> DataFrame:
+    """The nodes, written: their smallest id, copies, signature, bands and bytes of text."""
+    described = rows.mapInArrow(_describe, "doc_id long, node binary, values binary, bands array<long>, size long")
     nodes = described.groupBy("node").agg(
         F.min("doc_id").alias("rep"),
         F.count("*").alias("copies"),
         F.first("values").alias("values"),
         F.first("bands").alias("bands"),
+        F.first("size").alias("size"),
     )
-    nodes = common.stored(nodes, "signatures")
-    bands = nodes.select("node", F.explode("bands").alias("bucket"))
+    return common.stored(nodes, "signatures")
+
+
+def _tiles(rows: DataFrame, nodes: DataFrame, tile: int, tile_bytes: int) -> DataFrame:
+    """The members of each tile (bucket, i, j), with their texts, side by side."""
+    bands = nodes.select("node", "size", F.explode("bands").alias("bucket"))
     # Buckets of the same members are one: size, first member and a digest of all say so.
     buckets = bands.groupBy("bucket").agg(
-        F.count("*").alias("n"), F.min("node").alias("low"), F.bit_xor(F.xxhash64("node")).alias("mix")
+        F.count("*").alias("n"), F.min("node").alias("low"), F.bit_xor(F.xxhash64("node")).alias("mix"), F.sum("size").alias("bytes")
     )
     number = F.struct((F.col("bucket").bitwiseAND(31)).alias("number"), "bucket")  # the first band of them
-    buckets = buckets.where("n > 1").groupBy("n", "low", "mix").agg(F.min(number).alias("b")).select("n", "b.bucket")
-    members = bands.join(buckets, "bucket").groupBy("node").agg(F.collect_list(F.struct("bucket", "n")).alias("kept"))
+    buckets = buckets.where("n > 1").groupBy("n", "low", "mix", "bytes").agg(F.min(number).alias("b"))
+    blocks = F.greatest(F.ceil(F.col("n") / tile), F.least("n", F.ceil(F.col("bytes") / tile_bytes)))
+    buckets = buckets.select("b.bucket", blocks.cast("int").alias("blocks"))
+    members = bands.join(buckets, "bucket").groupBy("node").agg(F.collect_list(F.struct("bucket", "blocks")).alias("kept"))
     members = members.join(nodes.select("node", "rep", "copies", "values"), "node")
     # The text of one row of each node.
     members = (
@@ -246,11 +255,10 @@ def _classified(docs: DataFrame, threshold: float, tile: int, key: str, text: st
         .join(rows.alias("r"), (F.col("m.node") == F.col("r.node")) & F.col("m.rep").eqNullSafe(F.col("r.doc_id")))
         .select("m.node", "m.copies", "m.values", "m.kept", "r.text")
     )
-    blocks = F.ceil(F.col("b.n") / tile).cast("int")
-    tiles = (
+    return (
         members.withColumn("b", F.explode("kept"))
-        .withColumn("block", F.pmod(F.xxhash64("node", "b.bucket"), blocks).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        .withColumn("block", F.pmod(F.xxhash64("node", "b.bucket"), F.col("b.blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("b.blocks") - 1)))
         .select(
             F.col("b.bucket").alias("bucket"),
             F.least("block", "other").alias("i"),
@@ -265,6 +273,16 @@ def _classified(docs: DataFrame, threshold: float, tile: int, key: str, text: st
         .repartition("bucket", "i", "j")
         .sortWithinPartitions("bucket", "i", "j")
     )
+
+
+def _classified(
+    docs: DataFrame, threshold: float, tile: int, tile_bytes: int, key: str, text: str
+) -> tuple[DataFrame, DataFrame]:
+    """All rows as (doc_id, text, node), and the nodes: copies, links, and the first row of their class."""
+    common.ready(docs.sparkSession)
+    rows = _nodes(docs, key, text)
+    nodes = _described(rows)
+    tiles = _tiles(rows, nodes, tile, tile_bytes)
     found = common.stored(tiles.mapInArrow(_verify(threshold), "node binary, links long, root binary"), "links")
     ties = components.stars(found.select(F.col("node").alias("u"), F.col("root").alias("v")))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
@@ -286,19 +304,19 @@ def _classified(docs: DataFrame, threshold: float, tile: int, key: str, text: st
 
 
 def classes(
-    docs: DataFrame, threshold: float = THRESHOLD, tile: int = TILE, key: str = "doc_id", text: str = "text"
+    docs: DataFrame, threshold: float = THRESHOLD, tile: int = TILE, key: str = "doc_id", text: str = "text", tile_bytes: int = TILE_BYTES
 ) -> DataFrame:
     """(doc_id, class_id, n_links) of every row: the smallest id of its class, and how many rows it is linked to."""
-    rows, nodes = _classified(docs, threshold, tile, key, text)
+    rows, nodes = _classified(docs, threshold, tile, tile_bytes, key, text)
     class_id = F.when(F.col("n_links") > 0, F.col("best_id")).otherwise(F.col("doc_id")).alias("class_id")
     return rows.select("doc_id", "node").join(nodes, "node").select("doc_id", class_id, "n_links")
 
 
 def keep_one(
-    docs: DataFrame, threshold: float = THRESHOLD, tile: int = TILE, key: str = "doc_id", text: str = "text"
+    docs: DataFrame, threshold: float = THRESHOLD, tile: int = TILE, key: str = "doc_id", text: str = "text", tile_bytes: int = TILE_BYTES
 ) -> DataFrame:
     """The rows of ``docs`` without links, and of each class one row: that of the smallest id."""
-    rows, nodes = _classified(docs, threshold, tile, key, text)
+    rows, nodes = _classified(docs, threshold, tile, tile_bytes, key, text)
     if not rows.groupBy("doc_id", "node").count().where("count > 1").isEmpty():
         docs = docs.dropDuplicates([key, text])  # several rows could be the first of their class
     body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))

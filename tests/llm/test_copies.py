@@ -133,6 +133,20 @@ def test_a_large_group_in_tiles(spark):
     assert rows(jaccard.classes(table)) == want
 
 
+def test_tiles_of_long_texts(spark):
+    docs = list(enumerate(near_copies(40, 5, words=2000)))
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    size = len(docs[0][1])
+    jaccard.common.ready(spark)
+    nodes = jaccard._nodes(table, "doc_id", "text")
+    tiles = jaccard._tiles(nodes, jaccard._described(nodes), jaccard.TILE, 5 * size)
+    sums = tiles.groupBy("bucket", "i", "j").agg(F.sum(F.octet_length("text")).alias("bytes"))
+    assert sums.agg(F.max("bytes")).first()[0] < 25 * size  # two blocks of 5 on average; one tile would hold 40
+    want = brute_classes(docs)
+    for bound in (1, 5 * size):
+        assert rows(jaccard.classes(table, tile_bytes=bound)) == want
+
+
 def test_pairs_at_the_threshold(spark):
     # 50 shingles each, 40 + k of them shared: similarity from below to above 0.8
     base = [f"b{k}" for k in range(54)]
