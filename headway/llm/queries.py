@@ -6,8 +6,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, jaccard, line_dedup, ngram_lm, packing, quality, token_counts, topk
+from . import (
+    alignment,
+    ann,
+    bpe,
+    chat,
+    fingerprints,
+    jaccard,
+    line_dedup,
+    ngram_lm,
+    packing,
+    periodic_runs,
+    quality,
+    token_counts,
+    topk,
+)
 
+BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
 PIECE_BPE = "piece_bpe_32k.model"
 
@@ -66,6 +81,36 @@ def op10_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op11_improbable_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprints.fingerprints(_table(spark, sf_dir, "documents"))
+    digest = F.sha2("edited", 256).alias("edited_sha256")
+    return found.select("doc_id", "n_chars", digest, "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
+def op12_diagonal_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.repeat_some(_table(spark, sf_dir, "documents"))
+    found = periodic_runs.periodic_runs(docs)
+    # Runs come by start and period: of equal exponents the first stays.
+    top = F.reduce("runs", F.get("runs", F.lit(0)), lambda best, r: F.when(r.length * best.period > best.length * r.period, r).otherwise(best))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period))
+    runs = F.when(F.size("runs") > 0, F.concat(F.array_join(lines, "\n"), F.lit("\n"))).otherwise("")
+    return found.withColumn("top", top).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "top.start",
+        "top.length",
+        "top.period",
+        F.expr("top.length * 1000 DIV top.period").alias("exponent_milli"),
+        F.sha2(runs, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_asof_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECE_BPE)
+    return alignment.align(_table(spark, sf_dir, "documents"), *paths)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -79,6 +124,9 @@ QUERIES = {
         op8_attention_quality,
         op9_segment_tree_bpe,
         op10_line_runs,
+        op11_improbable_features,
+        op12_diagonal_runs,
+        op13_asof_alignment,
     )
 }
 
@@ -123,6 +171,57 @@ ORACLE = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
     """,
+    "op12_diagonal_runs": r"""
+        WITH checked AS (
+            -- crc32 of the decimal id, bit by bit
+            SELECT doc_id, coalesce(text, '') AS text, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+                flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c:
+                    list_transform(range(8), lambda k: (ascii(c)::BIGINT >> k::BIGINT) & 1)))),
+                lambda crc, bit: xor(crc >> 1, 3988292384 * (xor(crc, bit) & 1)))) AS h
+            FROM documents
+        ), split AS (
+            SELECT doc_id, h, list_filter(regexp_split_to_array(text, '[ \t-\r]+'), lambda w: w <> '') AS words FROM checked
+        ), placed AS (
+            SELECT *, len(words) AS n, (h // 10) % greatest(len(words), 1) AS a FROM split
+        ), planted AS (
+            SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM placed
+        ), texts AS (
+            SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+                THEN list_transform(range(n), lambda i: words[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END])
+                ELSE words END AS words
+            FROM planted
+        ), grams AS (
+            -- every run repeats 16 words: the 16 words up to place i
+            SELECT doc_id, n, unnest(range(15, n)) AS i, unnest(list_transform(range(15, n), lambda i: hash(words[i - 14 : i + 1]))) AS gram
+            FROM texts WHERE n >= 24
+        ), pairs AS (
+            SELECT a.doc_id, a.i, a.i - b.i AS lag FROM grams a JOIN grams b USING (doc_id, gram)
+            WHERE b.i < a.i AND 3 * (a.i - b.i) <= a.n
+        ), stretches AS (
+            SELECT doc_id, lag, min(i) - 15 - lag AS start, max(i) - min(i) + 16 + lag AS length
+            FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, lag ORDER BY i) AS island FROM pairs)
+            GROUP BY doc_id, lag, island
+        ), runs AS (
+            SELECT doc_id, start, length, min(lag) AS period FROM stretches WHERE length >= greatest(24, 3 * lag)
+            GROUP BY doc_id, start, length
+        ), ranked AS (
+            SELECT *, (length * 1000) // period AS milli FROM runs
+        ), best AS (
+            SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+            FROM runs GROUP BY doc_id
+        ), top AS (
+            SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id
+                ORDER BY length::DECIMAL(38, 18) / period DESC, start, period) AS k FROM ranked) WHERE k = 1
+        ), dropped AS (
+            SELECT doc_id, list_distinct(flatten(list(range(start + period, start + length)))) AS gone FROM runs GROUP BY doc_id
+        )
+        SELECT t.doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, milli AS exponent_milli,
+            sha256(coalesce(lines, '')) AS runs_sha256,
+            sha256(coalesce(list_aggregate(CASE WHEN gone IS NULL THEN words
+                ELSE list_transform(list_sort(list_filter(range(n), lambda i: NOT list_contains(gone, i))), lambda i: words[i + 1]) END,
+                'string_agg', ' '), '')) AS collapsed_sha256
+        FROM texts t LEFT JOIN best USING (doc_id) LEFT JOIN top USING (doc_id) LEFT JOIN dropped USING (doc_id)
+    """,
     "op10_line_runs": r"""
         WITH docs AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
         every AS (

@@ -26,7 +26,7 @@ def test_query_with_sql(spark, small, name):
 
 def test_each_operator_is_registered_once():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
