@@ -43,6 +43,9 @@ from .bpe import _byte_names
 SPACE = "▁"
 #: A space behind white space or the space's own sign is no sure cut; one behind any other character is.
 _LOOSE = re.compile(f"[\\s{SPACE}] ")
+_NONE = np.zeros(0, np.int64)
+#: Units that are aligned at a time, of however many documents: groups end with each unit, so a long text needs no more room.
+UNITS = 30_000
 _CUT = re.compile(f"(?<=[^\\s{SPACE}])(?= )")
 
 
@@ -116,30 +119,38 @@ class Sides:
         self.ids = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
         self.cuts = [np.zeros(1, np.int64), np.zeros(1, np.int64)]
 
-    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each side the ids of all texts and their number in each; none where the token bytes are not the text's."""
+    def number(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The units of all texts by number, and whose they are; none where token bytes are not the text's."""
         lasting = gc.isenabled()
         gc.disable()  # nothing here is cyclic, and looking for cycles among so many entries takes long
         rows = [self.units(t) if t else [] for t in texts]
-        if len(self.code) > common.CACHE_ENTRIES:
+        if len(self.code) > common.CACHE_ENTRIES * 2 // 3:
             self.forget()
-        new = {u for r in rows for u in r} - self.code.keys()
+        new = set().union(*rows) - self.code.keys()
         if new:
             self.learn([*new])
         sizes = np.array([len(r) for r in rows])
         codes = np.fromiter(map(self.code.__getitem__, chain.from_iterable(rows)), np.int64, int(sizes.sum()))
         doc = np.repeat(np.arange(len(rows)), sizes)
-        fine = ~np.isin(doc, doc[self.bad[codes]])
-        codes, doc = codes[fine], doc[fine]
-        out = []
-        for ids, cuts in zip(self.ids, self.cuts):
-            first, n = cuts[codes], cuts[codes + 1] - cuts[codes]
-            upto = np.cumsum(n)
-            at = np.repeat(first - upto + n, n) + np.arange(upto[-1] if len(upto) else 0)
-            out.append((ids[at], np.bincount(doc, n, len(rows)).astype(np.int64)))
         if lasting:
             gc.enable()
-        return out
+        fine = ~np.isin(doc, doc[self.bad[codes]]) if self.bad.any() else slice(None)
+        return codes[fine], doc[fine]
+
+    def tokens(self, side: int, codes: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of units on a side (0 or 1), and whose each is."""
+        cuts = self.cuts[side]
+        first, n = cuts[codes], cuts[codes + 1] - cuts[codes]
+        upto = np.cumsum(n)
+        at = np.repeat(first - upto + n, n) + np.arange(upto[-1])
+        return self.ids[side][at], np.repeat(doc, n)
+
+    def parts(self, texts: list[str]) -> Iterator[tuple[np.ndarray, ...]]:
+        """(ids of A, their document, ids of B, theirs) for so many units at a time; both sides end with each unit."""
+        codes, doc = self.number(texts)
+        for at in range(0, len(codes), UNITS):
+            some = codes[at : at + UNITS], doc[at : at + UNITS]
+            yield *self.tokens(0, *some), *self.tokens(1, *some)
 
 
 @lru_cache(1)
@@ -148,40 +159,36 @@ def kept_sides(a: bytes, b: bytes) -> Sides:
     return Sides(a, b)
 
 
-def _tokens(ids: np.ndarray, counts: np.ndarray, size: np.ndarray) -> pd.DataFrame:
-    """Each token's document and byte range, the documents of a batch one behind the other."""
-    end = np.cumsum(size[ids])
-    doc = np.repeat(np.arange(len(counts)), counts)
-    return pd.DataFrame({"start": end - size[ids], "end": end, "doc": doc, "token": np.arange(len(ids))})
+def _ranges(size: np.ndarray, doc: np.ndarray) -> pd.DataFrame:
+    """Each token's document, first byte and place, the documents one behind the other."""
+    return pd.DataFrame({"start": np.cumsum(size) - size, "doc": doc, "token": np.arange(len(doc))})
 
 
 def overlaps(a: pd.DataFrame, b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Places (in A, in B) of all pairs of tokens of a document that share a byte; ``doc`` keys, starts ascend."""
-    other = b[["start", "doc", "token"]].assign(at=b["start"])
-    over_a = pd.merge_asof(a, other, on="start", by="doc", suffixes=("", "_b"))
-    other = a[["start", "doc", "token"]].assign(at=a["start"])
-    over_b = pd.merge_asof(b, other, on="start", by="doc", suffixes=("", "_a"))
-    over_b = over_b[over_b["at"] != over_b["start"]]  # equal starts were found from the other side
-    left = np.concatenate([over_a["token"].to_numpy(), over_b["token_a"].to_numpy()])
-    right = np.concatenate([over_a["token_b"].to_numpy(), over_b["token"].to_numpy()])
-    return left.astype(np.int64), right.astype(np.int64)
+    keys = ["start", "doc"]
+    under_a = pd.merge_asof(a[keys], b, on="start", by="doc")["token"].to_numpy(np.int64)
+    under_b = pd.merge_asof(b[keys], a, on="start", by="doc")["token"].to_numpy(np.int64)
+    # Pairs with equal starts are found from both sides.
+    more = a["start"].to_numpy()[under_b] != b["start"].to_numpy()
+    left = np.concatenate([a["token"].to_numpy(), under_b[more]])
+    return left, np.concatenate([under_a, b["token"].to_numpy()[more]])
 
 
-def _group_texts(sides: Sides, ids_a, ids_b, counts_a, counts_b, last_a, last_b) -> list[str]:
+def _group_texts(sides: Sides, ids_a, doc_a, ids_b, doc_b, last_a, last_b) -> Iterator[tuple[int, str]]:
     """``a1,a2|b1;a3|b2,b3`` of each document, given each group's last tokens on both sides."""
     end_a, end_b = np.zeros(len(ids_a), bool), np.zeros(len(ids_b), bool)
     end_a[last_a] = end_b[last_b] = True
     group_a, group_b = np.cumsum(end_a) - end_a, np.cumsum(end_b) - end_b
-    before_b = np.concatenate([[0], last_b + 1])[group_a]  # tokens of B in the groups before
-    upto_a = (last_a + 1)[group_b] if len(last_a) else group_b
     parts = np.empty(len(ids_a) + len(ids_b), object)
-    parts[np.arange(len(ids_a)) + before_b] = sides.text_a[ids_a + end_a * len(sides.bytes_a)]
-    parts[np.arange(len(ids_b)) + upto_a] = sides.text_b[ids_b + end_b * len(sides.bytes_b)]
-    every, at, out = parts.tolist(), 0, []
-    for n in (counts_a + counts_b).tolist():
-        out.append("".join(every[at : at + n])[:-1])
-        at += n
-    return out
+    before_b, upto_a = np.concatenate([[0], last_b + 1]), last_a + 1
+    parts[np.arange(len(ids_a)) + before_b[group_a]] = sides.text_a[ids_a + end_a * len(sides.bytes_a)]
+    parts[np.arange(len(ids_b)) + upto_a[group_b]] = sides.text_b[ids_b + end_b * len(sides.bytes_b)]
+    every = parts.tolist()
+    found, first_a = np.unique(doc_a, return_index=True)
+    first = first_a + np.searchsorted(doc_b, found)
+    for doc, i, j in zip(found.tolist(), first.tolist(), [*first[1:].tolist(), len(every)]):
+        yield doc, "".join(every[i:j])[:-1]
 
 
 FIGURES = ("n_a", "n_b", "n_groups", "n_overlaps", "n_links")
@@ -204,26 +211,38 @@ def align(docs: DataFrame, path_a: str, path_b: str, key: str = "doc_id", text:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            (ids_a, counts_a), (ids_b, counts_b) = sides.encode(batch["text"].to_pylist())
-            table_a, table_b = _tokens(ids_a, counts_a, sides.size_a), _tokens(ids_b, counts_b, sides.size_b)
-            left, right = overlaps(table_a, table_b)
-            rows, doc_a = len(counts_a), table_a["doc"].to_numpy()
-            n_overlaps = np.bincount(doc_a[left], minlength=rows)
-            ending = table_a["end"].to_numpy()[left] == table_b["end"].to_numpy()[right]
-            left, right = np.sort(left[ending]), np.sort(right[ending])  # links: one ends each group
-            n_links = np.bincount(doc_a[left], minlength=rows)
-            groups = _group_texts(sides, ids_a, ids_b, counts_a, counts_b, left, right)
+            rows, base = batch.num_rows, 0
+            figures = np.zeros((4, rows), np.int64)  # tokens of A and B, overlaps, links
+            groups: list[list[str]] = [[] for _ in range(rows)]
+            begin = np.full(rows, -1)  # first byte of each document
+            linked = []  # document, pair and last byte of each link
+            for ids_a, doc_a, ids_b, doc_b in sides.parts(batch["text"].to_pylist()):
+                size_a, size_b = sides.size_a[ids_a], sides.size_b[ids_b]
+                left, right = overlaps(_ranges(size_a, doc_a), _ranges(size_b, doc_b))
+                end_a, end_b = np.cumsum(size_a), np.cumsum(size_b)
+                ending = end_a[left] == end_b[right]
+                last_a, last_b = np.sort(left[ending]), np.sort(right[ending])  # links: one ends each group
+                for row, docs_of in enumerate((doc_a, doc_b, doc_a[left], doc_a[last_a])):
+                    figures[row] += np.bincount(docs_of, minlength=rows)
+                for k, text_of in _group_texts(sides, ids_a, doc_a, ids_b, doc_b, last_a, last_b):
+                    groups[k].append(text_of)
+                found, at = np.unique(doc_a, return_index=True)
+                begin[found] = np.where(begin[found] < 0, base + end_a[at] - size_a[at], begin[found])
+                linked.append((doc_a[last_a], ids_a[last_a] << 32 | ids_b[last_b], base + end_a[last_a]))
+                base += int(end_a[-1])
+            groups = [";".join(g) for g in groups]
             digests = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in groups]
-            at, pairs = pd.factorize(ids_a[left] << 32 | ids_b[right])
+            link_doc, link_pair, link_end = map(np.concatenate, zip((_NONE, _NONE, _NONE), *linked))
+            at, pairs = pd.factorize(link_pair)
             often = np.bincount(at, minlength=len(pairs))
-            cuts = np.concatenate([[0], np.cumsum(n_links)])
-            lists = [np.sort(at[i:j]).astype("<u4").tobytes() for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+            cuts = np.concatenate([[0], np.cumsum(figures[3])]).tolist()
+            lists = [np.sort(at[i:j]).astype("<u4").tobytes() for i, j in zip(cuts, cuts[1:])]
             # The block's pairs lie in its first row.
             own = [None] * (rows - 1)
             columns = [
                 pa.array([block] * rows, pa.int64()),
                 batch["doc_id"],
-                *(pa.array(x, pa.int64()) for x in (counts_a, counts_b, n_links, n_overlaps, n_links)),
+                *(pa.array(figures[k], pa.int64()) for k in (0, 1, 3, 2, 3)),
                 pa.array(digests),
                 pa.array(lists, pa.binary()),
                 pa.array([pairs.tolist(), *own], pa.list_(pa.int64())),
@@ -231,14 +250,12 @@ def align(docs: DataFrame, path_a: str, path_b: str, key: str = "doc_id", text:
             ]
             names = ["block", "doc_id", *FIGURES, "groups_sha256", "at", "pairs", "often"]
             if full:
-                ends = table_a["end"].to_numpy()
-                base = np.concatenate([[0], ends])[np.cumsum(counts_a) - counts_a]
                 links = [
-                    {"a": x, "b": y, "end": z}
-                    for x, y, z in zip(ids_a[left].tolist(), ids_b[right].tolist(), (ends[left] - base[doc_a[left]]).tolist())
+                    {"a": x >> 32, "b": x & 0xFFFFFFFF, "end": e}
+                    for x, e in zip(link_pair.tolist(), (link_end - begin[link_doc]).tolist())
                 ]
                 kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("end", pa.int64())]))
-                columns += [pa.array(groups), pa.array([links[i:j] for i, j in zip(cuts[:-1], cuts[1:])], kind)]
+                columns += [pa.array(groups), pa.array([links[i:j] for i, j in zip(cuts, cuts[1:])], kind)]
                 names += ["groups", "links"]
             yield pa.RecordBatch.from_arrays(columns, names)
             block += 1
