@@ -315,12 +315,20 @@ def classes(
 def keep_one(
     docs: DataFrame, threshold: float = THRESHOLD, tile: int = TILE, key: str = "doc_id", text: str = "text", tile_bytes: int = TILE_BYTES
 ) -> DataFrame:
-    """The rows of ``docs`` without links, and of each class one row: that of the smallest id."""
+    """The rows of ``docs`` without links, and of each class one row: that of the smallest id.
+
+    Rows of the same id and text are one another's links if the text holds enough words, and then
+    one of them stays (the one whose columns hash lowest); rows without links all stay.
+    """
     rows, nodes = _classified(docs, threshold, tile, tile_bytes, key, text)
-    if not rows.groupBy("doc_id", "node").count().where("count > 1").isEmpty():
-        docs = docs.dropDuplicates([key, text])  # several rows could be the first of their class
     body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     marked = docs.select(F.struct("*").alias("row"), F.unhex(F.md5(body)).alias("node"))
     own = F.col(f"row.`{key}`").cast("long")
     stays = (F.col("n_links") == 0) | ((F.col("node") == F.col("best_node")) & own.eqNullSafe(F.col("best_id")))
-    return marked.join(nodes, "node").where(stays).select("row.*")
+    kept = marked.join(nodes, "node").where(stays)
+    if not rows.groupBy("doc_id", "node").count().where("count > 1").isEmpty():
+        # Several rows can be the first of their class. Dealt anew, so that the join above can split a hot text.
+        firsts = kept.where("n_links > 0").repartition("node").groupBy("node")
+        firsts = firsts.agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row"))
+        kept = kept.where("n_links = 0").select("row").unionByName(firsts.select("row"))
+    return kept.select("row.*")

@@ -168,6 +168,21 @@ def test_one_of_each_class_stays(spark, odd, none):
     assert jaccard.keep_one(none).count() == 0
 
 
+def test_one_of_a_class_and_all_rows_without_links(spark):
+    """Against the rule itself: repeated rows, nulls, empty and blank texts, copies and texts of their own."""
+    words = " ".join(f"word{k}" for k in range(40))
+    near = words.replace("word39", "other")
+    table = [(1, "", "a"), (1, "", "b"), (3, None, "a"), (3, None, "a"), (None, None, "c"), (4, "  ", "a"), (4, "  ", "a")]
+    table += [(5, words, "x"), (5, words, "y"), (5, words, "x"), (6, words, "x"), (7, near, "x"), (7, near, "x"), (8, near, "z")]
+    table += [(9, "a text of its own with words enough for a shingle", "x"), (None, words, "x")]
+    df = spark.createDataFrame(table, "doc_id long, text string, lang string")
+    got = Counter((r.doc_id, r.text) for r in jaccard.keep_one(df).collect())
+    alone = Counter((i, t) for i, t, _ in table if t is None or not t.split() or i == 9)
+    assert got == alone + Counter([(5, words)])
+    again = jaccard.keep_one(df.repartition(5)).where("doc_id = 5").collect()
+    assert again == jaccard.keep_one(df).where("doc_id = 5").collect()
+
+
 def test_posterior_bound():
     need = jaccard.least_matches(0.8, 1e-4)
     assert (need[1:] <= range(1, jaccard.VALUES + 1)).all() and need[8] >= 1 and need[128] > 80
