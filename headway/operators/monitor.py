@@ -92,10 +92,8 @@ def latency_exact(df: DataFrame, by: str = "layer", bucket: int = 3600) -> DataF
     )
 
 
-def report_within(df: DataFrame, by: str = "layer", accuracy: int = 10000) -> DataFrame:
-    """Whether each approximate percentile of the report keeps its promise: a rank
-    error of at most ``events / accuracy``, against the exact counts."""
-    report = latency_report(df, by, accuracy)
+def within_rank(report: DataFrame, df: DataFrame, slack: Column, by: str = "layer") -> DataFrame:
+    """Whether each percentile of a report is at most ``slack`` ranks off, against the exact counts."""
     shares = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(s).alias("share"), F.col(n).alias("value")) for n, s in SHARES.items()])
     marks = report.select(by, "worst", "events", F.explode(shares).alias("s")).select(by, "worst", "events", "s.*")
     counts = df.groupBy(by, "latency_seconds").agg(F.count(F.lit(1)).alias("n"))
@@ -107,7 +105,7 @@ def report_within(df: DataFrame, by: str = "layer", accuracy: int = 10000) -> Da
             F.sum(F.when(F.col("latency_seconds") <= F.col("value"), F.col("n")).otherwise(0)).alias("up_to"),
         )
     )
-    rank, slack = F.col("share") * F.col("events"), F.col("events") / accuracy + 1
+    rank = F.col("share") * F.col("events")
     return met.select(
         by,
         F.col("name").alias("share"),
@@ -117,6 +115,42 @@ def report_within(df: DataFrame, by: str = "layer", accuracy: int = 10000) -> Da
     )
 
 
+def report_within(df: DataFrame, by: str = "layer", accuracy: int = 10000) -> DataFrame:
+    """Whether each approximate percentile of the report keeps its promise: a rank
+    error of at most ``events / accuracy``, against the exact counts."""
+    return within_rank(latency_report(df, by, accuracy), df, F.col("events") / accuracy + 1, by)
+
+
+# Size of the stored quantile sketches, and the share of ranks by which they may be off:
+# twice the error that 99 % of the sketches of this size keep.
+SKETCH_K = 1024
+SKETCH_SLACK = 0.0075
+
+
+def latency_sketches(df: DataFrame, by: Sequence[str] = ("layer", "hour"), k: int = SKETCH_K) -> DataFrame:
+    """One quantile sketch (some KB), the worst latency and the number of events per layer and hour.
+
+    The rows of several deliveries may lie side by side in a table: ``latency_from_sketches`` merges them.
+    """
+    return df.groupBy(*by).agg(
+        F.kll_sketch_agg_bigint("latency_seconds", k).alias("sketch"),
+        F.max("latency_seconds").alias("worst"),
+        F.count("latency_seconds").alias("events"),
+    )
+
+
+def latency_from_sketches(store: DataFrame, by: str = "layer") -> DataFrame:
+    """The percentiles of ``latency_report`` from stored sketches; no event is read again.
+
+    Sketches merge map-side, and a filter on the hour gives the figures of any span of hours.
+    """
+    merged = store.groupBy(by).agg(
+        F.kll_merge_agg_bigint("sketch").alias("sketch"), F.max("worst").alias("worst"), F.sum("events").alias("events")
+    )
+    named = [F.kll_sketch_get_quantile_bigint("sketch", F.lit(share)).alias(name) for name, share in SHARES.items()]
+    return merged.select(by, *named, "worst", "events")
+
+
 def lake_footprint(lake: DataFrame, by: Sequence[str] = ("event_date",)) -> DataFrame:
     """Files, rows and bytes of a file-backed table per partition value.
 

@@ -11,10 +11,11 @@ rows. Sums and counts decompose, so both give the same averages.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import mean_of, round2
+from .clean import not_ahead
 
 # Window length, slide and rows of the ranking.
 SIZE = "5 minutes"
@@ -41,10 +42,21 @@ def flatten_window(df: DataFrame, as_text: bool = False) -> DataFrame:
     )
 
 
-def pane_sums(df: DataFrame, slide: str = SLIDE, late: str | None = None) -> DataFrame:
-    """Sum and count of delays per route and tumbling pane."""
-    if late:
-        df = df.withWatermark("ts", late)
+def _watermarked(df: DataFrame, late: str | None, ingested: Column | None) -> DataFrame:
+    """Rows whose clock runs ahead of ``ingested`` leave before the watermark sees them."""
+    if ingested is not None:
+        df = not_ahead(df, ingested)
+    return df.withWatermark("ts", late) if late else df
+
+
+def pane_sums(
+    df: DataFrame, slide: str = SLIDE, late: str | None = None, ingested: Column | None = None
+) -> DataFrame:
+    """Sum and count of delays per route and tumbling pane.
+
+    ``ingested``, the time a row came in, keeps one wrong clock from closing the panes of all others.
+    """
+    df = _watermarked(df, late, ingested)
     panes = df.groupBy(F.window("ts", slide), "route_id").agg(
         F.sum("delay_seconds").alias("delay_sum"),
         F.count("delay_seconds").alias("delay_count"),
@@ -52,6 +64,12 @@ def pane_sums(df: DataFrame, slide: str = SLIDE, late: str | None = None) -> Dat
     return panes.select("route_id", F.col("window.start").alias("pane"), "delay_sum", "delay_count")
 
 
+def pane_end(slide: str = SLIDE, ts: str = "ts") -> Column:
+    """When the pane of a row ends; NULL without a time (``window`` would drop the row)."""
+    length = seconds(slide)
+    return F.timestamp_seconds((F.floor(F.unix_seconds(ts) / length) + 1) * length)
+
+
 def roll_panes(panes: DataFrame, size: str = SIZE, slide: str = SLIDE) -> DataFrame:
     """Panes to sliding windows; a pane lies whole in each window it touches."""
     if seconds(size) % seconds(slide):
@@ -68,16 +86,16 @@ def sliding_avg(
     slide: str = SLIDE,
     late: str | None = None,
     via: str = "panes",
+    ingested: Column | None = None,
 ) -> DataFrame:
     """Average delay per route and sliding window of cleaned telemetry.
 
     ``late`` sets a watermark on streams, which bounds the state and drops
-    rows that come later; without it nothing is ever late.
+    rows that come later; without it nothing is ever late. ``ingested`` as in ``pane_sums``.
     """
     if via == "panes" and not df.isStreaming:
-        return roll_panes(pane_sums(df, slide), size, slide)
-    if late:
-        df = df.withWatermark("ts", late)
+        return roll_panes(pane_sums(df, slide, ingested=ingested), size, slide)
+    df = _watermarked(df, late, ingested)
     averages = df.groupBy(F.window("ts", size, slide), "route_id").agg(
         F.avg("delay_seconds").alias("average_delay_seconds")
     )

@@ -248,6 +248,16 @@ def latency_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monitor.latency_exact(views.latencies(spark, sf_dir))
 
 
+def latency_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of two deliveries, stored by layer and hour and merged on read, against the exact counts."""
+    folder, rows = shared_folder(spark, "sketches"), views.latencies(spark, sf_dir)
+    odd = F.col("latency_seconds") % 2 == 1
+    for part in (rows.where(odd), rows.where(~odd)):
+        monitor.latency_sketches(part).write.mode("append").parquet(folder)
+    report = monitor.latency_from_sketches(spark.read.parquet(folder))
+    return monitor.within_rank(report, rows, F.col("events") * monitor.SKETCH_SLACK + 1)
+
+
 def lake_footprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files and bytes depend on the writer: only that there are some is compared."""
     folder = shared_folder(spark, "footprint")
@@ -319,6 +329,7 @@ QUERIES = {
         ingest_peak,
         latency_report,
         latency_exact,
+        latency_sketched,
         lake_footprint,
         retain_recent,
         route_topics,

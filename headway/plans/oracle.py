@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from ..sources.dims import BASELINES, DEFAULT_BASELINE, DEFAULT_PATH, PATHS, ROUTES, VEHICLES
 from .batch import KEEP_AGE, KEEP_BYTES, TOPIC_PATTERN
-from .streams import LATE, LATE_CUT
+from .streams import DELIVERIES, LAG, LATE, LATE_CUT, WRONG
 from .views import AS_OF
 
 
@@ -415,3 +415,48 @@ ORACLE["latency_report"] = ORACLE["latency_exact"].replace(
 ) + """)
     SELECT layer, share, worst, events, true AS within FROM e, (VALUES ('p50'), ('p95'), ('p99')) AS s(share)"""
 ORACLE["stream_quarantine"] = ORACLE["telemetry_rejects"]
+ORACLE["stream_two_runs"] = ORACLE["stream_panes"]
+ORACLE["latency_sketched"] = ORACLE["latency_report"]
+ORACLE["stream_state_serving"] = ORACLE["stream_serving"]
+ORACLE["history_refresh"] = _query(
+    "w",
+    f""" SELECT route_id, {_round2("avg(average_delay_seconds)")} AS historical_avg_delay,
+                count(*) AS total_window_batches_analyzed FROM w GROUP BY route_id""",
+)
+ORACLE["stream_progress"] = _query(
+    "t",
+    """ SELECT cast(event_id % 3 AS BIGINT) AS batch_id, count(*) AS rows_in,
+               count(*) FILTER (delay_seconds BETWEEN -300 AND 3600) AS good,
+               count(*) FILTER (delay_seconds NOT BETWEEN -300 AND 3600) AS rejected, 0::BIGINT AS late, true AS timed
+        FROM t GROUP BY 1""",
+)
+ORACLE["stream_late_split"] = _query(
+    "t",
+    rf""" , due AS (
+            SELECT event_id, route_id, delay_seconds,
+                   least(CASE WHEN ts < '{DELIVERIES[0]}' THEN 0 WHEN ts < '{DELIVERIES[1]}' THEN 1 ELSE 2 END
+                         + CASE WHEN event_id % {LAG} = 0 THEN 1 ELSE 0 END, 2) AS k,
+                   CASE WHEN event_id % {WRONG} = 5 THEN ts + INTERVAL 365 DAY ELSE ts END AS ts FROM t),
+        judged AS (
+            SELECT *, CASE WHEN ts > ['{DELIVERIES[0]}', '{DELIVERIES[1]}', '{DELIVERIES[2]}'][k + 1]::TIMESTAMP + INTERVAL 1 HOUR
+                               THEN 'event time ahead'
+                           WHEN delay_seconds NOT BETWEEN -300 AND 3600 THEN 'delay out of range' END AS reason FROM due),
+        marks AS (
+            SELECT d.k, max(j.ts) - INTERVAL {LATE} AS mark FROM (VALUES (1), (2)) AS d(k)
+            JOIN judged j ON j.k < d.k AND j.reason IS NULL GROUP BY d.k),
+        split AS (
+            SELECT event_id, regexp_extract(route_id, '(\d+[a-zA-Z]?)', 1) AS route_id, delay_seconds, ts,
+                   coalesce(reason, CASE WHEN date_trunc('minute', ts) + INTERVAL 1 MINUTE <= mark THEN 'late' END) AS reason
+            FROM judged LEFT JOIN marks USING (k)),
+        spread AS (
+            SELECT route_id, delay_seconds,
+                   unnest(generate_series(date_trunc('minute', ts) - INTERVAL 4 MINUTE,
+                                          date_trunc('minute', ts), INTERVAL 1 MINUTE)) AS window_start
+            FROM split WHERE reason IS NULL)
+        SELECT route_id, window_start, window_start + INTERVAL 5 MINUTE AS window_end,
+               cast(sum(delay_seconds) AS DOUBLE) / count(*) AS average_delay_seconds,
+               NULL::BIGINT AS event_id, NULL::VARCHAR AS reason
+        FROM spread GROUP BY route_id, window_start
+        UNION ALL
+        SELECT NULL, NULL, NULL, NULL, event_id, reason FROM split WHERE reason IS NOT NULL""",
+)

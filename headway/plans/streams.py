@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from ..operators import clean, parse, windows
 from ..session import prepare, shared_folder
 from ..sources import files
-from ..streaming import sinks
-from ..streaming.runner import ONCE, finish
+from ..streaming import refresh, sinks
+from ..streaming.runner import ONCE, ProgressTable, counted, finish
 from . import views
 from .batch import zoneless
 
@@ -182,7 +182,7 @@ def stream_snapshot_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "snapshots")
     rows = _zoned(views.cleaned(spark, sf_dir))
     for k in range(FILES):
-        rows.where(F.col("event_id") % FILES == k).coalesce(1).write.parquet(f"{folder}/source/part={k}")
+        rows.where(F.col("event_id") % FILES == k).write.parquet(f"{folder}/source/part={k}")
         source = files.read_table_stream(spark, f"{folder}/source/*", rows.schema)
         averages = windows.sliding_avg(source)
         finish(sinks.write_lake(averages, f"{folder}/data", f"{folder}/checkpoint", "snapshot", trigger=ONCE))
@@ -204,6 +204,93 @@ def stream_dated_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zoneless(found)
 
 
+def stream_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two live runs with a source each and one lake: a compaction between their batches, and a restart of both."""
+    folder = shared_folder(spark, "runs")
+    rows = _zoned(views.cleaned(spark, sf_dir))
+    for turn in range(2):
+        for run in range(2):
+            part = (F.col("event_id") % 2 == run) & (F.floor(F.col("event_id") / 2) % 2 == turn)
+            rows.where(part).write.parquet(f"{folder}/source{run}/turn={turn}")
+            source = files.read_table_stream(spark, f"{folder}/source{run}/*", rows.schema)
+            finish(sinks.write_lake(windows.pane_sums(source), f"{folder}/lake", f"{folder}/run{run}", trigger=ONCE))
+        if turn == 0:
+            sinks.compact_lake(spark, f"{folder}/lake")
+    return zoneless(sinks.read_panes(spark, f"{folder}/lake", runs="add"))
+
+
+def history_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Route history after two deliveries: the second refresh reads only the dates the second one touched."""
+    folder = shared_folder(spark, "history")
+    rows = _zoned(views.cleaned(spark, sf_dir))
+    older = F.col("ts") < F.lit(LATE_CUT).cast("timestamp")
+    for name, part in (("first", rows.where(older)), ("second", rows.where(~older))):
+        part.write.parquet(f"{folder}/source/{name}")
+        source = files.read_table_stream(spark, f"{folder}/source/*", rows.schema)
+        averages = windows.sliding_avg(source)
+        finish(sinks.write_lake(averages, f"{folder}/lake", f"{folder}/checkpoint", trigger=ONCE))
+        refresh.refresh_history(spark, f"{folder}/lake", f"{folder}/store")
+    return refresh.read_history(spark, f"{folder}/store")
+
+
+# Deliveries of the late rows: by event time, and one event in seven a delivery later.
+DELIVERIES = ("2024-01-11 00:00:00", "2024-01-21 00:00:00", "2024-02-15 00:00:00")
+LAG, WRONG = 7, 1000
+
+
+def stream_late_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Averages and rejects of three deliveries: each event is in one of them, once.
+
+    One event in a thousand has a clock that runs a year ahead; it must not make the others late.
+    """
+    folder = shared_folder(spark, "split")
+    rows = _zoned(views.as_telemetry(views.table(spark, sf_dir, "events")))
+    first, second, end = (F.lit(d).cast("timestamp") for d in DELIVERIES)
+    due = F.when(F.col("ts") < first, 0).when(F.col("ts") < second, 1).otherwise(2)
+    rows = rows.withColumn("delivery", F.least(due + F.when(F.col("event_id") % LAG == 0, 1).otherwise(0), F.lit(2)))
+    rows = rows.withColumn("came", F.when(F.col("delivery") == 0, first).when(F.col("delivery") == 1, second).otherwise(end))
+    rows = rows.withColumn("ts", F.when(F.col("event_id") % WRONG == 5, F.expr("ts + INTERVAL 365 DAY")).otherwise(F.col("ts")))
+    for k in range(len(DELIVERIES)):
+        rows.where(F.col("delivery") == k).write.parquet(f"{folder}/source/part={k}")
+        source = files.read_table_stream(spark, f"{folder}/source/*", rows.schema)
+        finish(
+            sinks.split_late(
+                source, f"{folder}/lake", f"{folder}/rejects", f"{folder}/checkpoint", LATE, ingested=F.col("came"), trigger=ONCE
+            )
+        )
+    averages = sinks.read_panes(spark, f"{folder}/lake")
+    rejects = sinks.read_rejects(spark, f"{folder}/rejects").select("event_id", "reason")
+    return zoneless(averages.unionByName(rejects, allowMissingColumns=True))
+
+
+def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the progress table says of three deliveries, over three starts of one query: rows in, good and rejected."""
+    folder = shared_folder(spark, "progress")
+    rows = _zoned(views.as_telemetry(views.table(spark, sf_dir, "events")))
+    watch = ProgressTable(spark, f"{folder}/progress")
+    good = clean.reject_reason().isNull()
+    for k in range(FILES):
+        rows.where(F.col("event_id") % FILES == k).write.parquet(f"{folder}/source/part={k}")
+        source = files.read_table_stream(spark, f"{folder}/source/*", rows.schema)
+        told = counted(source, good=F.count_if(good), rejected=F.count_if(~good))
+        query = sinks.write_rejects(told, f"{folder}/rejects", f"{folder}/checkpoint", ONCE)
+        finish(query)
+        watch.wait(query)
+    watch.close()
+    table = spark.read.json(f"{folder}/progress").where("rows_in > 0")
+    return table.select("batch_id", "rows_in", "good", "rejected", "late", (F.col("milliseconds") > 0).alias("timed"))
+
+
+def stream_state_serving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The current row of each route, read from the state of a stream over the lake."""
+    folder = shared_folder(spark, "state")
+    finish(sinks.write_lake(_windowed(spark, sf_dir), f"{folder}/lake", f"{folder}/checkpoint", trigger=ONCE))
+    schema = spark.read.parquet(f"{folder}/lake").schema
+    lake = files.read_table_stream(spark, f"{folder}/lake", schema)
+    finish(sinks.keep_current(lake, f"{folder}/current", ONCE))
+    return zoneless(sinks.read_current(spark, f"{folder}/current"))
+
+
 def raw_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "raw")
     finish(
@@ -238,6 +325,11 @@ QUERIES = {
         stream_rerun,
         stream_snapshot_lake,
         stream_dated_lake,
+        stream_two_runs,
+        stream_late_split,
+        stream_progress,
+        stream_state_serving,
+        history_refresh,
         raw_landing,
         text_tail,
     )

@@ -287,6 +287,7 @@ def latencies(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(ts, F.explode(outputs).alias("o"))
         .select(
             "o.layer",
+            F.date_trunc("hour", ts).alias("hour"),
             F.timestamp_diff("SECOND", ts.cast("timestamp"), F.col("o.out").cast("timestamp")).alias(
                 "latency_seconds"
             ),

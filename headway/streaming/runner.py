@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 Trigger = dict | None
 
@@ -67,6 +69,57 @@ def finish(query: StreamingQuery) -> None:
     query.awaitTermination()
 
 
+def counted(df: DataFrame, **figures: Column) -> DataFrame:
+    """A stream that tells each batch's figures (aggregates by name) to ``ProgressTable`` as it is worked off."""
+    return df.observe("batch", *(figure.alias(name) for name, figure in figures.items()))
+
+
+class ProgressTable(StreamingQueryListener):
+    """Writes a row per batch of the queries it watches to a JSON table, for as long as they run.
+
+    ``recentProgress`` holds the last hundred batches of one process; this table
+    holds all, also after a restart: query, run, batch, rows read, milliseconds,
+    late rows the state dropped, and the figures of ``counted``.
+    """
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path, self.ended = spark, path, set()
+        spark.streams.addListener(self)
+
+    def close(self) -> None:
+        self.spark.streams.removeListener(self)
+
+    def wait(self, query: StreamingQuery, seconds: float = 60) -> None:
+        """Until a query that ended has all its rows in the table."""
+        end = time.monotonic() + seconds
+        while str(query.runId) not in self.ended and time.monotonic() < end:
+            time.sleep(0.05)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        seen = p.observedMetrics.get("batch")
+        values = {
+            "query": str(p.id),
+            "run": str(p.runId),
+            "batch_id": p.batchId,
+            "rows_in": p.numInputRows,
+            "milliseconds": p.durationMs.get("triggerExecution", 0),
+            "late": sum(s.numRowsDroppedByWatermark for s in p.stateOperators),
+            **(seen.asDict() if seen is not None else {}),
+        }
+        row = self.spark.range(1).select(*(F.lit(v).alias(k) for k, v in values.items()))
+        row.coalesce(1).write.mode("append").json(self.path)
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.add(str(event.runId))
+
+
 def batch_counts(query: StreamingQuery) -> list[tuple[int, int]]:
     """Batch id and input rows of the recent batches."""
     return [(p["batchId"], p["numInputRows"]) for p in query.recentProgress]

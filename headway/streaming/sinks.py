@@ -4,53 +4,35 @@ Everything is written by the executors; nothing is collected. A batch writes a
 folder named by its run and id in overwrite mode, so a batch that runs twice
 leaves one result. A run is the stream of one checkpoint: its number is claimed
 beside the data under the identity Spark gave that stream, so a new checkpoint
-goes on behind the old one instead of over it.
+goes on behind the old one instead of over it. A batch counts once it is in the
+commit log of its table, from which readers take the folders.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
+import uuid
+from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.clean import rejected_telemetry
+from ..operators.clean import clean_telemetry, reject_reason, rejected_telemetry
 from ..operators.history import latest, snapshot_order
 from ..operators.serving import latest_from_panes, latest_per_route
 from ..operators.topics import pair_lines, to_topic_rows
-from ..operators.windows import SIZE, SLIDE, TOP, roll_panes, top_delays
+from ..operators.windows import SIZE, SLIDE, TOP, pane_end, pane_sums, roll_panes, seconds, top_delays
+from .commits import CommitLog, Live, remove, there
 from .runner import ONCE, Trigger, each_batch, every, writer
 
+_DATE = re.compile(r"/event_date=([^/]+)/")
 LAKE_MODES = {"snapshot": "complete", "upsert": "update", "final": "append"}
 
 
 # ---- runs ---------------------------------------------------------------
 
 
-def _there(read: Callable[[], DataFrame]) -> DataFrame | None:
-    """A table, or None where nothing was written yet."""
-    try:
-        return read()
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-
-
-def _remove(spark: SparkSession, folder: str) -> None:
-    """Delete a folder of any Hadoop file system.
-
-    Spark's reader and writer have no such call; a session without a JVM
-    handle keeps the folder, which costs space only.
-    """
-    jvm = getattr(spark, "_jvm", None)
-    if jvm is not None:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
-
-
 def stream_identity(spark: SparkSession, checkpoint: str) -> str:
     """The id of the stream a checkpoint belongs to: the same after restarts, new with a new checkpoint."""
     text = spark.read.text(f"{checkpoint}/metadata")
@@ -65,7 +47,7 @@ def run_number(spark: SparkSession, path: str, identity: str) -> int:
     """
     claims = f"{path}/_runs"
     while True:
-        known = _there(lambda: spark.read.schema("run_id long, stream string").json(claims))
+        known = there(lambda: spark.read.schema("run_id long, stream string").json(claims))
         rows = known.collect() if known is not None else []
         owner: dict[int, str] = {}
         for row in rows:
@@ -82,6 +64,7 @@ class _Run:
 
     def __init__(self, path: str, checkpoint: str) -> None:
         self.path, self.checkpoint, self._number = path, checkpoint, None
+        self.served: str | None = None  # the version this process published last
 
     def number(self, spark: SparkSession) -> int:
         if self._number is None:
@@ -92,24 +75,40 @@ class _Run:
 # ---- lake ---------------------------------------------------------------
 
 
+def _place(run_id: int, batch_id: int) -> str:
+    return f"run_id={run_id}/batch_id={batch_id}"
+
+
 def batch_folder(path: str, run_id: int, batch_id: int) -> str:
-    return f"{path}/run_id={run_id}/batch_id={batch_id}"
+    return f"{path}/{_place(run_id, batch_id)}"
 
 
 def write_batch(batch: DataFrame, folder: str, fmt: str = "parquet") -> DataFrame | None:
     """Rows by date into a folder, a file per date; returns them as written, None (and no folder) without any."""
-    start = "pane" if "pane" in batch.columns else "window_start"
-    dated = batch.withColumn("event_date", F.to_date(start)).hint("rebalance", "event_date")
+    if "event_date" not in batch.columns:
+        batch = batch.withColumn("event_date", F.to_date("pane" if "pane" in batch.columns else "window_start"))
+    dated = batch.hint("rebalance", "event_date")
     out = dated.write.mode("overwrite").format(fmt).option("ignoreNullFields", "false")
     out.partitionBy("event_date").save(folder)
     spark = batch.sparkSession
     landed = spark.read.format(fmt).schema(dated.schema).load(folder)
     if not landed.inputFiles():  # names only: no date, no file
-        _remove(spark, folder)
+        remove(spark, folder)
         return None
     return landed
 
 
+def commit_batch(
+    batch: DataFrame, path: str, run_id: int, batch_id: int, fmt: str = "parquet"
+) -> DataFrame | None:
+    """``write_batch`` below a lake, then the entry in its log, with the dates the batch holds."""
+    landed = write_batch(batch, batch_folder(path, run_id, batch_id), fmt)
+    dates = set() if landed is None else {d for f in landed.inputFiles() for d in _DATE.findall(f)}
+    place = None if landed is None else _place(run_id, batch_id)
+    CommitLog(batch.sparkSession, path).add(run_id, batch_id, place, sorted(dates))
+    return landed
+
+
 def write_lake(
     df: DataFrame,
     path: str,
@@ -127,39 +126,71 @@ def write_lake(
     run = _Run(path, checkpoint)
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, batch_folder(path, run.number(batch.sparkSession), batch_id), fmt)
+        commit_batch(batch, path, run.number(batch.sparkSession), batch_id, fmt)
 
     return each_batch(df, land, checkpoint, LAKE_MODES[mode], trigger, skip_empty=False)
 
 
-def _last_written(spark: SparkSession, path: str, start: str, values: tuple[str, ...]) -> DataFrame:
-    """The last row of each date, route and ``start``: the newest compacted table and the batches since."""
-    lake = spark.read.parquet(path)
-    rows = lake.withColumn("_at", snapshot_order())
-    done = _there(lambda: spark.read.schema("upto long").json(f"{path}/_compactions"))
-    upto = done.agg(F.max("upto")).first()[0] if done is not None else None
-    columns = ("event_date", "route_id", start, *values, "_at")
-    rows = rows.select(*columns) if upto is None else rows.where(F.col("_at") > upto).select(*columns)
-    if upto is not None:
-        compacted = spark.read.parquet(f"{path}/_compacted/upto={upto}")
-        rows = rows.unionByName(compacted.withColumn("_at", F.lit(upto)).select(*columns))
-    return latest(rows, ("event_date", "route_id", start), values, F.col("_at"))
+def committed(spark: SparkSession, path: str, live: Live) -> DataFrame:
+    """All rows of a lake with their run and batch: the compacted table and the batches committed since.
+
+    A folder that no log belongs to is read as it lies.
+    """
+    batches = spark.read.option("basePath", path)
+    if live.empty:
+        return batches.parquet(path)
+    parts = [batches.parquet(*(f"{path}/{f}" for f in live.folders))] if live.folders else []
+    parts += [spark.read.parquet(f"{path}/{live.base}")] if live.base else []
+    if not parts:
+        return batches.parquet(path)  # nothing but empty batches
+    rows = reduce(lambda a, b: a.unionByName(b), parts)
+    return rows.withColumns({c: F.col(c).cast("bigint") for c in ("run_id", "batch_id")})
+
+
+def _kind(rows: DataFrame) -> tuple[str, tuple[str, ...]]:
+    """The start and the values of a lake's rows."""
+    if "added_sum" in rows.columns:
+        return "pane", ("added_sum", "added_count")
+    if "pane" in rows.columns:
+        return "pane", ("delay_sum", "delay_count")
+    return "window_start", ("window_end", "average_delay_seconds")
+
+
+def _last_written(spark: SparkSession, path: str, live: Live | None = None) -> DataFrame:
+    """The last row of each date, route and start, of whichever run; a filter on ``event_date`` prunes the files."""
+    rows = committed(spark, path, live or CommitLog(spark, path).live())
+    start, values = _kind(rows)
+    if "added_sum" in values:  # each batch holds what it adds
+        sums = [F.sum(c).alias(c.replace("added", "delay")) for c in values]
+        return rows.groupBy("event_date", "route_id", start).agg(*sums)
+    return latest(rows, ("event_date", "route_id", start), values, snapshot_order())
 
 
 def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
     """Last value of every route and window a lake holds; a filter on ``event_date`` prunes the files."""
-    return _last_written(spark, path, "window_start", ("window_end", "average_delay_seconds"))
+    return _last_written(spark, path)
+
+
+def added_panes(spark: SparkSession, path: str) -> DataFrame:
+    """Pane sums of a lake whose runs hold different rows: the last value of each run, added up."""
+    rows = committed(spark, path, CommitLog(spark, path).live())
+    own = latest(rows, ("event_date", "run_id", "route_id", "pane"), ("delay_sum", "delay_count"), F.col("batch_id"))
+    sums = [F.sum(c).alias(c) for c in ("delay_sum", "delay_count")]
+    return own.groupBy("event_date", "route_id", "pane").agg(*sums)
 
 
 def read_panes(
-    spark: SparkSession, path: str, size: str = SIZE, slide: str = SLIDE
+    spark: SparkSession, path: str, size: str = SIZE, slide: str = SLIDE, runs: str = "replace"
 ) -> DataFrame:
     """Sliding averages of a lake that holds pane sums.
 
     A stream of ``pane_sums`` keeps and writes one row per route and minute
-    where a stream of ``sliding_avg`` has five.
+    where a stream of ``sliding_avg`` has five. A lake may have several live runs.
+    ``runs`` says what they are to each other: "replace" if a later run reads the
+    same source anew, "add" if each run has a source of its own.
     """
-    return roll_panes(_last_written(spark, path, "pane", ("delay_sum", "delay_count")), size, slide)
+    panes = added_panes(spark, path) if runs == "add" else _last_written(spark, path)
+    return roll_panes(panes, size, slide)
 
 
 def write_rejects(
@@ -170,6 +201,56 @@ def write_rejects(
     return out.format("parquet").partitionBy("reason").start(path)
 
 
+def split_late(
+    df: DataFrame,
+    lake: str,
+    rejects: str,
+    checkpoint: str,
+    late: str = "10 minutes",
+    slide: str = SLIDE,
+    ingested: Column | None = None,
+    trigger: Trigger = None,
+) -> StreamingQuery:
+    """Parsed rows to averages or to quarantine: each row is in one of the two, once.
+
+    A watermark drops late rows without a word. Here the low-water mark is the newest event
+    time of the good rows so far less ``late``; it is kept with each batch in the log of the
+    rejects. Rows whose pane ended by the mark of the batches before go to the rejects with
+    the reason "late", beside those that cleaning turns away. The others are added up per
+    route and pane, and the lake takes each batch's sums as something to add. So there is no
+    state to keep, and a batch that runs again overwrites what it wrote. With ``ingested``,
+    rows whose clock runs ahead are rejected before they can move the mark.
+    """
+    runs = _Run(rejects, checkpoint), _Run(lake, checkpoint)
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        held, number = (r.number(spark) for r in runs)
+        before = CommitLog(spark, rejects).mark(held, batch_id)
+        is_late = F.unix_micros(pane_end(slide)) <= F.lit(before)
+        marked = batch.withColumn("reason", F.coalesce(reject_reason(ingested=ingested), F.when(is_late, "late")))
+        seen = Observation()
+        newest = F.max(F.when(F.col("reason").isNull(), F.unix_micros("ts"))).alias("newest")
+        refused = marked.observe(seen, newest).where("reason IS NOT NULL")
+        refused.write.mode("overwrite").partitionBy("reason").parquet(batch_folder(rejects, held, batch_id))
+        sums = pane_sums(clean_telemetry(marked.where("reason IS NULL")), slide)
+        sums = sums.withColumnsRenamed({"delay_sum": "added_sum", "delay_count": "added_count"})
+        commit_batch(sums, lake, number, batch_id)
+        marks = [before] if before is not None else []
+        if seen.get["newest"] is not None:
+            marks.append(seen.get["newest"] - seconds(late) * 1_000_000)
+        # Last, so that a batch that runs again finds the mark it had before.
+        CommitLog(spark, rejects).add(held, batch_id, _place(held, batch_id), mark=max(marks, default=None))
+
+    return each_batch(df, land, checkpoint, "append", trigger, skip_empty=False)
+
+
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """The quarantine of ``split_late``: the rows of the committed batches, with the reason."""
+    folders = CommitLog(spark, path).live().folders
+    return spark.read.option("basePath", path).parquet(*(f"{path}/{f}" for f in folders))
+
+
 def write_table(df: DataFrame, path: str, ts: str) -> None:
     """Parquet by ``event_date``.
 
@@ -185,25 +266,31 @@ def write_table(df: DataFrame, path: str, ts: str) -> None:
     )
 
 
-def compact_lake(spark: SparkSession, path: str, out: str | None = None) -> None:
+def compact_lake(spark: SparkSession, path: str, out: str | None = None) -> bool:
     """Rewrite the batches of a lake as one table by date.
 
-    Without ``out`` the table becomes part of the lake: readers take it and
-    only the batches written after it. Batches that land meanwhile stay theirs.
+    Without ``out`` the table becomes part of the lake by one entry of the log. It keeps each
+    run's last rows apart, and the entry names for each run the last batch it holds: batches
+    that land meanwhile, of any run, are read beside it. Of two compactions at the same time
+    one is committed; False says that this one was not, and nothing is lost by that.
     """
-    lake = spark.read.parquet(path)
-    if "pane" in lake.columns:
-        start, values = "pane", ("delay_sum", "delay_count")
-    else:
-        start, values = "window_start", ("window_end", "average_delay_seconds")
-    upto = lake.agg(F.max(snapshot_order())).first()[0]
-    rows = _last_written(spark, path, start, values)
+    log = CommitLog(spark, path)
+    live = log.live()
+    rows = committed(spark, path, live)
+    start, values = _kind(rows)
     if out is not None:
-        write_table(rows, out, start)
-        return
-    # Rows of a later batch may be among them; that batch is read again over this table.
-    write_table(rows, f"{path}/_compacted/upto={upto}", start)
-    spark.range(1).select(F.lit(upto).alias("upto")).coalesce(1).write.mode("append").json(f"{path}/_compactions")
+        write_table(_last_written(spark, path, live), out, start)
+        return True
+    if "added_sum" in values:
+        own = rows.groupBy("run_id", "route_id", start).agg(*[F.sum(c).alias(c) for c in values], F.max("batch_id").alias("batch_id"))
+    else:
+        own = latest(rows, ("run_id", "route_id", start), (*values, "batch_id"), F.col("batch_id"))
+    base = f"_compacted/{uuid.uuid4().hex}"
+    write_table(own, f"{path}/{base}", start)
+    covers = live.reached
+    if live.empty:  # a lake from before it had a log
+        covers = {r[0]: r[1] for r in rows.groupBy("run_id").agg(F.max("batch_id")).collect()}
+    return log.cover(live, base, covers)
 
 
 # ---- text ---------------------------------------------------------------
@@ -258,55 +345,59 @@ def write_topics(
 
 
 def _published(spark: SparkSession, path: str) -> list[tuple[int, int, object]]:
-    """(run, batch, time) of the complete versions, oldest first: a mark is written after a version's rows."""
-    marks = _there(
-        lambda: spark.read.schema("published_at timestamp, run_id long, batch_id long").json(f"{path}/_published")
-    )
-    if marks is None:
-        return []
-    marks = marks.groupBy("run_id", "batch_id").agg(F.max("published_at").alias("published_at"))
-    return [tuple(r) for r in marks.orderBy("run_id", "batch_id").collect()]
+    """(run, batch, time) of the complete versions, oldest first: a version is in the log once its rows are written."""
+    return [(run, batch, at) for run, batch, _, _, at in CommitLog(spark, path).live().batches]
 
 
 def _publish(
     df: DataFrame, path: str, run_id: int, batch_id: int, keep_for: str | None = None
 ) -> None:
-    """Write a version and mark it complete; then drop the versions replaced longer than ``keep_for`` ago.
+    """Write a version and commit it; then drop the versions replaced longer than ``keep_for`` ago.
 
     The newest version, and with it the one just written, is never dropped, and
     without ``keep_for`` none is: how long a reader may hold on to a version is
     the caller's to know.
     """
-    spark = df.sparkSession
+    spark, log = df.sparkSession, CommitLog(df.sparkSession, path)
     df.write.mode("overwrite").parquet(batch_folder(path, run_id, batch_id))
-    mark = spark.range(1).select(F.current_timestamp().alias("published_at")).coalesce(1)
-    mark.write.mode("overwrite").json(batch_folder(f"{path}/_published", run_id, batch_id))
+    log.add(run_id, batch_id, _place(run_id, batch_id))
     if keep_for is not None:
-        versions = _published(spark, path)
+        live = log.live()
         limit = spark.range(1).select((F.current_timestamp() - F.expr(f"INTERVAL {keep_for}")).alias("t")).first()["t"]
-        for (run, batch, _), (_, _, replaced) in zip(versions, versions[1:]):
-            if replaced < limit and (run, batch) != (run_id, batch_id):
-                _remove(spark, batch_folder(f"{path}/_published", run, batch))  # first: no reader looks for it any more
-                _remove(spark, batch_folder(path, run, batch))
+        gone = [v[:2] for v, (*_, replaced) in zip(live.batches, live.batches[1:]) if replaced < limit]
+        gone = [v for v in gone if v < (run_id, batch_id)]
+        if gone and log.cover(live, None, live.covers | dict(gone)):  # first: no reader looks for them any more
+            for version in gone:
+                remove(spark, batch_folder(path, *version))
 
 
 def read_serving(spark: SparkSession, path: str) -> DataFrame:
     """Newest complete version of a serving table: of the newest run, its newest batch."""
-    run, batch, _ = _published(spark, path)[-1]
-    return spark.read.parquet(batch_folder(path, run, batch))
+    return spark.read.parquet(f"{path}/{CommitLog(spark, path).live().folders[-1]}")
 
 
-def _with_previous(current: DataFrame, path: str, run_id: int, batch_id: int) -> DataFrame:
-    """The rows over those of the version before, whichever run wrote it."""
+def _with_previous(current: DataFrame, path: str, run: _Run, run_id: int, batch_id: int) -> DataFrame:
+    """The rows over those of the version before, whichever run wrote it.
+
+    The log is read with a process's first batch; after that the version before is its own last one.
+    """
     spark = current.sparkSession
-    older = [v for v in _published(spark, path) if v[:2] < (run_id, batch_id)]
-    if not older:
+    if run.served is None:
+        older = [b[2] for b in CommitLog(spark, path).live().batches if b[:2] < (run_id, batch_id)]
+        run.served = older[-1] if older else None
+    if run.served is None or run.served == _place(run_id, batch_id):
         return current
-    previous = spark.read.parquet(batch_folder(path, *older[-1][:2]))
+    previous = spark.read.parquet(f"{path}/{run.served}")
     both = previous.withColumn("fresh", F.lit(0)).unionByName(current.withColumn("fresh", F.lit(1)))
     return latest_per_route(both, "fresh")
 
 
+def _serve(rows: DataFrame, path: str, run: _Run, batch_id: int, keep_for: str | None) -> None:
+    number = run.number(rows.sparkSession)
+    _publish(_with_previous(_current(rows), path, run, number, batch_id), path, number, batch_id, keep_for)
+    run.served = _place(number, batch_id)
+
+
 def _current(rows: DataFrame, size: str = SIZE) -> DataFrame:
     """The newest row of each route, from windows or from pane sums."""
     rows = latest_from_panes(rows, size) if "pane" in rows.columns else latest_per_route(rows)
@@ -329,13 +420,31 @@ def upsert_serving(
     run = _Run(path, checkpoint)
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        number = run.number(batch.sparkSession)
-        rows = _with_previous(_current(batch), path, number, batch_id)
-        _publish(rows, path, number, batch_id, keep_for)
+        _serve(batch, path, run, batch_id, keep_for)
 
     return each_batch(df, publish, checkpoint, "update", trigger, skip_empty=False)
 
 
+CURRENT = ("window_start", "window_end", "average_delay_seconds")
+
+
+def keep_current(lake: DataFrame, checkpoint: str, trigger: Trigger = None) -> StreamingQuery:
+    """The current row of each route as the state of a stream over a lake's windows.
+
+    The state store is the table: nothing is written beside the checkpoint, and
+    ``read_current`` reads it as of the last batch. A window that is read again changes nothing.
+    """
+    newest = F.max(F.struct("window_end", "run_id", "batch_id", *(c for c in CURRENT if c != "window_end")))
+    out = writer(lake.groupBy("route_id").agg(newest.alias("newest")), checkpoint, "update", trigger)
+    return out.format("noop").start()
+
+
+def read_current(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The rows ``keep_current`` holds, straight from its state store."""
+    state = spark.read.format("statestore").load(checkpoint)
+    return state.select("key.route_id", *(f"value.max.{c}" for c in CURRENT))
+
+
 def run_serving(
     df: DataFrame,
     path: str,
@@ -348,20 +457,24 @@ def run_serving(
 
 
 def serve_named(
-    df: DataFrame, name: str, path: str, checkpoint: str, trigger: Trigger = None
+    df: DataFrame, name: str, path: str, checkpoint: str, trigger: Trigger = None, compact_every: int = 100
 ) -> StreamingQuery:
     """The whole aggregate as a table that SQL can query under ``name``.
 
     Each batch lands the windows it changed; the name stands for the last value
-    of every window. Rows stay in files, and with a watermark the state is bounded.
+    of every window, read from the compacted table and the batches since (fewer
+    than ``compact_every``). Rows stay in files, and with a watermark the state is bounded.
     """
     spark = df.sparkSession
     run = _Run(path, checkpoint)
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, batch_folder(path, run.number(batch.sparkSession), batch_id))
-        if _there(lambda: spark.read.parquet(path)) is not None:
-            read_snapshots(spark, path).drop("event_date").createOrReplaceTempView(name)
+        commit_batch(batch, path, run.number(batch.sparkSession), batch_id)
+        if batch_id % compact_every == compact_every - 1:
+            compact_lake(spark, path)
+        live = CommitLog(spark, path).live()
+        if live.folders or live.base:
+            _last_written(spark, path, live).drop("event_date").createOrReplaceTempView(name)
 
     return each_batch(df, publish, checkpoint, "update", trigger, skip_empty=False)
 
@@ -384,11 +497,9 @@ def run_two_sinks(
     runs = _Run(lake, checkpoint), _Run(serving, checkpoint)
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        number, served = (r.number(batch.sparkSession) for r in runs)
-        landed = write_batch(batch, batch_folder(lake, number, batch_id))
+        landed = commit_batch(batch, lake, runs[0].number(batch.sparkSession), batch_id)
         if landed is not None:
-            rows = _with_previous(_current(landed), serving, served, batch_id)
-            _publish(rows, serving, served, batch_id, keep_for)
+            _serve(landed, serving, runs[1], batch_id, keep_for)
 
     return each_batch(df, land, checkpoint, "update", trigger, skip_empty=False)
 
