@@ -110,13 +110,13 @@ class Sides:
             a, n_a = np.fromiter(chain.from_iterable(lists_a), np.int64), np.array([len(x) for x in lists_a])
         self.code.update(zip(units, range(len(self.bad), len(self.bad) + len(units))))
         self.bad = np.concatenate([self.bad, bad])
-        self.ids = [np.concatenate([old, x]) for old, x in zip(self.ids, (a, b))]
+        self.ids = [np.concatenate([old, x.astype(old.dtype)]) for old, x in zip(self.ids, (a, b))]
         self.cuts = [np.concatenate([old, old[-1] + np.cumsum(n)]) for old, n in zip(self.cuts, (n_a, n_b))]
 
     def forget(self) -> None:
         self.code: dict[str, int] = {}
         self.bad = np.zeros(0, bool)
-        self.ids = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
+        self.ids = [np.zeros(0, np.uint16 if len(x) <= 1 << 16 else np.uint32) for x in (self.bytes_a, self.bytes_b)]
         self.cuts = [np.zeros(1, np.int64), np.zeros(1, np.int64)]
 
     def number(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -124,11 +124,11 @@ class Sides:
         lasting = gc.isenabled()
         gc.disable()  # nothing here is cyclic, and looking for cycles among so many entries takes long
         rows = [self.units(t) if t else [] for t in texts]
-        if len(self.code) > common.CACHE_ENTRIES * 2 // 3:
+        if len(self.code) > common.CACHE_ENTRIES * 4 // 3:
             self.forget()
-        new = set().union(*rows) - self.code.keys()
-        if new:
-            self.learn([*new])
+        new = [*(set().union(*rows) - self.code.keys())]
+        for at in range(0, len(new), UNITS):
+            self.learn(new[at : at + UNITS])
         sizes = np.array([len(r) for r in rows])
         codes = np.fromiter(map(self.code.__getitem__, chain.from_iterable(rows)), np.int64, int(sizes.sum()))
         doc = np.repeat(np.arange(len(rows)), sizes)
@@ -143,7 +143,7 @@ class Sides:
         first, n = cuts[codes], cuts[codes + 1] - cuts[codes]
         upto = np.cumsum(n)
         at = np.repeat(first - upto + n, n) + np.arange(upto[-1])
-        return self.ids[side][at], np.repeat(doc, n)
+        return self.ids[side][at].astype(np.int64), np.repeat(doc, n)
 
     def parts(self, texts: list[str]) -> Iterator[tuple[np.ndarray, ...]]:
         """(ids of A, their document, ids of B, theirs) for so many units at a time; both sides end with each unit."""
