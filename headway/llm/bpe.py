@@ -86,7 +86,7 @@ class Model:
         composing changes nothing; beyond, the file's own normaliser and word
         pattern say what a letter is.
         """
-        if not _BEYOND(text):
+        if text.isascii() or not _BEYOND(text):
             low = text.lower()
             return [low] if low.isalpha() else self.words(low)  # letters alone are one word
         plain = self.library.normalizer.normalize_str(text)
@@ -252,22 +252,26 @@ class Encoder:
 
 
 class IdBytes:
-    """The ids of a text as little-endian bytes, with the chunks' ids kept in a bounded cache."""
+    """The ids of a text as little-endian bytes, with those of words and chunks kept in bounded caches."""
 
     def __init__(self, data: bytes) -> None:
         self.model = Model(data)
         self.kind = np.dtype("<u2" if self.model.size <= 1 << 16 else "<u4")
         self.chunk: dict[str, bytes] = {}
+        self.word: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         lasting = gc.isenabled()
         gc.disable()  # as above
         if len(self.chunk) > 2 * common.CACHE_ENTRIES:
             self.chunk.clear()
+        if len(self.word) > common.CACHE_ENTRIES:
+            self.word.clear()
         rows = [common.chunks(t) for t in texts]
         parts = [(c, self.model.parts(c)) for c in set().union(*rows) - self.chunk.keys()]
-        words = list({w for _, part in parts for w in part})
-        get = dict(zip(words, self.model.encode_bytes(words, self.kind))).__getitem__
+        words = list({w for _, part in parts for w in part} - self.word.keys())
+        self.word.update(zip(words, self.model.encode_bytes(words, self.kind)))
+        get = self.word.__getitem__
         for c, part in parts:
             self.chunk[c] = get(part[0]) if len(part) == 1 else b"".join(map(get, part))
         get = self.chunk.__getitem__
