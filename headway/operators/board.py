@@ -41,6 +41,39 @@ def arrival_board(
     )
 
 
+def live_lines(windowed: DataFrame, routes: DataFrame, baselines: DataFrame) -> DataFrame:
+    """Windows of known routes with the usual delay beside them; ``windowed`` may be a stream.
+
+    Both dimensions are read again with each batch of a stream, and need no state. No hint: the
+    planner broadcasts a dimension below its size limit.
+    """
+    names = routes.select("route")
+    return (
+        windowed.withColumnRenamed("route_id", "route")
+        .join(names, "route")
+        .join(baselines, "route", "left")
+        .select("route", "window_start", "window_end", "average_delay_seconds", "baseline_minutes")
+    )
+
+
+def newest_lines(lines: DataFrame, newer: str) -> DataFrame:
+    """The line of each route's newest window; ``newer`` (0/1) decides between two of one window."""
+    values = [c for c in lines.columns if c not in ("route", newer)]
+    line = F.max_by(F.struct(*values), F.struct("window_end", newer))
+    return lines.groupBy("route").agg(line.alias("line")).select("route", "line.*")
+
+
+def lines_to_merge(lines: DataFrame, routes: DataFrame, baselines: DataFrame, default: float = 3.0) -> DataFrame:
+    """Delay of every route as ``arrival_board`` takes it: the live line's, else the usual one."""
+    live = lines.select("route", (F.col("average_delay_seconds") / 60.0).alias("live"), F.col("baseline_minutes").alias("then"))
+    return (
+        routes.select("route")
+        .join(live, "route", "left")
+        .join(baselines, "route", "left")
+        .select("route", F.coalesce("live", "then", "baseline_minutes", F.lit(default)).alias("delay_minutes"))
+    )
+
+
 def one_route(board: DataFrame, route: str) -> DataFrame:
     return board.where(F.col("route") == route)
 

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import numbers
+from ..functions import catalog, numbers, text, times
 from ..operators import (
     board,
     clean,
+    documents,
     feed,
     history,
     monitor,
@@ -17,6 +18,7 @@ from ..operators import (
     serving,
     topics,
     windows,
+    wire,
 )
 from ..session import shared_folder
 from ..sources import dims, files
@@ -136,6 +138,33 @@ def historical_from_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.historical_avg(files.read_lake(spark, _folder(spark, "json", lines.write.text)))
 
 
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark, "mixed")
+    for name, lines in zip(("rows", "feed"), views.mixed_lake(spark, sf_dir)):
+        lines.write.text(f"{folder}/{name}")
+    return files.read_documents(spark, f"{folder}/*")
+
+
+def historical_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History of a folder that lake rows share with feed messages."""
+    rows = documents.typed_rows(_documents(spark, sf_dir))
+    return history.historical_avg(rows.where("family <> 'feed'"))
+
+
+def document_families(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each family, and how many of them hold fields that no column takes."""
+    rows = documents.typed_rows(_documents(spark, sf_dir))
+    more = F.coalesce(F.size("others") > 0, F.lit(False))
+    vehicle = F.try_variant_get(F.get(F.map_values("others"), F.lit(0)), "$.id", "bigint")
+    return rows.groupBy("family").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(more).alias("with_others"), F.sum(vehicle).alias("vehicles")
+    )
+
+
+def feed_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feed.flatten_feed(documents.feed_rows(_documents(spark, sf_dir)))
+
+
 def strict_from_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = views.lake_lines(spark, sf_dir)
     return history.route_avg_strict(files.read_lines(spark, _folder(spark, "lines", lines.write.text)))
@@ -161,6 +190,16 @@ def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- feed ---------------------------------------------------------------
 
 
+def feed_from_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wire.flatten_messages(wire.decode_stops(views.feed_bytes(spark, sf_dir)))
+
+
+def feed_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that could not be read, by order."""
+    keep = ("order",)
+    return wire.broken_messages(wire.decode_stops(views.feed_bytes(spark, sf_dir), keep=keep), keep)
+
+
 def feed_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feed.flatten_feed(views.feed(spark, sf_dir))
 
@@ -210,6 +249,66 @@ def arrival_board(spark: SparkSession, sf_dir: str) -> DataFrame:
     return board.arrival_board(_merged(spark, sf_dir), as_of())
 
 
+# The route whose line of the board is looked up.
+ONE_ROUTE = "39A"
+
+
+def route_board(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return board.one_route(arrival_board(spark, sf_dir), ONE_ROUTE)
+
+
+def sql_board(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The board in SQL, by the functions of the session."""
+    catalog.register(spark)
+    return spark.sql(
+        """
+        WITH live AS (
+            SELECT r.route, coalesce(nullif(live_value, ''), nullif(fallback_value, '')) AS text,
+                   coalesce(baseline_minutes, :default) AS baseline
+            FROM {routes} r LEFT JOIN {store} s ON s.route = r.route LEFT JOIN {baselines} b ON b.route = r.route),
+        timed AS (
+            SELECT route, whole_minutes(clamp_minutes(live_minutes(text, baseline))) AS delay_mins,
+                   convert_timezone('UTC', :zone, CAST(:as_of AS TIMESTAMP_NTZ)) AS now FROM live),
+        due AS (
+            SELECT *, next_slot(now, :every) AS scheduled,
+                   next_slot(now, :every) + make_dt_interval(0, 0, delay_mins) AS expected FROM timed)
+        SELECT route, delay_mins, status_text(delay_mins) AS status, delay_level(delay_mins) AS level,
+               date_format(scheduled, 'HH:mm') AS scheduled_time, date_format(expected, 'HH:mm') AS expected_time,
+               minutes_until(now, expected) AS next_arrival_mins
+        FROM due""",
+        args={"default": dims.DEFAULT_BASELINE, "zone": board.ZONE, "as_of": views.AS_OF, "every": board.FREQUENCY},
+        routes=dims.dim_routes(spark),
+        store=views.live_store(spark, sf_dir),
+        baselines=dims.dim_baselines(spark),
+    )
+
+
+def sql_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Telemetry cleaned in SQL: events per route code."""
+    catalog.register(spark)
+    return spark.sql(
+        """SELECT route_code(route_id) AS route, count(*) AS reports FROM {t}
+           WHERE delay_seconds BETWEEN :lo AND :hi AND route_code(route_id) <> '' GROUP BY ALL""",
+        args={"lo": clean.LOWEST_DELAY, "hi": clean.HIGHEST_DELAY},
+        t=views.telemetry(spark, sf_dir),
+    )
+
+
+def route_baselines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports of each route beside its usual delay, from a map."""
+    pairs = [F.lit(x) for pair in dims.BASELINES.items() for x in pair]
+    reports = views.cleaned(spark, sf_dir).groupBy(F.col("route_id").alias("route")).agg(F.count(F.lit(1)).alias("reports"))
+    usual = text.lookup(F.create_map(*pairs), F.col("route"), dims.DEFAULT_BASELINE)
+    return reports.withColumn("baseline_minutes", usual)
+
+
+def events_so_far(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events by type whose time has come, by the clock of the run."""
+    rows = views.table(spark, sf_dir, "events")
+    come = F.unix_seconds(F.col("ts").cast("timestamp")) <= times.now_epoch()
+    return rows.groupBy("event_type").agg(F.count_if(come).alias("so_far"), F.count_if(~come).alias("to_come"))
+
+
 def hourly_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return board.known_profile(
         views.cleaned(spark, sf_dir), _merged(spark, sf_dir), dims.dim_routes(spark)
@@ -310,12 +409,17 @@ QUERIES = {
         historical_first20,
         route_avg_strict,
         historical_from_json,
+        historical_from_documents,
+        document_families,
+        feed_from_documents,
         strict_from_lines,
         pairs_avg,
         pairs_text,
         latest_snapshot,
         feed_flatten,
         feed_from_json,
+        feed_from_bytes,
+        feed_rejects,
         polls_count,
         serving_current,
         serving_from_panes,
@@ -323,6 +427,11 @@ QUERIES = {
         serving_coverage,
         lambda_view,
         arrival_board,
+        route_board,
+        sql_board,
+        sql_clean,
+        route_baselines,
+        events_so_far,
         hourly_profile,
         vehicle_positions,
         ingest_rate,

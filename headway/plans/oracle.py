@@ -6,7 +6,7 @@ Written on its own, from FIXTURES.md, and not from the Spark expressions.
 from __future__ import annotations
 
 from ..sources.dims import BASELINES, DEFAULT_BASELINE, DEFAULT_PATH, PATHS, ROUTES, VEHICLES
-from .batch import KEEP_AGE, KEEP_BYTES, TOPIC_PATTERN
+from .batch import KEEP_AGE, KEEP_BYTES, ONE_ROUTE, TOPIC_PATTERN
 from .streams import DELIVERIES, LAG, LATE, LATE_CUT, WRONG
 from .views import AS_OF
 
@@ -152,6 +152,21 @@ _TOP = f"""
 _PARSED = "SELECT event_id, route_id, delay_seconds, ts FROM p"
 
 
+# The board of the routes and delays of ``merged``.
+_BOARD = f""" , n AS (SELECT route, cast(round_even(delay_minutes, 0) AS INTEGER) AS delay_mins,
+                        TIMESTAMP '{AS_OF}' + INTERVAL 1 HOUR AS local_now FROM merged)
+         , e AS (SELECT *, time_bucket(INTERVAL 10 MINUTE, local_now) + INTERVAL 10 MINUTE AS sched FROM n)
+         , f AS (SELECT *, sched + delay_mins * INTERVAL 1 MINUTE AS expect FROM e)
+        SELECT route, delay_mins,
+               CASE WHEN delay_mins <= 1 THEN 'ON TIME'
+                    WHEN delay_mins <= 3 THEN concat('MINOR DELAY (+', delay_mins, ' MINS)')
+                    ELSE concat('HEAVY DELAY (+', delay_mins, ' MINS)') END AS status,
+               CASE WHEN delay_mins <= 1 THEN 'green' WHEN delay_mins <= 3 THEN 'yellow' ELSE 'red' END AS level,
+               strftime(sched, '%H:%M') AS scheduled_time, strftime(expect, '%H:%M') AS expected_time,
+               greatest(1, cast(floor((epoch(expect) - epoch(local_now)) / 60) AS INTEGER)) AS next_arrival_mins
+        FROM f"""
+
+
 def _history(source: str) -> str:
     return f"""
     SELECT route_id, {_round2("sum(average_delay_seconds) / count(average_delay_seconds)")}
@@ -282,21 +297,7 @@ ORACLE = {
                    average_delay_seconds - historical_avg_delay AS live_minus_historical
             FROM h FULL JOIN cur ON h.route_id = cur.route_id""",
     ),
-    "arrival_board": _query(
-        "merged",
-        f""" , n AS (SELECT route, cast(round_even(delay_minutes, 0) AS INTEGER) AS delay_mins,
-                            TIMESTAMP '{AS_OF}' + INTERVAL 1 HOUR AS local_now FROM merged)
-             , e AS (SELECT *, time_bucket(INTERVAL 10 MINUTE, local_now) + INTERVAL 10 MINUTE AS sched FROM n)
-             , f AS (SELECT *, sched + delay_mins * INTERVAL 1 MINUTE AS expect FROM e)
-            SELECT route, delay_mins,
-                   CASE WHEN delay_mins <= 1 THEN 'ON TIME'
-                        WHEN delay_mins <= 3 THEN concat('MINOR DELAY (+', delay_mins, ' MINS)')
-                        ELSE concat('HEAVY DELAY (+', delay_mins, ' MINS)') END AS status,
-                   CASE WHEN delay_mins <= 1 THEN 'green' WHEN delay_mins <= 3 THEN 'yellow' ELSE 'red' END AS level,
-                   strftime(sched, '%H:%M') AS scheduled_time, strftime(expect, '%H:%M') AS expected_time,
-                   greatest(1, cast(floor((epoch(expect) - epoch(local_now)) / 60) AS INTEGER)) AS next_arrival_mins
-            FROM f""",
-    ),
+    "arrival_board": _query("merged", _BOARD),
     "hourly_profile": _query(
         "merged c",
         """ , hours AS (SELECT cast(unnest(generate_series(0, 23)) AS INTEGER) AS hour)
@@ -399,6 +400,34 @@ ORACLE["stream_snapshot_lake"] = _query(
         FROM slid JOIN (VALUES (0), (1), (2)) AS b(batch_id) ON slid.event_id % 3 <= b.batch_id
         GROUP BY b.batch_id, route_id, window_start""",
 )
+ORACLE["route_board"] = f"SELECT * FROM ({ORACLE['arrival_board']}) WHERE route = '{ONE_ROUTE}'"
+ORACLE["sql_board"] = ORACLE["arrival_board"]
+ORACLE["stream_board"] = _query(
+    "routes cur base",
+    f""" , merged AS (
+            SELECT r.route, greatest(0.0, least(15.0, coalesce(cur.average_delay_seconds / 60.0, b.baseline_minutes,
+                                                               {DEFAULT_BASELINE}))) AS delay_minutes
+            FROM routes r LEFT JOIN cur ON cur.route_id = r.route LEFT JOIN base b ON b.route = r.route)"""
+    + _BOARD,
+)
+ORACLE["sql_clean"] = _query("c", " SELECT route_id AS route, count(*) AS reports FROM c GROUP BY 1")
+ORACLE["route_baselines"] = _query(
+    "c base",
+    f""" SELECT route_id AS route, count(*) AS reports, coalesce(any_value(baseline_minutes), {DEFAULT_BASELINE}::DOUBLE)
+                AS baseline_minutes
+         FROM c LEFT JOIN base ON base.route = route_id GROUP BY 1""",
+)
+ORACLE["events_so_far"] = """
+    SELECT event_type, count(*) FILTER (epoch(ts) <= epoch(now())) AS so_far,
+           count(*) FILTER (epoch(ts) > epoch(now())) AS to_come FROM events GROUP BY 1"""
+ORACLE["feed_from_bytes"] = ORACLE["feed_flatten"]
+ORACLE["feed_rejects"] = """
+    SELECT cast(l_orderkey AS VARCHAR) AS "order", 'broken message' AS problem FROM lineitem WHERE l_linenumber = 1"""
+ORACLE["stream_empty_batch"] = _query(
+    "t",
+    """ SELECT cast(event_id % 2 * 2 AS BIGINT) AS batch_id, count(*) AS reports FROM t
+        WHERE delay_seconds BETWEEN -300 AND 3600 GROUP BY 1""",
+)
 ORACLE["strict_from_lines"] = ORACLE["route_avg_strict"]
 ORACLE["feed_from_json"] = ORACLE["feed_flatten"]
 ORACLE["historical_from_json"] = _query(
@@ -408,6 +437,18 @@ ORACLE["historical_from_json"] = _query(
                    FROM lake WHERE event_id % 17 = 0 OR event_id % 19 <> 0)"""
     + _history("read"),
 )
+ORACLE["historical_from_documents"] = ORACLE["historical_from_json"]
+ORACLE["feed_from_documents"] = ORACLE["feed_flatten"]
+ORACLE["document_families"] = _query(
+    "lake",
+    """ , read AS (SELECT event_id, CASE WHEN event_id % 17 = 0 THEN 'broken' WHEN delay_seconds IS NULL THEN 'windowed'
+                                       ELSE 'raw' END AS family
+                   FROM lake WHERE event_id % 17 = 0 OR event_id % 19 <> 0)
+        SELECT family, count(*) AS rows, count(*) FILTER (family <> 'broken' AND event_id % 5 = 0) AS with_others,
+               cast(sum(event_id) FILTER (family <> 'broken' AND event_id % 5 = 0) AS BIGINT) AS vehicles
+        FROM read GROUP BY 1
+        UNION ALL SELECT 'feed', count(*), 0, NULL FROM lineitem""",
+)
 ORACLE["lake_footprint"] = """
     SELECT cast(ts AS DATE) AS event_date, count(*) AS rows, true AS has_files, true AS has_bytes FROM events GROUP BY 1"""
 ORACLE["latency_report"] = ORACLE["latency_exact"].replace(

@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 
 from ..operators import clean, parse, windows
 from ..session import prepare, shared_folder
-from ..sources import files
+from ..sources import dims, files
 from ..streaming import refresh, sinks
-from ..streaming.runner import ONCE, ProgressTable, counted, finish
+from ..streaming.runner import ONCE, ProgressTable, counted, each_batch, finish
 from . import views
-from .batch import zoneless
+from .batch import as_of, zoneless
 
 # Files, and so batches, of the registered streams.
 FILES = 3
@@ -291,6 +291,34 @@ def stream_state_serving(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zoneless(sinks.read_current(spark, f"{folder}/current"))
 
 
+def stream_board(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The arrival board after three batches of a stream that is joined to the dimensions as it runs."""
+    folder = shared_folder(spark, "board")
+    routes, baselines = dims.dim_routes(spark), dims.dim_baselines(spark)
+    windowed = _windowed(spark, sf_dir)
+    finish(sinks.keep_board(windowed, routes, baselines, f"{folder}/data", f"{folder}/checkpoint", ONCE))
+    return sinks.read_board(spark, f"{folder}/data", routes, baselines, as_of())
+
+
+def stream_empty_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports per batch that reached the sink: the second of three deliveries holds none that is good."""
+    folder = shared_folder(spark, "guard")
+    rows = _zoned(views.as_telemetry(views.table(spark, sf_dir, "events")))
+    good = F.col("delay_seconds").between(clean.LOWEST_DELAY, clean.HIGHEST_DELAY)
+    part = F.when(good, F.col("event_id") % 2 * 2).otherwise(1)
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/data/batch_id={batch_id}")
+
+    for k in range(FILES):
+        rows.where(part == k).write.parquet(f"{folder}/source/part={k}")
+        source = files.read_table_stream(spark, f"{folder}/source/*", rows.schema)
+        finish(each_batch(clean.clean_telemetry(source), land, f"{folder}/checkpoint", trigger=ONCE))
+    return spark.read.parquet(f"{folder}/data").groupBy(F.col("batch_id").cast("bigint").alias("batch_id")).agg(
+        F.count(F.lit(1)).alias("reports")
+    )
+
+
 def raw_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "raw")
     finish(
@@ -330,6 +358,8 @@ QUERIES = {
         stream_progress,
         stream_state_serving,
         history_refresh,
+        stream_board,
+        stream_empty_batch,
         raw_landing,
         text_tail,
     )

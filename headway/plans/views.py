@@ -151,11 +151,12 @@ def lake_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def lake_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F3 with all columns as the lines of lake files; every 17th cut short, every 19th blank."""
+def lake_json(spark: SparkSession, sf_dir: str, *more: F.Column) -> DataFrame:
+    """F3 with all columns (and ``more``) as the lines of lake files; every 17th cut short, every 19th blank."""
     i = F.col("event_id")
     body = F.to_json(
         F.struct(
+            *more,
             "route_id",
             F.col("window_start").cast("string").alias("window_start"),
             F.col("window_end").cast("string").alias("window_end"),
@@ -170,6 +171,13 @@ def lake_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def mixed_lake(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """lines of lake rows, every fifth with a field more, and lines of feed messages."""
+    vehicle = F.when(F.col("event_id") % 5 == 0, F.struct(F.col("event_id").alias("id"), F.lit(True).alias("low_floor")))
+    messages = feed(spark, sf_dir).select(F.to_json(F.struct("poll_ts", "entity")).alias("value"))
+    return lake_json(spark, sf_dir, vehicle.alias("vehicle")), messages
+
+
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F3 for snapshots: batch ``b`` holds the averages over the first ``b + 1`` thirds."""
     rows = cleaned(spark, sf_dir).withColumn(
@@ -261,6 +269,61 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _named(value: F.Column, fn) -> F.Column:
+    """``fn`` of a value that is worked out once, however often ``fn`` refers to it."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
+def _varint(n: F.Column) -> F.Column:
+    """A number from 0 to 2 ** 35 - 1 in variable length: seven bits a byte, the top bit on all but the last."""
+
+    def text(n: F.Column) -> F.Column:
+        parts = []
+        for k in range(5):
+            more = F.when(F.shiftright(n, 7 * (k + 1)) > 0, 128).otherwise(0)
+            byte = F.lpad(F.hex(F.shiftright(n, 7 * k).bitwiseAND(F.lit(127)) + more), 2, "0")
+            parts.append(byte if k == 0 else F.when(F.shiftright(n, 7 * k) > 0, byte).otherwise(""))
+        return F.unhex(F.concat(*parts))
+
+    return _named(n.cast("bigint"), text)
+
+
+def _numbered(field: int, value: F.Column) -> F.Column:
+    return F.concat(F.lit(bytes([8 * field])), _varint(value))
+
+
+def _part(field: int, *parts: F.Column) -> F.Column:
+    body = F.concat(*[F.coalesce(p.cast("binary"), F.lit(b"")) for p in parts])
+    return _named(body, lambda x: F.concat(F.lit(bytes([8 * field + 2])), _varint(F.octet_length(x)), x))
+
+
+def feed_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """the messages of F7 in protobuf wire format, with fields no reader knows.
+
+    The first line item of each order also comes as a copy that lacks its last byte.
+    """
+
+    def event(field, e):
+        return F.when(e.isNotNull(), _part(field, _numbered(1, e["delay"])))
+
+    def stop(s):
+        return _part(2, event(2, s["arrival"]), event(3, s["departure"]), _part(4, s["stop_id"]))
+
+    update = F.col("entity")[1]["trip_update"]
+    trip = _part(1, _part(1, update["trip"]["trip_id"]), _numbered(9, F.lit(300)), _part(5, update["trip"]["route_id"]))
+    stops = [stop(update["stop_time_update"][k]) for k in range(2)]
+    message = F.concat(
+        _part(1, _part(1, F.lit("2.0")), _numbered(3, F.col("poll_ts"))),
+        F.lit(b"\x7d\x01\x02\x03\x04"),  # field 15, four bytes
+        _part(2, _part(1, F.lit("vehicle")), _part(4, F.lit("somewhere"))),
+        _part(2, _part(1, F.lit("trip")), _part(3, trip, F.lit(b"\x79\x01\x02\x03\x04\x05\x06\x07\x08"), *stops)),
+    )
+    rows = feed(spark, sf_dir).select(update["trip"]["trip_id"].alias("order"), "l_linenumber", message.alias("value"))
+    cut = F.substring("value", F.lit(1), F.octet_length("value") - 1)
+    copies = F.when(F.col("l_linenumber") == 1, F.array("value", cut)).otherwise(F.array("value"))
+    return rows.select("order", F.explode(copies).alias("value"))
+
+
 def topic_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F8: payloads by topic, every second one in a schema envelope, every 26th in an empty one."""
     empty = F.lit('{"schema":{"type":"string"},"payload":null}')

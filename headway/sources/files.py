@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from .. import schemas
+from ..operators.documents import DOCUMENT
 from ..operators.history import split_pairs
 from ..operators.parse import parse_lake_lines
 
@@ -20,6 +21,12 @@ def read_lake(
     return (reader.schema(schema) if schema is not None else reader).load(path)
 
 
+def read_documents(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
+    """JSON lines of any shape as one VARIANT column; NULL for a broken line, none for a blank one."""
+    reader = spark.readStream if stream else spark.read
+    return reader.option("singleVariantColumn", DOCUMENT).json(path)
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lake rows of JSON lines, read as text: blank and broken lines leave."""
     return parse_lake_lines(spark.read.text(path))

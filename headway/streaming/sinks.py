@@ -12,12 +12,14 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.board import arrival_board, lines_to_merge, live_lines, newest_lines
 from ..operators.clean import clean_telemetry, reject_reason, rejected_telemetry
 from ..operators.history import latest, snapshot_order
 from ..operators.serving import latest_from_panes, latest_per_route
@@ -376,7 +378,9 @@ def read_serving(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/{CommitLog(spark, path).live().folders[-1]}")
 
 
-def _with_previous(current: DataFrame, path: str, run: _Run, run_id: int, batch_id: int) -> DataFrame:
+def _with_previous(
+    current: DataFrame, path: str, run: _Run, run_id: int, batch_id: int, newest: Callable[..., DataFrame] = latest_per_route
+) -> DataFrame:
     """The rows over those of the version before, whichever run wrote it.
 
     The log is read with a process's first batch; after that the version before is its own last one.
@@ -389,7 +393,7 @@ def _with_previous(current: DataFrame, path: str, run: _Run, run_id: int, batch_
         return current
     previous = spark.read.parquet(f"{path}/{run.served}")
     both = previous.withColumn("fresh", F.lit(0)).unionByName(current.withColumn("fresh", F.lit(1)))
-    return latest_per_route(both, "fresh")
+    return newest(both, "fresh")
 
 
 def _serve(rows: DataFrame, path: str, run: _Run, batch_id: int, keep_for: str | None) -> None:
@@ -425,6 +429,36 @@ def upsert_serving(
     return each_batch(df, publish, checkpoint, "update", trigger, skip_empty=False)
 
 
+def keep_board(
+    windowed: DataFrame,
+    routes: DataFrame,
+    baselines: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: Trigger = None,
+    keep_for: str | None = None,
+) -> StreamingQuery:
+    """The live lines of the arrival board: changed windows, joined to the dimensions inside the running query.
+
+    Each batch publishes a version of at most one line per route; ``read_board`` shows all routes as of the last one.
+    """
+    run = _Run(path, checkpoint)
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        number = run.number(batch.sparkSession)
+        lines = newest_lines(batch.withColumn("fresh", F.lit(1)), "fresh")
+        _publish(_with_previous(lines, path, run, number, batch_id, newest_lines), path, number, batch_id, keep_for)
+        run.served = _place(number, batch_id)
+
+    return each_batch(live_lines(windowed, routes, baselines), publish, checkpoint, "update", trigger, skip_empty=False)
+
+
+def read_board(spark: SparkSession, path: str, routes: DataFrame, baselines: DataFrame, as_of: Column) -> DataFrame:
+    """The arrival board of every route, live where ``keep_board`` has a line."""
+    merged = lines_to_merge(read_serving(spark, path), routes, baselines)
+    return arrival_board(merged, as_of)
+
+
 CURRENT = ("window_start", "window_end", "average_delay_seconds")
 
 
