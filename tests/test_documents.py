@@ -22,8 +22,8 @@ LINES = {
 
 
 def test_families_types_and_unknown_fields(spark, folder):
-    spark.createDataFrame([(x,) for x in (*LINES, "")], "value string").coalesce(1).write.text(folder)
-    rows = documents.typed_rows(files.read_documents(spark, folder))
+    spark.createDataFrame([(x,) for x in (*LINES, "")], "value string").coalesce(1).write.text(f"{folder}/in")
+    rows = documents.typed_rows(files.read_documents(spark, f"{folder}/in"))
     others = F.to_json(F.transform_values("others", lambda _, v: F.to_json(v)))
     found = rows.select("family", "route_id", "average_delay_seconds", others.alias("others")).collect()
     got = [(r.family, r.route_id, r.average_delay_seconds, r.others and {k: json.loads(v) if v else v for k, v in json.loads(r.others).items()}) for r in found]
@@ -32,8 +32,8 @@ def test_families_types_and_unknown_fields(spark, folder):
 
 
 def test_only_what_is_used_is_taken_out(spark, folder):
-    spark.createDataFrame([(x,) for x in LINES], "value string").write.text(folder)
-    plan = documents.typed_rows(files.read_documents(spark, folder)).groupBy("route_id").count()
+    spark.createDataFrame([(x,) for x in LINES], "value string").write.text(f"{folder}/in")
+    plan = documents.typed_rows(files.read_documents(spark, f"{folder}/in")).groupBy("route_id").count()
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "window_end" not in text and "map_filter" not in text
 
