@@ -1,23 +1,29 @@
-"""Line dedup: repeated runs of lines are deleted but for their first copy.
-
-A document is a sequence of line names (64-bit hashes of the trimmed, non-blank
-lines). Prefix doubling names the runs of 1, 2, 4, .. lines from each line by
-hashing the names of their halves (names take the place of ranks: only their
-equality matters). A suffix need not be followed further than the line at which
-it reaches ``min_words`` words, so at most log2(min_words) doublings are made.
-Suffixes with equal names of that least run share a prefix of ``min_words`` words
-or more: these are the intervals of the longest-common-prefix array that matter.
-The interval's first suffix, by (doc_id, line), is kept, the run is deleted from
-the others. Blank lines between deleted lines go with them.
-
-The same is done from the last line backwards. Together the least runs cover
-every maximal repeated run exactly: all starts from which enough words follow
-inside it cover all but its end, and the one that ends with it covers the rest.
-The first copy of a line in the corpus is never deleted.
-
-All of it is DataFrame expressions. Lines that occur once leave before any
-sequence is built, groups are reduced to their first member by partial
-aggregation, joins leave hot names to adaptive splitting, and windows run over the lines of one document only.
+"""Line dedup: repeated runs of lines are deleted but for their first copy, by a suffix array.
+
+A line is named by 128 bits of hash; the names that occur twice or more are sorted once, and
+from there on a line is its place in that order. A document becomes stretches of repeated
+lines (a line that occurs once ends a run), and stretches of fewer than ``min_words`` words
+leave. Prefix doubling sorts the suffixes of all stretches: the pair (rank of this suffix,
+rank of the one ``h`` lines on) is ranked again by a range sort of the distinct pairs, with
+``h`` = 1, 2, 4, .. until the longest least run is covered or no group of equal suffixes
+splits any more. A suffix's least run reaches from its first line to the one at which it has
+``min_words`` words; only that much of the longest common prefix with the suffix before it in
+the array decides. Where it is shorter than the least run, an interval begins. The interval's
+first suffix, by (doc_id, line), is kept, the run is deleted from the others. Blank lines
+between deleted lines go with them.
+
+The same is done from the last line backwards. Together the least runs cover every maximal
+repeated run of ``min_words`` words exactly: all starts from which enough words follow inside
+it cover all but its end, and the one that ends with it covers the rest. The first copy of a
+line in the corpus is never deleted. ``min_words`` may be 1: then a line that recurs is a run.
+
+All of it is DataFrame expressions. A rank is an id given in the order of a range sort, so it
+is unique and ordered without one task ever counting all of them. The array is cut into ranges
+that no frequent suffix can fill alone (ties go by document and line); a range's first suffix
+meets the last one before it, and its first interval goes on from there, by tables of a row per
+range. Joins leave hot names to adaptive splitting, for which both sides are written first;
+groups are reduced by partial aggregation, windows run over the lines of one document or over
+one range.
 
 Null texts are empty. A null id comes first in the order. Rows that agree in id
 and text are one document and get the same result. Blank lines are kept and
@@ -27,6 +33,9 @@ empty result; extra columns do not matter.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,7 +58,7 @@ def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def _lines(rows: DataFrame) -> DataFrame:
-    """(doc_id, version, at, pos, name, words) of the non-blank lines; ``at`` numbers them, ``pos`` all lines."""
+    """(doc_id, version, at, pos, name, check, words) of the non-blank lines; ``at`` numbers them, ``pos`` all lines."""
     every = F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("pos"), _trimmed(x).alias("line")))
     some = F.filter(every, lambda x: x["line"] != "")
     return rows.select("doc_id", "version", F.posexplode(some).alias("at", "x")).select(
@@ -58,94 +67,142 @@ def _lines(rows: DataFrame) -> DataFrame:
         "at",
         "x.pos",
         F.xxhash64("x.line").alias("name"),
+        F.xxhash64(F.lit("check"), "x.line").alias("check"),
         F.regexp_count("x.line", F.lit("[^ \t\r\x0B\f]+")).cast("long").alias("words"),
     )
 
 
-def _least_runs(lines: DataFrame, min_words: int) -> DataFrame:
-    """The shortest runs from, and up to, each line that have ``min_words`` words.
+DOC = ("doc_id", "version")
+RANGE_BITS = 33  # an id holds the number of its range above as many bits of its place there
+
+
+def _in_order(rows: DataFrame, purpose: str, name: str, *order: str) -> DataFrame:
+    """The rows, written, with an id that grows with ``order``, by which no two rows may agree."""
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    return common.stored(rows.withColumn(name, F.monotonically_increasing_id()), purpose)
 
-    (doc_id, version, begin, end, first, last, run): by line number, by number among the non-blank lines, and named.
+
+def _stretches(lines: DataFrame, min_words: int) -> DataFrame:
+    """(doc_id, version, stretch, at, pos, words, rank): the repeated lines, in stretches of enough words."""
+    often = lines.groupBy("name", "check").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    often = _in_order(often, "repeated-lines", "rank", "name", "check")
+    lines = lines.join(often, ["name", "check"]).drop("name", "check")
+    order = Window.partitionBy(*DOC).orderBy("at")
+    before = F.lag("at").over(order)  # a repeated row gives its lines twice
+    lines = lines.withColumn("before", before).where("before IS NULL OR before <> at").drop("before")
+    lines = lines.withColumn("stretch", F.col("at") - F.row_number().over(order))
+    enough = F.sum("words").over(Window.partitionBy(*DOC, "stretch"))
+    return common.stored(lines.withColumn("enough", enough).where(F.col("enough") >= min_words).drop("enough"), "line-stretches")
+
+
+def _least_runs(lines: DataFrame, min_words: int, ahead: bool) -> DataFrame:
+    """The shortest run of ``min_words`` words from each line on, or back: where it lies and its lines' ranks.
+
+    ``run`` is null where the stretch has not that many words left. ``step`` numbers the lines in the direction.
     """
-    doc = Window.partitionBy("doc_id", "version")
-    order = doc.orderBy("at")
-    levels = (min_words - 1).bit_length()
-    rows = lines
-    for k in range(levels):  # names of the 2 ** (k + 1) lines from here, null beyond a gap or the end
-        far = 1 << k
-        joined = F.lead("at", far).over(order) == F.col("at") + far
-        name = F.xxhash64(F.col(f"from{k}" if k else "name"), F.lead(f"from{k}" if k else "name", far).over(order))
-        rows = rows.withColumn(f"from{k + 1}", F.when(joined, name))
-    rows = rows.withColumnRenamed("name", "from0")
-    tops = {f"upto{k}": F.lag(f"from{k}", (1 << k) - 1).over(order) for k in range(levels + 1)}
-    # Words before each line, with min_words more for each missing line: a frame of that many words ends at a gap.
-    missing = F.col("at") - F.row_number().over(order)
-    rows = rows.withColumns({**tops, "end_words": F.sum("words").over(order) + missing * min_words})
-    rows = rows.withColumn("start_words", F.col("end_words") - F.col("words"))
-
-    def runs(frame, own: str, other: str, edge) -> DataFrame:
-        """``own`` names blocks at this line, ``other`` those at the far end of the frame."""
-        names = F.struct(*[F.col(f"{other}{k}") for k in range(levels + 1)])
-        found = rows.select(
-            "doc_id",
-            "version",
-            "at",
-            "pos",
-            *[f"{own}{k}" for k in range(levels + 1)],
-            F.count("*").over(frame).alias("size"),
-            F.sum("words").over(frame).alias("sum"),
-            edge("pos").over(frame).alias("far_pos"),
-            edge(names).over(frame).alias("far"),
-        ).where(F.col("sum") >= min_words)
-        # Two overlapping blocks of the largest power of two name a run of any size.
-        run = None
-        for k in range(levels + 1):
-            here, there = F.col(f"{own}{k}"), F.col(f"far.{other}{k}")
-            name = F.xxhash64("size", *((here, there) if own == "from" else (there, here)))
-            fits = F.col("size") < 2 << k
-            run = F.when(fits, name) if run is None else run.when(fits, name)
-        begin, end = ("pos", "far_pos") if own == "from" else ("far_pos", "pos")
-        first = F.col("at") if own == "from" else F.col("at") - F.col("size") + 1
-        return found.select(
-            "doc_id",
-            "version",
-            F.col(begin).alias("begin"),
-            F.col(end).alias("end"),
-            first.alias("first"),
-            (first + F.col("size") - 1).alias("last"),
-            run.alias("run"),
-        )
-
-    ahead = runs(doc.orderBy("start_words").rangeBetween(0, min_words - 1), "from", "upto", F.last)
-    behind = runs(doc.orderBy("end_words").rangeBetween(1 - min_words, 0), "upto", "from", F.first)
-    return ahead.union(behind)
+    lines = lines.withColumn("step", F.col("at") if ahead else -F.col("at"))
+    stretch = Window.partitionBy(*DOC, "stretch")
+    lines = lines.withColumn("start_words", F.sum("words").over(stretch.orderBy("step")) - F.col("words"))
+    frame = stretch.orderBy("start_words").rangeBetween(0, min_words - 1)
+    found = lines.select(
+        *DOC,
+        "stretch",
+        "step",
+        "rank",
+        "at",
+        "pos",
+        F.last("at").over(frame).alias("far_at"),
+        F.last("pos").over(frame).alias("far_pos"),
+        F.when(F.sum("words").over(frame) >= min_words, F.collect_list("rank").over(frame)).alias("run"),
+    )
+    near, far = ("", "far_") if ahead else ("far_", "")
+    return found.select(
+        *DOC,
+        "stretch",
+        "step",
+        "rank",
+        F.col(f"{near}pos").alias("begin"),
+        F.col(f"{far}pos").alias("end"),
+        F.col(f"{near}at").alias("first"),
+        F.col(f"{far}at").alias("last"),
+        "run",
+    )
+
+
+def suffix_ranks(suffixes: DataFrame, depth: int) -> DataFrame:
+    """(doc_id, version, stretch, step, rank): ranks of the suffixes by their first ``depth`` lines or more.
+
+    ``rank`` comes in as that of the line. Suffixes have equal ranks where these lines are equal, the end of
+    a stretch included, which comes before every line.
+    """
+    rows, h, groups = suffixes.select(*DOC, "stretch", "step", "rank"), 1, None
+    while h < depth:
+        order = Window.partitionBy(*DOC, "stretch").orderBy("step")
+        pairs = rows.withColumn("next", F.coalesce(F.lead("rank", h).over(order), F.lit(-1)))
+        pairs = common.stored(pairs, "suffix-pairs")
+        ranks = _in_order(pairs.select("rank", "next").distinct(), "suffix-ranks", "pair", "rank", "next")
+        rows = pairs.join(ranks, ["rank", "next"]).select(*DOC, "stretch", "step", F.col("pair").alias("rank"))
+        before, groups = groups, ranks.count()
+        h *= 2
+        if groups == before:  # no group has split, so none ever will
+            break
+    return common.stored(rows, "suffix-ranks")
+
+
+def suffix_array(suffixes: DataFrame, ranks: DataFrame) -> DataFrame:
+    """The suffixes that have a least run, in order: ``place`` grows along the array.
+
+    ``common`` is how many lines of the least run are shared with the suffix before it; ``interval`` is the place
+    of the last suffix, up to this one, that does not share its whole least run: suffixes of one interval do.
+    """
+    key = [*DOC, "stretch", "step"]
+    same = reduce(and_, [F.col(f"s.{c}").eqNullSafe(F.col(f"r.{c}")) for c in key])
+    rows = suffixes.where("run IS NOT NULL").drop("rank").alias("s").join(ranks.alias("r"), same).select("s.*", "r.rank")
+    rows = _in_order(rows, "suffix-array", "place", "rank", *DOC, "step")
+    rows = rows.withColumn("range", F.shiftright("place", RANGE_BITS))
+    inside = Window.partitionBy("range").orderBy("place")
+    ranges = Window.orderBy("range")  # of a row for each range of the array
+    lasts = rows.groupBy("range").agg(F.max_by("run", "place").alias("ended"))
+    lasts = common.stored(lasts.withColumn("ended", F.lag("ended").over(ranges)), "suffix-seams")
+    rows = rows.join(F.broadcast(lasts), "range")  # as many rows as ranges
+    before = F.coalesce(F.lag("run").over(inside), "ended")
+    differ = F.array_position(F.zip_with("run", before, lambda a, b: a.eqNullSafe(b)), F.lit(False))
+    shared = F.when(before.isNull(), 0).when(differ == 0, F.size("run")).otherwise(differ - 1)
+    rows = rows.withColumn("common", shared.cast("int")).drop("ended")
+    begins = F.when(F.col("common") < F.size("run"), F.col("place"))
+    rows = common.stored(rows.withColumn("head", F.max(begins).over(inside)).drop("run", "rank"), "suffix-heads")
+    heads = rows.groupBy("range").agg(F.max("head").alias("head"))
+    carried = F.max("head").over(ranges.rowsBetween(Window.unboundedPreceding, -1))
+    heads = common.stored(heads.select("range", carried.alias("carried")), "suffix-carried")
+    rows = rows.join(F.broadcast(heads), "range")
+    return rows.withColumn("interval", F.coalesce("head", "carried")).drop("head", "carried", "range")
 
 
 def removed_runs(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, version, begin, end): the runs to delete, by line number from 0, merged where they meet."""
-    lines = _lines(_texts(docs, key, text))
-    often = lines.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name")
-    # Adaptive execution splits the rows of a hot name or run only where both sides of the join
-    # come from plain exchanges, so aggregates are written before they are joined.
-    often = common.stored(often, "repeated-lines")
-    lines = lines.join(often, "name", "left_semi")
-    doc = Window.partitionBy("doc_id", "version")
-    # A repeated row gives its lines twice.
-    before = F.lag("at").over(doc.orderBy("at"))
-    lines = lines.withColumn("before", before).where("before IS NULL OR before <> at").drop("before")
-    runs = common.stored(_least_runs(lines, min_words), "line-runs")
-    runs = runs.withColumn("place", F.struct("doc_id", "version", "begin"))
+    if min_words < 1:
+        raise ValueError("a run has a word at least")
+    lines = _stretches(_lines(_texts(docs, key, text)), min_words)
+    sides = []
+    for ahead in (True, False):
+        suffixes = common.stored(_least_runs(lines, min_words, ahead), "line-suffixes")
+        depth = suffixes.agg(F.max(F.size("run"))).first()[0] or 0
+        array = suffix_array(suffixes, suffix_ranks(suffixes, depth))
+        sides.append(array.withColumn("ahead", F.lit(ahead)))
+    runs = sides[0].unionByName(sides[1])
+    runs = runs.select(*DOC, "begin", "end", "first", "last", "ahead", "interval", F.struct(*DOC, "begin").alias("where"))
+    runs = common.stored(runs, "line-runs")
     # An interval of the suffix array: its first suffix stays.
-    kept = runs.groupBy("run").agg(F.min("place").alias("kept"), F.max("place").alias("last"))
-    kept = kept.where(~F.col("kept").eqNullSafe(F.col("last"))).select("run", "kept")
+    kept = runs.groupBy("ahead", "interval").agg(F.min("where").alias("kept"), F.max("where").alias("other"))
+    kept = kept.where(~F.col("kept").eqNullSafe(F.col("other"))).drop("other")
     kept = common.stored(kept, "kept-runs")
-    later = runs.join(kept, "run").where(~F.col("place").eqNullSafe(F.col("kept")))
-    later = later.select("doc_id", "version", "begin", "end", "first", "last").distinct()
-    order = doc.orderBy("first", "last")
+    later = runs.join(kept, ["ahead", "interval"]).where(~F.col("where").eqNullSafe(F.col("kept")))
+    later = later.select(*DOC, "begin", "end", "first", "last").distinct()
+    order = Window.partitionBy(*DOC).orderBy("first", "last")
     reached = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
     fresh = F.when(reached.isNull() | (F.col("first") > reached + 1), 1).otherwise(0)
     later = later.withColumn("fresh", fresh).withColumn("part", F.sum("fresh").over(order))
-    return later.groupBy("doc_id", "version", "part").agg(F.min("begin").alias("begin"), F.max("end").alias("end")).drop("part")
+    return later.groupBy(*DOC, "part").agg(F.min("begin").alias("begin"), F.max("end").alias("end")).drop("part")
 
 
 def dedup_lines(

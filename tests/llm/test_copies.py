@@ -50,6 +50,46 @@ def test_line_dedup_is_brute_force(spark, seed):
         assert got == brute_lines(docs, least)
 
 
+def test_suffixes_are_sorted_and_share_what_the_array_says(spark):
+    r = random.Random(9)
+    texts = ["\n".join(r.choice(["a", "b b", "c c c", "d"]) for _ in range(r.randrange(30))) for _ in range(15)]
+    docs = spark.createDataFrame(list(enumerate([*texts, *texts[:5], "a\nonce\nb b"])), "doc_id long, text string")
+    least = 6
+    lines = line_dedup._stretches(line_dedup._lines(line_dedup._texts(docs.repartition(5), "doc_id", "text")), least)
+    for ahead in (True, False):
+        sequences = {}
+        for x in lines.collect():
+            sequences.setdefault((x.doc_id, x.stretch), []).append((x.at if ahead else -x.at, x.rank, x.words))
+        tails = {}
+        for (d, _), rows in sequences.items():
+            rows.sort()
+            for k, (step, _, _) in enumerate(rows):
+                tails[d, step] = [x[1] for x in rows[k:]], [x[2] for x in rows[k:]]
+        suffixes = line_dedup._least_runs(lines, least, ahead)
+        ranks = {(x.doc_id, x.step): x.rank for x in line_dedup.suffix_ranks(suffixes, 1 << 10).collect()}
+        assert sorted(ranks, key=lambda k: (ranks[k], k)) == sorted(tails, key=lambda k: (tails[k][0], k))
+        assert len(set(ranks.values())) == len({tuple(t) for t, _ in tails.values()})
+        array = line_dedup.suffix_array(suffixes, line_dedup.suffix_ranks(suffixes, 1 << 10)).orderBy("place").collect()
+        enough = [k for k in sorted(tails, key=lambda k: (tails[k][0], k)) if sum(tails[k][1]) >= least]
+        assert [(x.doc_id, x.step) for x in array] == enough
+        before, interval = [], None
+        for x in array:
+            own, words = tails[x.doc_id, x.step]
+            size = next(n for n in range(1, len(own) + 1) if sum(words[:n]) >= least)
+            shared = next((k for k, (a, b) in enumerate(zip(own, before)) if a != b), min(len(own), len(before)))
+            assert x.common == min(size, shared)
+            interval = interval if shared >= size else x.place
+            assert x.interval == interval
+            before = own
+
+
+def test_runs_of_one_word_and_no_repeats(spark):
+    docs = spark.createDataFrame([(1, "a\nb\na"), (2, "b\nc"), (3, "d")], "doc_id long, text string")
+    got = {x.doc_id: (x.text, x.n_removed) for x in line_dedup.dedup_lines(docs, 1).collect()}
+    assert got == {1: ("a\nb", 1), 2: ("c", 1), 3: ("d", 0)}
+    assert {x.n_removed for x in line_dedup.dedup_lines(docs.where("doc_id > 1"), 1).collect()} == {0}
+
+
 def test_line_dedup_of_odd_rows(odd, none):
     found = line_dedup.dedup_lines(odd)
     assert found.columns == [*odd.columns, "n_lines", "n_removed"]
