@@ -7,8 +7,10 @@ labels alone, weighs the passages; the weighted representation gets the score.
 
 The model is fitted on a bounded sample: of each label at most ``sample``
 documents, those with the lowest hash of their id, each with all its passages.
-Of these the first stays, and any other as long as it and those before it have
-at most ``sample_passages`` passages in all. Every document is scored on its
+A document of more than ``sample_passages`` passages makes way for the next one
+(where all of a label are as long, the shortest stays); of the others those stay that
+with all before them have at most as many. Of several texts of one id the one with
+the lowest hash is learned from, whichever executor reads it. Every document is scored on its
 whole text. Labels, language, source and id are not among the inputs.
 
 Null and empty texts are one passage without words. Null labels are dropped;
@@ -159,7 +161,8 @@ def training_bags(docs: DataFrame, labels: DataFrame, sample: int, sample_passag
     order = F.xxhash64("doc_id")
     sides = [marks.where(F.col("label") == y).orderBy(order, "doc_id").limit(sample) for y in (0, 1)]
     chosen = F.broadcast(sides[0].union(sides[1]))  # at most 2 * sample ids
-    rows = docs.join(chosen, "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "label")
+    one = F.min_by("text", F.xxhash64("text")).alias("text")
+    rows = docs.join(chosen, "doc_id").groupBy("doc_id", "label").agg(one).select("doc_id", "text", "label")
     rows = common.stored(rows, "quality-sample")
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -172,8 +175,15 @@ def training_bags(docs: DataFrame, labels: DataFrame, sample: int, sample_passag
         return pa.RecordBatch.from_arrays([batch["doc_id"], batch["label"], pa.array(raw, pa.binary())], ["doc_id", "label", "x"])
 
     sizes = common.map_batches(rows, count, "doc_id long, label int, n long")
-    before = Window.partitionBy("label").orderBy(order, "doc_id")
-    whole = sizes.withColumn("total", F.sum("n").over(before)).where((F.col("total") <= sample_passages) | (F.col("total") == F.col("n")))
+    side = Window.partitionBy("label")
+    fits = F.col("n") <= sample_passages
+    sizes = sizes.withColumns(
+        {
+            "total": F.sum(F.when(fits, F.col("n"))).over(side.orderBy(order, "doc_id")),
+            "shortest": F.row_number().over(side.orderBy("n", order, "doc_id")),
+        }
+    )
+    whole = sizes.where((fits & (F.col("total") <= sample_passages)) | (~fits & (F.col("shortest") == 1)))
     rows = rows.join(F.broadcast(whole.select("doc_id")), "doc_id")
     bags = common.map_batches(rows.select("doc_id", "text", "label"), describe, "doc_id long, label int, x binary").toArrow()
     bags = bags.sort_by("doc_id")

@@ -109,6 +109,59 @@ def test_gradients():
         assert found[at] == pytest.approx((high - low) / 2e-6, abs=1e-5), name
 
 
+def slow_score(model, text):
+    """The score of a text by plain loops."""
+    words = text.split()
+    encoded, attention = [], []
+    w = {k: v.tolist() for k, v in model.weights.items()}
+    for at in range(0, max(1, len(words)), quality.WORDS):
+        some = words[at : at + quality.WORDS]
+        raw, n = " ".join(some).encode(), max(1, len(some))
+        x = [0.0] * quality.FEATURES
+        for b in raw:
+            x[quality._KIND[b]] += 1 / len(raw)
+        for a, b in zip(raw, raw[1:]):
+            x[quality.KINDS + ((a | 32) * 31 + (b | 32)) % quality.PAIRS] += 1 / len(raw)
+        x = [math.sqrt(v) for v in x[: -quality.FIGURES]]
+        x += [min(3.0, len(raw) / n / 10), sum(a == b for a, b in zip(some, some[1:])) / n, len(set(some)) / n]
+        x += [sum(s.isupper() for s in some) / n, len(some) / quality.WORDS]
+        x = [max(-5.0, min(5.0, (v - m) / s)) for v, m, s in zip(x, model.mean.tolist(), model.spread.tolist())]
+        h = [math.tanh(sum(v * row[j] for v, row in zip(x, w["encode"])) + w["shift"][j]) for j in range(len(w["shift"]))]
+        inner = {k: [sum(v * row[j] for v, row in zip(h, w[k])) for j in range(len(w["weigh"]))] for k in ("what", "gate")}
+        gated = [math.tanh(a) / (1 + math.exp(-b)) for a, b in zip(inner["what"], inner["gate"])]
+        encoded.append(h)
+        attention.append(math.exp(sum(a * b for a, b in zip(gated, w["weigh"]))))
+    z = [sum(a * h[j] for a, h in zip(attention, encoded)) / sum(attention) for j in range(len(w["out"]))]
+    return 1 / (1 + math.exp(-sum(a * b for a, b in zip(z, w["out"])) - w["bias"][0]))
+
+
+def test_scores_are_those_of_plain_loops(spark, small):
+    docs, labels = (spark.read.parquet(f"{small}/{t}.parquet") for t in ("documents", "labels"))
+    odd = spark.createDataFrame([(-k, t) for k, (_, t) in enumerate(ODD, 1)], "doc_id long, text string")
+    docs = docs.select("doc_id", "text").union(odd)
+    x, sizes, marks = quality.training_bags(quality.common.texts(docs, "doc_id", "text"), labels, quality.SAMPLE)
+    model = quality.fit(x, sizes, marks.astype(float))
+    found = quality.score(docs, labels).join(docs, "doc_id").collect()
+    assert len(found) == docs.count()
+    for r in found:
+        assert r.score == pytest.approx(slow_score(model, r.text or ""), abs=1e-6)
+
+
+def test_the_sample_has_one_text_of_an_id_and_passes_over_what_is_too_long(spark):
+    ids = [k for k in range(60) if zlib.crc32(str(k).encode()) % 5 != 0][:6]
+    text = lambda i, n: " ".join(f"w{i}x{j}" for j in range(quality.WORDS * n))
+    rows = [(i, text(i, 3)) for i in ids] + [(ids[0], text("other", 2)), (ids[0], text("another", 4))]
+    labels = spark.createDataFrame([(i, k % 2) for k, i in enumerate(ids)], "doc_id long, quality int")
+    bags = []
+    for order in (rows, rows[::-1]):
+        table = spark.createDataFrame(order, "doc_id long, text string").repartition(4)
+        bags.append(quality.training_bags(table, labels, 2000))
+    assert (bags[0][0] == bags[1][0]).all() and bags[0][1].tolist() == bags[1][1].tolist()
+    for long in ids:  # wherever it stands in the order
+        table = spark.createDataFrame([(i, text(i, 9 if i == long else 2)) for i in ids], "doc_id long, text string")
+        assert quality.training_bags(table, labels, 2000, 8)[1].tolist() == [2] * 5
+
+
 def test_a_text_scores_the_same_in_any_batch(spark, small):
     texts = [t or "" for _, t in ODD] + ["a b", "", "zq", "Q", "one two"]
     alone = np.vstack([quality.passages([t])[0] for t in texts])
