@@ -30,38 +30,54 @@ def test_elias_fano(n, top):
             assert packed.successor(want, begin, end).tolist() == brute
 
 
-def brute_scores(texts):
-    """(doc_id, n_tokens, n_known, train_tokens, base, score) of each row."""
+def lm_tokens(text):
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return [*re.findall(r"[^\x20\x09-\x0D]+", low), "\n"]
+
+
+class SlowModel:
+    """Counts of n-grams in dictionaries, interpolated by recursion."""
+
+    def __init__(self, texts, order, prior):
+        self.order, self.prior, self.grams = order, prior, collections.Counter()
+        self.words = collections.Counter(w for t in texts for w in lm_tokens(t))
+        for t in texts:
+            ws = self.padded(t)
+            for end in range(order - 1, len(ws)):
+                self.grams.update(tuple(ws[end - k : end + 1]) for k in range(1, order))
+        self.contexts = collections.Counter()
+        for gram, c in self.grams.items():
+            self.contexts[gram[:-1]] += c
+        self.n, self.v = sum(self.words.values()), len(self.words)
+
+    def padded(self, text):
+        return [("start", k) for k in range(self.order - 1)] + lm_tokens(text)
+
+    def p(self, context, word):
+        if not context:
+            return (self.words[word] + 0.1) / (self.n + 0.1 * (self.v + 1))
+        lower = self.p(context[1:], word)
+        return (self.grams[*context, word] + self.prior * lower) / (self.contexts[context] + self.prior)
+
+    def score(self, text):
+        ws, first = self.padded(text), self.order - 1
+        return sum(math.log10(self.p(tuple(ws[k - first : k]), ws[k])) for k in range(first, len(ws)))
+
 
-    def tokens(text):
-        low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
-        return [*re.findall(r"[^\x20\x09-\x0D]+", low), "\n"]
-
-    read = [(i, zlib.crc32(str(i).encode() if i is not None else b"") % 10 != 0, tokens(t)) for i, t in texts]
-    count = collections.Counter(w for _, train, ws in read if train for w in ws)
-    n, v = sum(count.values()), len(count)
-    context = collections.Counter(count)
-    context["\r"] = count["\n"]
-    pairs = collections.Counter(p for _, train, ws in read if train for p in zip(["\r", *ws], ws))
-    once, every = collections.Counter(), collections.Counter()
-    for (w, _), c in pairs.items():
-        every[context[w].bit_length()] += c
-        once[context[w].bit_length()] += c == 1
-    new = {b: (once[b] + 0.5) / (every[b] + 1) for b in range(64)}
-    new[0] = 1.0
-    low = lambda w: math.log10((count[w] + 0.1) / (n + 0.1 * (v + 1)))
+def brute_scores(texts, order=ngram_lm.ORDER, prior=ngram_lm.PRIOR):
+    """(doc_id, n_tokens, n_known, train_tokens, base, score) of each row."""
+    train = lambda i: zlib.crc32(str(i).encode() if i is not None else b"") % 10 != 0
+    model = SlowModel([t for i, t in texts if train(i)], order, prior)
     out = []
-    for i, _, ws in read:
-        score = 0.0
-        for w, x in zip(["\r", *ws], ws):
-            u, c = new[context[w].bit_length()], pairs[w, x]
-            score += math.log10((1 - u) * c / context[w]) if c else math.log10(u) + low(x)
-        out.append((i, len(ws), sum(count[w] > 0 for w in ws), n, sum(map(low, ws)), score))
+    for i, t in texts:
+        ws = lm_tokens(t)
+        base = sum(math.log10(model.p((), w)) for w in ws)
+        out.append((i, len(ws), sum(model.words[w] > 0 for w in ws), model.n, base, model.score(t)))
     return out
 
 
-def check_scores(found, texts):
-    want = sorted(brute_scores(texts), key=str)
+def check_scores(found, texts, **how):
+    want = sorted(brute_scores(texts, **how), key=str)
     got = sorted(((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in found), key=str)
     assert [r[:4] for r in got] == [r[:4] for r in want]
     for a, b in zip(got, want):
@@ -73,6 +89,37 @@ def test_language_model_of_odd_rows(odd, none):
     assert ngram_lm.score(none).count() == 0
 
 
+@pytest.mark.parametrize("order, prior", [(1, 1.0), (2, 0.5), (5, 9.0)])
+def test_language_model_of_any_order(odd, order, prior):
+    check_scores(ngram_lm.score(odd, order, prior).collect(), ODD, order=order, prior=prior)
+
+
+def test_a_context_sums_to_one():
+    model = SlowModel(["a b a", "a b c", "B a", ""], 3, ngram_lm.PRIOR)
+    for context in [*model.contexts, ("a", "never"), ("never", "b")]:
+        assert sum(model.p(context, w) for w in [*model.words, "unknown"]) == pytest.approx(1)
+
+
+def test_a_trie_finds_what_was_seen():
+    random = np.random.default_rng(7)
+    contexts, words = (np.unique(random.integers(1, 1 << 63, k, dtype=np.uint64)) for k in (400, 150))
+    seen = {}
+    for left, right in zip(random.integers(0, 400, 3000), random.integers(0, 150, 3000)):
+        if left % 5 and right % 7:  # contexts and words without any stay out of the trie
+            seen[int(left), int(right)] = int(random.integers(1, 10 ** random.integers(1, 9)))
+    pairs = np.array(sorted(seen))
+    some_left, left = np.unique(pairs[:, 0], return_inverse=True)
+    some_right, right = np.unique(pairs[:, 1], return_inverse=True)
+    counts = np.array([seen[tuple(p)] for p in pairs.tolist()])
+    asked = [(a, b) for a in range(400) for b in range(150)]
+    with tempfile.TemporaryDirectory() as folder:
+        trie = ngram_lm.Trie(contexts[some_left], words[some_right], left, right, counts, folder)
+        found = ngram_lm.counted(trie.find(contexts, words, *np.array(asked).T))
+    want = np.array([seen.get(pair, 0) for pair in asked])
+    assert ((found == 0) == (want == 0)).all()
+    assert found == pytest.approx(want, rel=5e-4) and (found[want <= ngram_lm.EXACT] == want[want <= ngram_lm.EXACT]).all()
+
+
 def test_language_model_over_many_blocks(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     found = ngram_lm.score(docs, block_chars=30_000).collect()
