@@ -89,7 +89,7 @@ def test_language_model_of_odd_rows(odd, none):
     assert ngram_lm.score(none).count() == 0
 
 
-@pytest.mark.parametrize("order, prior", [(1, 1.0), (2, 0.5), (5, 9.0)])
+@pytest.mark.parametrize("order, prior", [(1, 1.0), (3, 0.5), (5, 9.0)])
 def test_language_model_of_any_order(odd, order, prior):
     check_scores(ngram_lm.score(odd, order, prior).collect(), ODD, order=order, prior=prior)
 
