@@ -113,5 +113,6 @@ def nearest(
     """(query_id, rank, vec_id, score): the k nearest found of each query row, exact cosines."""
     common.ready(df.sparkSession)
     rows = blocks.vectors(df, key, vector).where(F.exists("v", lambda x: x != 0))
-    dims = rows.agg(F.max(F.size("v"))).first()[0] or 1
-    return blocks.search(encode(rows, dims), rows.where(is_query), _best(k, dims, width), k, "double")
+    dims, size = rows.agg(F.max(F.size("v")), F.count("*")).first()
+    dims = dims or 1
+    return blocks.search(encode(rows, dims), rows.where(is_query), _best(k, dims, width), k, "double", size)

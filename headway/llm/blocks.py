@@ -43,15 +43,17 @@ def search(
     best: Callable[[pa.Table, pa.Table], tuple[np.ndarray, np.ndarray, np.ndarray]],
     k: int,
     score: str,
+    size: int | None = None,
 ) -> DataFrame:
     """The k best rows of each query: (query_id, rank, vec_id, score), ties to the smaller vec_id.
 
     ``best(queries, rows)`` gives query ids, row ids and scores for a pair of
-    blocks: at least each query's k best rows of the block.
+    blocks: at least each query's k best rows of the block. ``size`` is the
+    number of rows, if known: counting them runs what made them.
     """
     queries = queries.dropDuplicates(["vec_id"])
     groups = -(-queries.count() // QUERY_BLOCK)
-    parts = -(-rows.count() // ROW_BLOCK)
+    parts = -(-(rows.count() if size is None else size) // ROW_BLOCK)
     if not groups:
         empty = f"query_id long, rank int, vec_id long, score {score}"
         return rows.sparkSession.createDataFrame([], empty)
