@@ -31,13 +31,16 @@ def prepare(spark: SparkSession) -> SparkSession:
 
     ``events.ts`` is zone-less; casting it for a stream and back must use UTC.
     RocksDB keeps the (route, window) state off the JVM heap and uploads only
-    what changed in a batch; without a row count, a put needs no get.
+    what changed in a batch; without a row count, a put needs no get. Java does
+    not compile methods beyond 8,000 bytes of code; a stage that large would be
+    interpreted, so its operators run one by one, in methods cut to size.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     rocksdb = "spark.sql.streaming.stateStore.rocksdb"
     spark.conf.set(f"{rocksdb}.changelogCheckpointing.enabled", "true")
     spark.conf.set(f"{rocksdb}.trackTotalNumberOfRows", "false")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return spark
 
 
