@@ -66,6 +66,16 @@ def texts(df: DataFrame, key: str, text: str) -> DataFrame:
     )
 
 
+def squeezed(raw: bytes) -> bytes:
+    """Bytes compressed, behind their length: Spark's own codec for shuffles has no entropy coding."""
+    raw = memoryview(raw)
+    return raw.nbytes.to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def unsqueezed(raw: bytes) -> bytes:
+    return pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), "zstd", asbytes=True)
+
+
 def map_batches(df: DataFrame, step: Callable[[pa.RecordBatch], Iterable], schema: str) -> DataFrame:
     """``mapInArrow`` with a function from one batch to one batch."""
 

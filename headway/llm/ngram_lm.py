@@ -27,6 +27,7 @@ Words and contexts are known by 63-bit hashes.
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +39,8 @@ from . import common
 from .elias_fano import EliasFano, mapped
 
 BLOCK_CHARS = 8_000_000
-ORDER = 2
-PRIOR = 30.0  # tokens that the shorter context's probabilities are worth; held-out texts of sf 0.1 scored best of 1, 4, 10, 30 (order 3)
+ORDER = 3
+PRIOR = 30.0  # tokens that the shorter context's probabilities are worth; held-out texts of sf 0.1 scored best of 1, 4, 10, 30
 END = b"\n"  # not possible as a word, like the start marks
 ROOT = np.zeros(1, np.uint64)  # the empty context
 SALTS = 4  # shards that the contexts of a word are spread over, at least
@@ -95,13 +96,13 @@ class Block:
     """The n-grams of a block, in an order that both passes reproduce."""
 
     def __init__(self, table: pa.Table, order: int, shards: int) -> None:
-        texts = table["text"].cast(pa.binary())
+        texts = table["text"]
         train = table["train"].combine_chunks().to_numpy(zero_copy_only=False)
         number = _Numbers()
         parts, sizes = [], np.empty(len(texts), np.int64)
         marks = _starts(order)
         for k, text in enumerate(texts):
-            words = marks + text.as_py().lower().split()  # of bytes: A-Z only, and the six white-space characters
+            words = marks + common.unsqueezed(text.as_py()).lower().split()  # of bytes: A-Z only, and the six white-space characters
             words.append(END)
             parts.append(np.fromiter(map(number.__getitem__, words), np.int32, len(words)))
             sizes[k] = len(words)
@@ -207,7 +208,7 @@ def _ask(order: int, shards: int):
             runs = np.diff(first, append=len(at))
             rows.append((_planes(context[first]), _packed(runs), _planes(block.words[words]), ids.tobytes(), _packed(counts[at])))
         columns = [pa.array([table["block"][0].as_py()] * shards, pa.int32()), pa.array(range(shards), pa.int32())]
-        columns += [pa.array(c, pa.binary()) for c in zip(*rows)]
+        columns += [pa.array(map(common.squeezed, c), pa.binary()) for c in zip(*rows)]
         return pa.table(columns, ["block", "shard", *ASKED])
 
     return run
@@ -257,7 +258,12 @@ class Trie:
         return out
 
 
-def _numbered(raws: list[bytes]) -> tuple[np.ndarray, list[np.ndarray]]:
+def _column(table: pa.Table, name: str) -> Iterator[bytes]:
+    """The values one after the other, so that only one is held uncompressed."""
+    return (common.unsqueezed(raw.as_py()) for raw in table[name])
+
+
+def _numbered(raws: Iterable[bytes]) -> tuple[np.ndarray, list[np.ndarray]]:
     """All hashes, increasing, and the numbers of each row's own."""
     each = [_rising(raw) for raw in raws]
     every, which = np.unique(np.concatenate(each), return_inverse=True)
@@ -266,10 +272,10 @@ def _numbered(raws: list[bytes]) -> tuple[np.ndarray, list[np.ndarray]]:
 
 def _answer(table: pa.Table, order: int) -> pa.Table:
     """The trie of a shard, and what it says about each block's n-grams, in the order they were asked."""
-    contexts, of_context = _numbered(table["contexts"].to_pylist())
-    words, of_word = _numbered(table["words"].to_pylist())
+    contexts, of_context = _numbered(_column(table, "contexts"))
+    words, of_word = _numbered(_column(table, "words"))
     codes, counts = [], []
-    for row, (runs, ids, n) in enumerate(zip(*(table[c].to_pylist() for c in ("runs", "ids", "counts")))):
+    for row, (runs, ids, n) in enumerate(zip(*(_column(table, c) for c in ("runs", "ids", "counts")))):
         runs = _unpacked(runs, len(of_context[row]))
         size = int(runs.sum())
         ids = np.frombuffer(ids, np.uint32 if len(ids) > 2 * size else np.uint16)
@@ -300,8 +306,8 @@ def _answer(table: pa.Table, order: int) -> pa.Table:
         {
             "block": table["block"],
             "shard": table["shard"],
-            "levels": pa.array(found, pa.binary()),
-            "exact": pa.array(exact, pa.binary()),
+            "levels": pa.array(map(common.squeezed, found), pa.binary()),
+            "exact": pa.array(map(common.squeezed, exact), pa.binary()),
             "n": pa.array([int(tokens.sum())] * rows, pa.int64()),
             "v": pa.array([int((tokens > 0).sum())] * rows, pa.int64()),
         }
@@ -315,11 +321,11 @@ def _score(order: int, shards: int, prior: float):
         block = Block(docs, order, shards)
         answers = answers.sort_by("shard")
         n, v = sum(answers["n"].to_pylist()), sum(answers["v"].to_pylist())
-        found = block.by_level(np.concatenate([_whole(raw, np.uint16) for raw in answers["levels"].to_pylist()]))
+        found = block.by_level(np.concatenate([_whole(raw, np.uint16) for raw in _column(answers, "levels")]))
         counts = [counted(level) for level in found]
         words, alone = len(block.words), block.order < len(block.words)  # the first level is the words
         each = np.diff(np.append(0, np.cumsum(alone))[block.begin])
-        exact = [_unpacked(raw, int(k)) for raw, k in zip(answers["exact"].to_pylist(), each)]
+        exact = [_unpacked(raw, int(k)) for raw, k in zip(_column(answers, "exact"), each)]
         counts[0] = np.empty(words)
         counts[0][block.order[alone]] = np.concatenate(exact)
         lower = (counts[0] + 0.1) / (n + 0.1 * (v + 1))
@@ -349,6 +355,12 @@ def _score(order: int, shards: int, prior: float):
     return run
 
 
+def _squeeze(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Texts compressed, as they are shuffled."""
+    texts = [common.squeezed(t.as_buffer()) for t in batch["text"].cast(pa.binary())]
+    return batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(texts, pa.binary()))
+
+
 def score(
     docs: DataFrame,
     order: int = ORDER,
@@ -372,7 +384,9 @@ def score(
         "text",
         (part % 10 != 0).alias("train"),
         F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(blocks)).cast("int").alias("block"),
-    ).repartition(blocks, "block")  # both passes read this one exchange
+    )
+    rows = common.map_batches(rows, _squeeze, "doc_id long, text binary, train boolean, block int")
+    rows = rows.repartition(blocks, "block")  # both passes read this one exchange
     asked = rows.groupBy("block").applyInArrow(
         _ask(order, shards), "block int, shard int, " + ", ".join(f"{c} binary" for c in ASKED)
     )

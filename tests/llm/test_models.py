@@ -94,6 +94,17 @@ def test_language_model_of_any_order(odd, order, prior):
     check_scores(ngram_lm.score(odd, order, prior).collect(), ODD, order=order, prior=prior)
 
 
+def test_the_default_model_tells_texts_by_more_than_pairs_of_words(spark):
+    """Both texts have the same words and equally frequent pairs; "b" goes on otherwise behind "x a"."""
+    rows = [(k, "x a b c z a b d" if k % 2 else "x a b c z a b d z") for k in range(400)]
+    asked = [(1004, "x a b c"), (1001, "x a b d")]
+    ids = {k for k, _ in asked}
+    found = ngram_lm.score(spark.createDataFrame(rows + asked, "doc_id long, text string")).collect()
+    check_scores(found, rows + asked, order=3)
+    apart = ngram_lm.score(spark.createDataFrame(rows + asked, "doc_id long, text string"), order=2).collect()
+    assert {r.doc_id: r.score for r in found if r.doc_id in ids} != {r.doc_id: r.score for r in apart if r.doc_id in ids}
+
+
 def test_a_context_sums_to_one():
     model = SlowModel(["a b a", "a b c", "B a", ""], 3, ngram_lm.PRIOR)
     for context in [*model.contexts, ("a", "never"), ("never", "b")]:
