@@ -30,7 +30,7 @@ from . import common
 NONE = np.int64(1) << 60
 _BEYOND = regex.compile("[^\\x00-\\u024f]").search
 LOCKSTEP = 64  # words up to so many symbols share an array
-ROWS = 20_000  # words of one array
+ROWS = 2_000  # words of one array: its trees stay in the cache of a core
 
 
 def _byte_names() -> list[str]:
@@ -112,13 +112,14 @@ class Model:
         """The ids of each word as numbers of the given type."""
         raw = [w.encode() for w in words]
         out = [b""] * len(words)
-        groups: dict[int, list[int]] = {}
-        for k, b in enumerate(raw):
-            if b[:2] == b"<|" and words[k] in self.special:
-                out[k] = np.array([self.special[words[k]]], kind).tobytes()
-                continue
-            groups.setdefault(1 << max(1, (len(b) - 1).bit_length()), []).append(k)
-        for width, members in groups.items():
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+        widths = 1 << np.maximum(1, np.frexp(sizes - 1)[1])  # the power of two that holds each word
+        for text in self.special.keys() & set(words):
+            for k in [k for k, w in enumerate(words) if w == text]:
+                out[k] = np.array([self.special[text]], kind).tobytes()
+                widths[k] = 0
+        for width in np.unique(widths[widths > 0]).tolist():
+            members = np.flatnonzero(widths == width).tolist()
             if width > LOCKSTEP:
                 for k in members:
                     out[k] = np.array(self._one_tree(raw[k], width), kind).tobytes()
@@ -268,12 +269,15 @@ class IdBytes:
         if len(self.word) > common.CACHE_ENTRIES:
             self.word.clear()
         rows = [common.chunks(t) for t in texts]
-        parts = [(c, self.model.parts(c)) for c in set().union(*rows) - self.chunk.keys()]
-        words = list({w for _, part in parts for w in part} - self.word.keys())
+        fresh = set().union(*rows) - self.chunk.keys()
+        plain = [c for c in fresh if c.isascii() and c.isalpha()]  # one word each
+        lower = list(map(str.lower, plain))
+        parts = [(c, self.model.parts(c)) for c in fresh.difference(plain)]
+        words = list(({w for _, part in parts for w in part}.union(lower)) - self.word.keys())
         self.word.update(zip(words, self.model.encode_bytes(words, self.kind)))
         get = self.word.__getitem__
-        for c, part in parts:
-            self.chunk[c] = get(part[0]) if len(part) == 1 else b"".join(map(get, part))
+        self.chunk.update(zip(plain, map(get, lower)))
+        self.chunk.update([(c, get(part[0]) if len(part) == 1 else b"".join(map(get, part))) for c, part in parts])
         get = self.chunk.__getitem__
         out = [b"".join(map(get, r)) for r in rows]
         if lasting:

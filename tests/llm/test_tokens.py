@@ -62,6 +62,24 @@ def test_full_encoding_round_trip(spark, small):
         assert row.decoded == LIBRARY.decode(row.ids, skip_special_tokens=False)
 
 
+def test_words_go_through_trees_that_stay_small(monkeypatch):
+    seen, plain = [], bpe.Model._lockstep
+
+    def watched(self, raw, width):
+        seen.append(len(raw) * 2 * width * 8)
+        return plain(self, raw, width)
+
+    monkeypatch.setattr(bpe.Model, "_lockstep", watched)
+    rng = random.Random(9)
+    words = {"".join(rng.choices("abcdefghij", k=rng.choice([1, 2, 3, 4, 5, 8, 9, 16, 17, 63, 64, 65]))) for _ in range(30_000)}
+    chunks = [*words, "<|endoftext|>", "Word", "WORD", "don't", "x<|endoftext|>y", "caf\u00e9", "\u00c9t\u00c9", "a1b2"]
+    encoder = bpe.IdBytes(open(WORD, "rb").read())
+    found = encoder.encode([*chunks, " ".join(chunks), ""])
+    want = [ids(c) for c in chunks]
+    assert [np.frombuffer(x, encoder.kind).tolist() for x in found] == [*want, [i for w in want for i in w], []]
+    assert len(seen) > 7 and max(seen) <= 2 << 20  # bytes
+
+
 def test_a_full_cache_changes_nothing(spark, odd, monkeypatch):
     encoder = bpe.IdBytes(open(WORD, "rb").read())
     monkeypatch.setattr(common, "CACHE_ENTRIES", 1)
