@@ -27,6 +27,7 @@ Words and contexts are known by 63-bit hashes.
 from __future__ import annotations
 
 import tempfile
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -43,7 +44,7 @@ ORDER = 3
 PRIOR = 30.0  # tokens that the shorter context's probabilities are worth; held-out texts of sf 0.1 scored best of 1, 4, 10, 30
 END = b"\n"  # not possible as a word, like the start marks
 ROOT = np.zeros(1, np.uint64)  # the empty context
-SALTS = 4  # shards that the contexts of a word are spread over, at least
+RARE = 32  # a word is rare in the corpus up to the RARE-th part of ``block_chars`` occurrences
 EXACT, FINE = 1 << 14, 3_500  # counts up to EXACT are levels of their own, FINE levels to each power of ten above
 EDGE = np.log10(EXACT)
 
@@ -82,32 +83,41 @@ def counted(levels: np.ndarray) -> np.ndarray:
     return np.where(levels <= EXACT, levels, 10 ** (np.maximum(levels - EXACT, 0) / FINE + EDGE))
 
 
+def _shard(hashes: np.ndarray, shards: int) -> np.ndarray:
+    """One of so many shards, that does not fall as hashes rise."""
+    return ((hashes >> np.uint64(31)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
+
+
 class Level:
-    """The distinct n-grams of one length in a block."""
+    """The distinct n-grams of one length in a block, by their ending (all but the first word), then the first word."""
+
+    def __init__(self, ending: np.ndarray, first: np.ndarray, words: int) -> None:
+        """``ending``, ``first``: of each place, as numbers of n-grams one shorter and of words."""
+        code, self.which = np.unique(ending * words + first, return_inverse=True)
+        self.ending, self.first = np.divmod(code, words)
+
 
-    def __init__(self, context: np.ndarray, word: np.ndarray, before: np.ndarray, words: np.ndarray) -> None:
-        """``context``, ``word``: of each place, as numbers of ``before`` and ``words`` (their hashes)."""
-        code, self.which = np.unique(context * len(words) + word, return_inverse=True)
-        self.left, self.right = np.divmod(code, len(words))
-        self.hashes = _mix(before[self.left], words[self.right])
+def _tokens(table: pa.Table, order: int) -> Iterator[list[bytes]]:
+    """The words of each text between its marks."""
+    marks = _starts(order)
+    for text in table["text"]:
+        words = marks + common.unsqueezed(text.as_py()).lower().split()  # of bytes: A-Z only, and the six white-space characters
+        words.append(END)
+        yield words
 
 
 class Block:
-    """The n-grams of a block, in an order that both passes reproduce."""
+    """The n-grams of a block, in an order that all passes reproduce."""
 
-    def __init__(self, table: pa.Table, order: int, shards: int) -> None:
-        texts = table["text"]
+    def __init__(self, table: pa.Table, order: int) -> None:
         train = table["train"].combine_chunks().to_numpy(zero_copy_only=False)
         number = _Numbers()
-        parts, sizes = [], np.empty(len(texts), np.int64)
-        marks = _starts(order)
-        for k, text in enumerate(texts):
-            words = marks + common.unsqueezed(text.as_py()).lower().split()  # of bytes: A-Z only, and the six white-space characters
-            words.append(END)
+        parts, sizes = [], np.empty(table.num_rows, np.int64)
+        for k, words in enumerate(_tokens(table, order)):
             parts.append(np.fromiter(map(number.__getitem__, words), np.int32, len(words)))
             sizes[k] = len(words)
         tokens = np.concatenate(parts)
-        del parts, texts
+        del parts
         hashes = _hashed(number)
         by_hash = np.argsort(hashes)  # words by hash: the same order whatever the order of the rows
         place = np.empty(len(by_hash), np.int64)
@@ -121,41 +131,75 @@ class Block:
         self.doc = doc[self.places]
         del doc
         self.levels, self.counts, self.grams = [], [], []
-        context, before = np.zeros(len(tokens), np.int64), ROOT
+        which = np.zeros(len(tokens), np.int64)
         for n in range(order):
             full = np.flatnonzero(depth >= n)  # with n tokens before in the same text
-            level = Level(context[full], tokens[full], before, self.words)
-            self.counts.append(np.bincount(level.which[trained[full]], minlength=len(level.left)))
-            which = np.zeros(len(tokens), np.int32)
+            level = Level(which[full], tokens[full - n], len(self.words))
+            self.counts.append(np.bincount(level.which[trained[full]], minlength=len(level.first)))
+            which = np.zeros(len(tokens), np.int64)
             which[full] = level.which
             level.which = None
             self.levels.append(level)
             # Of each scored token: its n-gram, and the n-gram that is the context of the next longer one.
-            self.grams.append((which[self.places], which[self.places - 1] if n + 1 < order else None))
-            context, before = np.roll(which, 1).astype(np.int64), level.hashes
-        self._deal(shards)
-
-    def _deal(self, shards: int) -> None:
-        """Entries of all lengths by shard, context and word."""
-        known = [ROOT] + [level.hashes for level in self.levels[:-1]]
-        offsets = np.cumsum([0] + [len(k) for k in known])
-        known = np.concatenate(known)
-        rank = np.empty(len(known), np.int64)
-        rank[np.argsort(known, kind="stable")] = np.arange(len(known))
-        context = np.concatenate([level.left + o for level, o in zip(self.levels, offsets)])
-        self.word = np.concatenate([level.right for level in self.levels])
-        self.context = known[context]
-        shard = ((self.words >> np.uint64(31)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)[self.word]
-        salts = min(shards, max(SALTS, shards // 64))
-        shard = (shard + (self.context % np.uint64(salts)).astype(np.int64) * (shards // salts)) % shards
-        self.order = np.argsort(shard << 40 | rank[context], kind="stable")
+            narrow = which.astype(np.int32)
+            self.grams.append((narrow[self.places], narrow[self.places - 1] if n + 1 < order else None))
+
+    def deal(self, shards: int, often: np.ndarray) -> None:
+        """Shards of the n-grams, and all lengths by shard; ``often``: the words that are frequent in the corpus."""
+        key = self.words
+        ended = np.zeros(1, bool)  # by a word that is not frequent: what goes on from there stays in its shard
+        self.shards = []
+        for n, level in enumerate(self.levels):
+            if n:
+                stays = ended[level.ending]
+                key = np.where(stays, key[level.ending], _mix(key[level.ending], self.words[level.first]))
+                ended = stays | ~often[level.first]
+            else:
+                ended = ~often
+            self.shards.append(_shard(key, shards))
+        shard = np.concatenate(self.shards)
+        self.order = np.argsort(shard.astype(np.uint16) if shards <= 1 << 16 else shard, kind="stable")
         self.begin = np.searchsorted(shard[self.order], np.arange(shards + 1))
 
+    def cells(self, ids: np.ndarray, shards: int) -> Iterator[list[bytes]]:
+        """For each shard the trie, from the last word backwards, of its n-grams.
+
+        Parts: of each length the ids of first words, and but for the longest how many nodes follow each one and
+        which are n-grams of this shard (others only lead there); last the training counts of these.
+        """
+        levels, child = [], None  # child: of the nodes one longer, their endings here, by shard
+        for n in range(len(self.levels) - 1, -1, -1):
+            level, shard = self.levels[n], self.shards[n]
+            size = len(level.first)
+            own = shard * size + np.arange(size)
+            if child is None:
+                nodes = np.sort(own)
+            else:
+                child = child[0] * size + child[1]
+                nodes = np.unique(np.concatenate([own, child[np.diff(child, prepend=-1) > 0]]))
+            where, node = np.divmod(nodes, size)
+            many = asked = None
+            if child is not None:
+                many = np.bincount(np.searchsorted(nodes, child), minlength=len(nodes))
+                asked = shard[node] == where
+            begin = np.searchsorted(where, np.arange(shards + 1))
+            levels.append((begin, ids[level.first[node]].astype(np.uint32), many, asked))
+            child = where, level.ending[node]
+        counts = np.concatenate(self.counts)[self.order]
+        for s in range(shards):
+            parts = []
+            for begin, words, many, asked in reversed(levels):
+                some = slice(begin[s], begin[s + 1])
+                parts += _planes(words[some])
+                if many is not None:
+                    parts += [_packed(many[some]), np.packbits(asked[some]).tobytes()]
+            yield [*parts, _packed(counts[self.begin[s] : self.begin[s + 1]])]
+
     def by_level(self, entries: np.ndarray) -> list[np.ndarray]:
         """Values of the entries, in their dealt order, as one array a length."""
         out = np.empty_like(entries)
         out[self.order] = entries
-        return np.split(out, np.cumsum([len(level.left) for level in self.levels])[:-1])
+        return np.split(out, np.cumsum([len(level.first) for level in self.levels])[:-1])
 
 
 def _packed(counts: np.ndarray) -> bytes:
@@ -169,47 +213,97 @@ def _unpacked(raw: bytes, n: int) -> np.ndarray:
     return counts
 
 
-def _planes(rising: np.ndarray) -> bytes:
-    """Increasing hashes as differences, which have few high bytes."""
-    return _bytewise(np.diff(rising, prepend=np.uint64(0)))
+def _planes(numbers: np.ndarray) -> list[bytes]:
+    """All lowest bytes, all next ones, and so on: equal bytes come together."""
+    return [plane.tobytes() for plane in numbers.view(np.uint8).reshape(-1, numbers.itemsize).T]
 
 
-def _bytewise(numbers: np.ndarray) -> bytes:
-    """First all lowest bytes, then all next: equal bytes come together."""
-    return numbers.view(np.uint8).reshape(-1, numbers.itemsize).T.tobytes()
+def _whole(planes: list[bytes], kind: type) -> np.ndarray:
+    """Numbers that were written by planes of bytes."""
+    planes = np.stack([np.frombuffer(plane, np.uint8) for plane in planes], axis=1)
+    return planes.view(kind).ravel()
 
 
-def _rising(raw: bytes) -> np.ndarray:
-    return np.cumsum(_whole(raw, np.uint64), dtype=np.uint64)
+def _cell(parts: Iterable[bytes]) -> list[bytes]:
+    return [common.squeezed(part) for part in parts]
 
 
-def _whole(raw: bytes, kind: type) -> np.ndarray:
-    """Numbers that were written by planes of bytes."""
-    planes = np.frombuffer(raw, np.uint8).reshape(np.dtype(kind).itemsize, -1)
-    return np.ascontiguousarray(planes.T).view(kind).ravel()
+def _parts(table: pa.Table) -> Iterator[list[bytes]]:
+    """The parts of each row one after the other, so that only one row's are held uncompressed."""
+    return ([common.unsqueezed(part) for part in parts.as_py()] for parts in table["parts"])
 
 
-ASKED = ["contexts", "runs", "words", "ids", "counts"]
+CELL = "block int, shard int, parts array<binary>"
 
 
-def _ask(order: int, shards: int):
-    """One row per shard: a block's n-grams and its training counts of them."""
+def _cells(table: pa.Table, cells: Iterable[Iterable[bytes]]) -> pa.Table:
+    """One row per shard."""
+    parts = pa.array(map(_cell, cells), pa.list_(pa.binary()))
+    block = pa.array([table["block"][0].as_py()] * len(parts), pa.int32())
+    return pa.table([block, pa.array(range(len(parts)), pa.int32()), parts], ["block", "shard", "parts"])
+
+
+def _list(order: int, shards: int):
+    """One row per shard of words: the hashes of a block's words, as differences, and how often they occur."""
+
+    def run(table: pa.Table) -> pa.Table:
+        number: Counter = Counter()
+        for words in _tokens(table, order):
+            number.update(words)
+        hashes, which = np.unique(_hashed(number), return_inverse=True)
+        times = np.bincount(which, np.fromiter(number.values(), np.int64, len(number)), len(hashes)).astype(np.int64)
+        begin = np.searchsorted(_shard(hashes, shards), np.arange(shards + 1))
+        some = [slice(a, b) for a, b in zip(begin, begin[1:])]
+        return _cells(table, ([*_planes(np.diff(hashes[x], prepend=np.uint64(0))), _packed(times[x])] for x in some))
+
+    return run
+
+
+def _number(order: int, shards: int, limit: int):
+    """Ids of the words of a shard, the more frequent the smaller, and which ones occur more than ``limit`` times."""
 
     def run(table: pa.Table) -> pa.Table:
-        block = Block(table, order, shards)
-        counts = np.concatenate(block.counts)
-        rows: list = []
-        for a, b in zip(block.begin, block.begin[1:]):
-            at = block.order[a:b]
-            context = block.context[at]
-            first = np.flatnonzero(np.diff(context, prepend=~context[:1]))
-            words, ids = np.unique(block.word[at], return_inverse=True)
-            ids = ids.astype(np.uint16 if len(words) <= 1 << 16 else np.uint32)
-            runs = np.diff(first, append=len(at))
-            rows.append((_planes(context[first]), _packed(runs), _planes(block.words[words]), ids.tobytes(), _packed(counts[at])))
-        columns = [pa.array([table["block"][0].as_py()] * shards, pa.int32()), pa.array(range(shards), pa.int32())]
-        columns += [pa.array(map(common.squeezed, c), pa.binary()) for c in zip(*rows)]
-        return pa.table(columns, ["block", "shard", *ASKED])
+        each, times = [], []
+        for *planes, raw in _parts(table):
+            each.append(np.cumsum(_whole(planes, np.uint64), dtype=np.uint64))
+            times.append(_unpacked(raw, len(each[-1])))
+        hashes, which = np.unique(np.concatenate(each), return_inverse=True)
+        total = np.bincount(which, np.concatenate(times), len(hashes))
+        ids = np.empty(len(hashes), np.int64)
+        ids[np.argsort(-total, kind="stable")] = np.arange(len(hashes))
+        ids = ids * shards + table["shard"][0].as_py() + order - 1
+        often = total > limit
+        for k, mark in enumerate(_hashed(_starts(order))):  # as if frequent
+            ids[hashes == mark], often[hashes == mark] = k, True
+        if ids.size and ids.max() >= 1 << 32:
+            raise ValueError("ids of words have 32 bits")
+        ids = ids.astype(np.uint32)
+        rows = np.split(which, np.cumsum([len(e) for e in each])[:-1])
+        parts = [_cell([*_planes(ids[row]), np.packbits(often[row]).tobytes()]) for row in rows]
+        return table.set_column(table.schema.get_field_index("parts"), "parts", pa.array(parts, pa.list_(pa.binary())))
+
+    return run
+
+
+def _bits(raw: bytes, n: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(raw, np.uint8), count=n).astype(bool)
+
+
+def _ask(order: int, shards: int):
+    """One row per shard: a block's n-grams and its training counts of them, and in the first one its frequent words."""
+
+    def run(docs: pa.Table, numbers: pa.Table) -> pa.Table:
+        block = Block(docs, order)
+        ids, often = [], []
+        for *planes, raw in _parts(numbers.sort_by("shard")):
+            ids.append(_whole(planes, np.uint32))
+            often.append(_bits(raw, len(ids[-1])))
+        at = np.cumsum(np.diff(block.words, prepend=block.words[:1]) > 0)  # words of equal hash have one id
+        often = np.concatenate(often)[at]
+        block.deal(shards, often)
+        out = _cells(docs, block.cells(np.concatenate(ids)[at], shards))
+        flags = [common.squeezed(np.packbits(often).tobytes())] + [None] * (shards - 1)
+        return out.append_column("often", pa.array(flags, pa.binary()))
 
     return run
 
@@ -258,34 +352,41 @@ class Trie:
         return out
 
 
-def _column(table: pa.Table, name: str) -> Iterator[bytes]:
-    """The values one after the other, so that only one is held uncompressed."""
-    return (common.unsqueezed(raw.as_py()) for raw in table[name])
-
-
-def _numbered(raws: Iterable[bytes]) -> tuple[np.ndarray, list[np.ndarray]]:
-    """All hashes, increasing, and the numbers of each row's own."""
-    each = [_rising(raw) for raw in raws]
-    every, which = np.unique(np.concatenate(each), return_inverse=True)
-    return every, np.split(which, np.cumsum([len(e) for e in each])[:-1])
+def _grams(parts: list[bytes], order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Contexts and last words of the n-grams in a cell, by length."""
+    planes = np.dtype(np.uint32).itemsize
+    path: list[np.ndarray] = []  # words of each node, the last first
+    for n in range(order):
+        words = _whole(parts[:planes], np.uint32)
+        path.append(words)
+        asked, parts = np.ones(len(words), bool), parts[planes:]
+        if n + 1 < order:
+            many, asked, parts = _unpacked(parts[0], len(words)), _bits(parts[1], len(words)), parts[2:]
+        context = np.zeros(np.count_nonzero(asked), np.uint64)  # the empty one
+        for words in path[:0:-1]:
+            context = _mix(context, words[asked].astype(np.uint64))
+        yield context, path[0][asked]
+        if n + 1 < order:
+            path = [np.repeat(words, many) for words in path]
 
 
 def _answer(table: pa.Table, order: int) -> pa.Table:
     """The trie of a shard, and what it says about each block's n-grams, in the order they were asked."""
-    contexts, of_context = _numbered(_column(table, "contexts"))
-    words, of_word = _numbered(_column(table, "words"))
-    codes, counts = [], []
-    for row, (runs, ids, n) in enumerate(zip(*(_column(table, c) for c in ("runs", "ids", "counts")))):
-        runs = _unpacked(runs, len(of_context[row]))
-        size = int(runs.sum())
-        ids = np.frombuffer(ids, np.uint32 if len(ids) > 2 * size else np.uint16)
-        codes.append(np.repeat(of_context[row], runs) * len(words) + of_word[row][ids])
-        counts.append(_unpacked(n, size))
-    sizes = np.cumsum([len(c) for c in codes])
-    asked, which = np.unique(np.concatenate(codes), return_inverse=True)
+    of_context, of_word, counts, singles = [], [], [], []
+    for *parts, raw in _parts(table):
+        contexts, words = zip(*_grams(parts, order))
+        singles.append(len(words[0]))
+        of_context += contexts
+        of_word += words
+        counts.append(_unpacked(raw, sum(map(len, words))))
+    sizes = np.cumsum([len(c) for c in counts])
+    contexts, of_context = np.unique(np.concatenate(of_context), return_inverse=True)
+    words, of_word = np.unique(np.concatenate(of_word), return_inverse=True)
+    asked, which = np.unique(of_context * max(len(words), 1) + of_word, return_inverse=True)
+    del of_context, of_word
     total = np.zeros(len(asked), np.int64)
     np.add.at(total, which, np.concatenate(counts))
-    del codes, counts
+    del counts
     left, right = np.divmod(asked, max(len(words), 1))
     seen = total > 0
     some_contexts, inner_left = np.unique(left[seen], return_inverse=True)
@@ -295,19 +396,15 @@ def _answer(table: pa.Table, order: int) -> pa.Table:
         levels = trie.find(contexts, words, left, right)
     # Words alone come first (the empty context is the least); their counts are given as they are.
     alone = int(np.searchsorted(contexts[left], ROOT[0], side="right"))
-    marks = _hashed(_starts(order))
-    tokens = total[:alone] * ~np.isin(words[right[:alone]], marks)
-    found, exact = [], []
-    for some in np.split(which, sizes[:-1]):
-        found.append(_bytewise(levels[some]))
-        exact.append(_packed(total[some[: np.searchsorted(some, alone)]]))
-    rows = len(found)
+    tokens = total[:alone] * (words[right[:alone]] >= order - 1)  # marks have the least ids
+    each = [_cell([*_planes(levels[some]), _packed(total[some[:k]])]) for some, k in zip(np.split(which, sizes[:-1]), singles)]
+    rows = len(each)
     return pa.table(
         {
             "block": table["block"],
             "shard": table["shard"],
-            "levels": pa.array(map(common.squeezed, found), pa.binary()),
-            "exact": pa.array(map(common.squeezed, exact), pa.binary()),
+            "parts": pa.array(each, pa.list_(pa.binary())),
+            "often": table["often"],
             "n": pa.array([int(tokens.sum())] * rows, pa.int64()),
             "v": pa.array([int((tokens > 0).sum())] * rows, pa.int64()),
         }
@@ -318,14 +415,17 @@ def _score(order: int, shards: int, prior: float):
     """The figures of each document."""
 
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        block = Block(docs, order, shards)
+        block = Block(docs, order)
         answers = answers.sort_by("shard")
         n, v = sum(answers["n"].to_pylist()), sum(answers["v"].to_pylist())
-        found = block.by_level(np.concatenate([_whole(raw, np.uint16) for raw in _column(answers, "levels")]))
-        counts = [counted(level) for level in found]
+        block.deal(shards, _bits(common.unsqueezed(answers["often"][0].as_py()), len(block.words)))
         words, alone = len(block.words), block.order < len(block.words)  # the first level is the words
         each = np.diff(np.append(0, np.cumsum(alone))[block.begin])
-        exact = [_unpacked(raw, int(k)) for raw, k in zip(_column(answers, "exact"), each)]
+        levels, exact = [], []
+        for k, (*planes, raw) in zip(each, _parts(answers)):
+            levels.append(_whole(planes, np.uint16))
+            exact.append(_unpacked(raw, int(k)))
+        counts = [counted(level) for level in block.by_level(np.concatenate(levels))]
         counts[0] = np.empty(words)
         counts[0][block.order[alone]] = np.concatenate(exact)
         lower = (counts[0] + 0.1) / (n + 0.1 * (v + 1))
@@ -378,6 +478,7 @@ def score(
     chars = rows.agg(F.sum(F.char_length("text"))).first()[0] or 0
     blocks = max(common.partitions(spark), -(-chars // block_chars))
     shards = -(-blocks // 2)
+    lists = -(-shards // 8)
     part = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     rows = rows.select(
         "doc_id",
@@ -386,12 +487,12 @@ def score(
         F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(blocks)).cast("int").alias("block"),
     )
     rows = common.map_batches(rows, _squeeze, "doc_id long, text binary, train boolean, block int")
-    rows = rows.repartition(blocks, "block")  # both passes read this one exchange
-    asked = rows.groupBy("block").applyInArrow(
-        _ask(order, shards), "block int, shard int, " + ", ".join(f"{c} binary" for c in ASKED)
-    )
+    rows = rows.repartition(blocks, "block")  # all passes read this one exchange
+    listed = rows.groupBy("block").applyInArrow(_list(order, lists), CELL)
+    numbers = listed.groupBy("shard").applyInArrow(_number(order, lists, block_chars // RARE), CELL)
+    asked = rows.groupBy("block").cogroup(numbers.groupBy("block")).applyInArrow(_ask(order, shards), f"{CELL}, often binary")
     answers = asked.groupBy("shard").applyInArrow(
-        lambda table: _answer(table, order), "block int, shard int, levels binary, exact binary, n long, v long"
+        lambda table: _answer(table, order), f"{CELL}, often binary, n long, v long"
     )
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return (
