@@ -6,13 +6,13 @@ import os
 
 import numpy as np
 
-_BYTE_ONES = np.array([bin(b).count("1") for b in range(256)], np.uint8)
 _BYTE_SELECT = np.zeros((256, 8), np.uint8)  # place of the k-th set bit of a byte
 for _b in range(256):
     for _k, _place in enumerate(p for p in range(8) if _b >> p & 1):
         _BYTE_SELECT[_b, _k] = _place
 
 _1, _2, _4, _8, _BYTE = (np.uint64(k) for k in (1, 2, 4, 8, 0xFF))
+CHUNK = 1 << 14  # so many are looked up at a time, in a core's cache
 _EACH = np.uint64(0x0101010101010101)
 _PAIRS, _FOURS, _LOW_HALVES, _TOPS = (_EACH * np.uint64(k) for k in (0x55, 0x33, 0x0F, 0x80))
 
@@ -25,6 +25,10 @@ def mapped(array: np.ndarray, folder: str, name: str) -> np.ndarray:
     return np.memmap(path, array.dtype, "r", shape=array.shape) if array.size else array
 
 
+def _chunks(n: int) -> list[slice]:
+    return [slice(at, at + CHUNK) for at in range(0, n, CHUNK)]
+
+
 class EliasFano:
     """A non-decreasing sequence: low bits packed, high parts in unary, ranks of the words for select."""
 
@@ -35,9 +39,11 @@ class EliasFano:
         self.low = low = min(56, max(0, (self.top // max(n, 1)).bit_length() - 1))  # read as part of eight bytes
         packed = [np.zeros(0, np.uint8)]
         for at in range(0, n, 1 << 16):  # a multiple of eight values fills whole bytes
-            bits = (values[at : at + (1 << 16), None] >> np.arange(low, dtype=np.uint64)).astype(np.uint8) & 1
+            some = values[at : at + (1 << 16)].astype("<u8").view(np.uint8).reshape(-1, 8)
+            bits = np.unpackbits(some, axis=1, count=low, bitorder="little")
             packed.append(np.packbits(bits.ravel(), bitorder="little"))
         self.lows = mapped(np.concatenate([*packed, np.zeros(8, np.uint8)]), folder, f"{name}.low")
+        self.eights = np.ndarray(len(self.lows) - 7, "<u8", self.lows, strides=(1,))  # the eight bytes from each byte on
         high = (values >> np.uint64(low)).astype(np.int64)
         self.buckets = self.top >> low
         length = -(-(n + self.buckets + 2) // 64) * 64
@@ -45,7 +51,7 @@ class EliasFano:
         unary[high + np.arange(n)] = 1
         raw = np.packbits(unary, bitorder="little")
         self.high = mapped(raw, folder, f"{name}.high")
-        ones = _BYTE_ONES[raw].reshape(-1, 8).sum(axis=1, dtype=np.int64)
+        ones = np.bitwise_count(raw.view(np.uint64)).astype(np.int64)
         self.ones = mapped(np.concatenate([[0], np.cumsum(ones)]), folder, f"{name}.ones")
         self.zeros = mapped(64 * np.arange(len(ones) + 1) - self.ones, folder, f"{name}.zeros")
 
@@ -65,21 +71,44 @@ class EliasFano:
         place = _BYTE_SELECT[bits >> (full * _8) & _BYTE, rest]
         return word * 64 + full.astype(np.int64) * 8 + place
 
+    def _next_zero(self, place: np.ndarray) -> np.ndarray:
+        """The first bit from each place on that is not set."""
+        free = ~self.high.view("<u8")[place >> 6] >> (place & 63).astype(np.uint64)
+        out = place + np.bitwise_count((free & (~free + _1)) - _1)  # the bits below the lowest one of free
+        far = np.flatnonzero(free == 0)  # none in the rest of the word
+        out[far] = self._select(self.zeros[(place[far] >> 6) + 1], 0)
+        return out
+
     def _low(self, at: np.ndarray) -> np.ndarray:
         if not self.low:
             return np.zeros(len(at), np.int64)
         bit = at * self.low
-        words = self.lows[(bit >> 3)[:, None] + np.arange(8)].view("<u8").ravel()
-        return ((words >> (bit & 7).astype(np.uint64)) & np.uint64((1 << self.low) - 1)).astype(np.int64)
+        return ((self.eights[bit >> 3] >> (bit & 7).astype(np.uint64)) & np.uint64((1 << self.low) - 1)).astype(np.int64)
+
+    def every(self) -> np.ndarray:
+        """The whole sequence."""
+        at = np.arange(self.n)
+        high = np.flatnonzero(np.unpackbits(self.high, bitorder="little")) - at
+        return (high << self.low) | self._low(at)
 
     def get(self, at: np.ndarray) -> np.ndarray:
-        return ((self._select(at, 1) - at) << self.low) | self._low(at)
+        out = np.empty(len(at), np.int64)
+        for some in _chunks(len(at)):
+            out[some] = ((self._select(at[some], 1) - at[some]) << self.low) | self._low(at[some])
+        return out
 
     def successor(self, value: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         """First place in [begin, end) whose value is at least ``value`` (end: none)."""
+        out = np.empty(len(value), np.int64)
+        for some in _chunks(len(value)):
+            out[some] = self._successor(value[some], begin[some], end[some])
+        return out
+
+    def _successor(self, value: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         bucket = np.minimum(value >> self.low, self.buckets)
-        after = self._select(bucket, 0) - bucket  # elements of this bucket and below
-        first = np.where(bucket > 0, self._select(np.maximum(bucket - 1, 0), 0) - bucket + 1, 0)
+        zero = np.where(bucket > 0, self._select(np.maximum(bucket - 1, 0), 0), -1)
+        first = zero - bucket + 1  # elements below this bucket
+        after = self._next_zero(zero + 1) - bucket  # and in it
         at, stop = np.maximum(first, begin), np.minimum(after, end)
         low = value & ((1 << self.low) - 1)
         live = np.flatnonzero(at < stop)

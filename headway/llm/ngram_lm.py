@@ -1,17 +1,19 @@
 """N-gram language model in Elias-Fano tries over ranges of the corpus's n-grams, applied to the whole corpus.
 
-Documents are dealt into blocks by a hash of their id. A block sends each
-distinct n-gram (of one word up to ``order``) once, with its training count, to a
-shard, so a frequent one costs each block one entry. The shard follows from the
-last word, and for a part from the context: the successors of a frequent context
-are spread over all shards, the contexts of a frequent word over at least four
-and, beyond 256 shards, over one in 64. A shard adds up
-what all blocks sent and builds its trie of the n-grams seen in training, three
-memory-mapped levels: contexts (hashes, increasing), for each context a monotone
-pointer to its successors, and the successors (relative to their context, made
-monotone by the end of the context before) with their quantised frequencies.
-Then it looks the n-grams of every block up there, those of held-out texts as
-well: the context's range by its pointers, the word in it by successor search.
+Documents are dealt into blocks by a hash of their id. Each block is encoded
+once, as numbers of its words, and the words of all blocks get ids, the frequent
+ones small numbers. A block sends each distinct n-gram (of one word up to
+``order``) once, with its training count, to a shard, so a frequent one costs
+each block one entry. The shard follows from the n-gram's shortest ending that
+begins with a rare word, else from the whole n-gram: so what ends alike mostly
+lies together and is sent as a trie of word ids, and no shard gets more by one
+ending than a rare word's occurrences. A shard adds up what all blocks sent and
+builds its trie of the n-grams seen in training, three memory-mapped levels:
+contexts (hashes, increasing), for each context a monotone pointer to its
+successors, and the successors (relative to their context, made monotone by the
+end of the context before) with their quantised frequencies. Then it looks the
+n-grams of every block up there, those of held-out texts as well: the context's
+range by its pointers, the word in it by successor search.
 
 Model: p(w | h) = (c(h, w) + prior * p(w | shorter h)) / (c(h) + prior), from the
 add-0.1 probability of a word upwards, so the probabilities of every context add
@@ -27,7 +29,6 @@ Words and contexts are known by 63-bit hashes.
 from __future__ import annotations
 
 import tempfile
-from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -47,12 +48,9 @@ ROOT = np.zeros(1, np.uint64)  # the empty context
 RARE = 32  # a word is rare in the corpus up to the RARE-th part of ``block_chars`` occurrences
 EXACT, FINE = 1 << 14, 3_500  # counts up to EXACT are levels of their own, FINE levels to each power of ten above
 EDGE = np.log10(EXACT)
-
-
-class _Numbers(dict):
-    def __missing__(self, word: bytes) -> int:
-        self[word] = n = len(self)
-        return n
+LONG = 256  # bytes; longer words are hashed one by one
+_SPACE = np.isin(np.arange(256), list(b"\t\n\v\f\r "))
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)  # masks of so many bytes
 
 
 def _starts(order: int) -> list[bytes]:
@@ -72,6 +70,26 @@ def _mix(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return np.maximum((x ^ (x >> np.uint64(31))) >> np.uint64(1), np.uint64(1))
 
 
+def split(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all words (A-Z in lower case, between the six white-space characters), and how many each text has."""
+    raw = b" ".join([b"", *texts, b" " * 8]).lower()
+    codes = np.frombuffer(raw, np.uint8)
+    solid = ~_SPACE[codes]
+    edges = np.flatnonzero(solid[1:] != solid[:-1]) + 1
+    begin, sizes = edges[::2], edges[1::2] - edges[::2]
+    bounds = np.cumsum([1] + [len(text) + 1 for text in texts])
+    eights = np.ndarray(len(codes) - 7, "<u8", codes, strides=(1,))  # the eight bytes from each byte on
+    hashes = sizes.astype(np.uint64)
+    live, done = np.flatnonzero(sizes <= LONG), 0
+    while len(live):  # eight bytes more of each word
+        left = sizes[live] - done
+        hashes[live] = _mix(hashes[live], eights[begin[live] + done] & _FIRST[np.minimum(left, 8)])
+        live, done = live[left > 8], done + 8
+    long = np.flatnonzero(sizes > LONG)
+    hashes[long] = _hashed(raw[a : a + n] for a, n in zip(begin[long].tolist(), sizes[long].tolist()))
+    return hashes, np.diff(np.searchsorted(begin, bounds))
+
+
 def quantised(counts: np.ndarray) -> np.ndarray:
     """Counts in 16 bits: as they are up to EXACT, by their logarithm above."""
     above = EXACT + np.rint((np.log10(np.maximum(counts, EXACT)) - EDGE) * FINE)
@@ -94,55 +112,90 @@ class Level:
     def __init__(self, ending: np.ndarray, first: np.ndarray, words: int) -> None:
         """``ending``, ``first``: of each place, as numbers of n-grams one shorter and of words."""
         code, self.which = np.unique(ending * words + first, return_inverse=True)
-        self.ending, self.first = np.divmod(code, words)
+        self.ending = code // words
+        self.first = code - self.ending * words
+
+    @classmethod
+    def of_words(cls, words: int) -> Level:
+        level = cls.__new__(cls)
+        level.ending, level.first = np.zeros(words, np.int64), np.arange(words)
+        return level
+
+
+def _encode(order: int):
+    """A block as one row: its texts' ids, sizes and tokens, and the hashes of its words with how often they occur."""
+
+    marks = _hashed([*_starts(order), END])
+
+    def run(table: pa.Table) -> pa.Table:
+        words, sizes = split([common.unsqueezed(text.as_py()) for text in table["text"]])
+        hashes, which = np.unique(np.concatenate([words, marks]), return_inverse=True)
+        sizes += order
+        last = np.cumsum(sizes) - 1
+        tokens = np.empty(sizes.sum(), np.int64)
+        for k in range(order):  # the marks before, and the end
+            tokens[last - sizes + 1 + k if k + 1 < order else last] = which[len(words) + k]
+        text = np.repeat(np.arange(len(sizes)), sizes - order)
+        tokens[np.arange(len(words)) + order * text + order - 1] = which[: len(words)]
+        times = np.bincount(tokens, minlength=len(hashes))
+        rank = np.empty(len(hashes), np.uint32)  # frequent words have small numbers, which take less
+        rank[_by_times(times)] = np.arange(len(hashes))
+        columns = {
+            "block": table["block"][:1],
+            "docs": pa.array([table["doc_id"].to_pylist()], pa.list_(pa.int64())),
+            "train": pa.array([table["train"].to_pylist()], pa.list_(pa.bool_())),
+            "sizes": pa.array([sizes], pa.list_(pa.int64())),
+            "words": pa.array([_cell([*_planes(np.diff(hashes, prepend=np.uint64(0))), _packed(times)])], pa.list_(pa.binary())),
+            "tokens": pa.array([_cell(_planes(rank[tokens]))], pa.list_(pa.binary())),
+        }
+        return pa.table(columns)
+
+    return run
+
+
+ENCODED = "block int, docs array<long>, train array<boolean>, sizes array<long>, words array<binary>, tokens array<binary>"
+
+
+def _by_times(times: np.ndarray) -> np.ndarray:
+    return np.argsort(-times, kind="stable")
 
 
-def _tokens(table: pa.Table, order: int) -> Iterator[list[bytes]]:
-    """The words of each text between its marks."""
-    marks = _starts(order)
-    for text in table["text"]:
-        words = marks + common.unsqueezed(text.as_py()).lower().split()  # of bytes: A-Z only, and the six white-space characters
-        words.append(END)
-        yield words
+def _words(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Increasing hashes, and how often each word occurs."""
+    *planes, times = parts
+    hashes = np.cumsum(_whole(planes, np.uint64), dtype=np.uint64)
+    return hashes, _unpacked(times, len(hashes))
 
 
 class Block:
     """The n-grams of a block, in an order that all passes reproduce."""
 
     def __init__(self, table: pa.Table, order: int) -> None:
-        train = table["train"].combine_chunks().to_numpy(zero_copy_only=False)
-        number = _Numbers()
-        parts, sizes = [], np.empty(table.num_rows, np.int64)
-        for k, words in enumerate(_tokens(table, order)):
-            parts.append(np.fromiter(map(number.__getitem__, words), np.int32, len(words)))
-            sizes[k] = len(words)
-        tokens = np.concatenate(parts)
-        del parts
-        hashes = _hashed(number)
-        by_hash = np.argsort(hashes)  # words by hash: the same order whatever the order of the rows
-        place = np.empty(len(by_hash), np.int64)
-        place[by_hash] = np.arange(len(by_hash))
-        self.words, self.train, self.sizes = hashes[by_hash], train, sizes - (order - 1)
-        tokens = place[tokens]
-        doc = np.repeat(np.arange(len(sizes)), sizes)
+        self.words, times = _words(next(_parts(table["words"])))  # by hash: the same order whatever the order of the rows
+        tokens = _by_times(times).astype(np.int32)[_whole(next(_parts(table["tokens"])), np.uint32)]
+        self.docs = table["docs"].combine_chunks().flatten()
+        self.train = table["train"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        sizes = table["sizes"].combine_chunks().flatten().to_numpy()
+        self.sizes = sizes - (order - 1)
         depth = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        trained = train[doc]
+        trained = np.repeat(self.train, sizes)
         self.places = np.flatnonzero(depth >= order - 1)  # of tokens that are scored
-        self.doc = doc[self.places]
-        del doc
+        self.doc = np.repeat(np.arange(len(sizes)), self.sizes)
         self.levels, self.counts, self.grams = [], [], []
-        which = np.zeros(len(tokens), np.int64)
         for n in range(order):
-            full = np.flatnonzero(depth >= n)  # with n tokens before in the same text
-            level = Level(which[full], tokens[full - n], len(self.words))
-            self.counts.append(np.bincount(level.which[trained[full]], minlength=len(level.first)))
-            which = np.zeros(len(tokens), np.int64)
-            which[full] = level.which
-            level.which = None
+            if n:
+                full = np.flatnonzero(depth >= n)  # with n tokens before in the same text
+                level = Level(which[full].astype(np.int64), tokens[full - n], len(self.words))
+                which = np.zeros(len(tokens), np.int32)
+                which[full] = level.which
+                self.counts.append(np.bincount(level.which[trained[full]], minlength=len(level.first)))
+                level.which = None
+            else:
+                level, which = Level.of_words(len(self.words)), tokens
+                self.counts.append(np.bincount(tokens[trained], minlength=len(self.words)))
             self.levels.append(level)
             # Of each scored token: its n-gram, and the n-gram that is the context of the next longer one.
-            narrow = which.astype(np.int32)
-            self.grams.append((narrow[self.places], narrow[self.places - 1] if n + 1 < order else None))
+            self.grams.append((which[self.places], which[self.places - 1] if n + 1 < order else None))
 
     def deal(self, shards: int, often: np.ndarray) -> None:
         """Shards of the n-grams, and all lengths by shard; ``often``: the words that are frequent in the corpus."""
@@ -228,33 +281,32 @@ def _cell(parts: Iterable[bytes]) -> list[bytes]:
     return [common.squeezed(part) for part in parts]
 
 
-def _parts(table: pa.Table) -> Iterator[list[bytes]]:
+def _parts(column: pa.ChunkedArray) -> Iterator[list[bytes]]:
     """The parts of each row one after the other, so that only one row's are held uncompressed."""
-    return ([common.unsqueezed(part) for part in parts.as_py()] for parts in table["parts"])
+    return ([common.unsqueezed(part) for part in parts.as_py()] for parts in column)
 
 
 CELL = "block int, shard int, parts array<binary>"
 
 
-def _cells(table: pa.Table, cells: Iterable[Iterable[bytes]]) -> pa.Table:
+def _cells(block: int, cells: Iterable[Iterable[bytes]]) -> pa.Table:
     """One row per shard."""
     parts = pa.array(map(_cell, cells), pa.list_(pa.binary()))
-    block = pa.array([table["block"][0].as_py()] * len(parts), pa.int32())
-    return pa.table([block, pa.array(range(len(parts)), pa.int32()), parts], ["block", "shard", "parts"])
+    columns = [pa.array([block] * len(parts), pa.int32()), pa.array(range(len(parts)), pa.int32()), parts]
+    return pa.table(columns, ["block", "shard", "parts"])
 
 
-def _list(order: int, shards: int):
+def _list(shards: int):
     """One row per shard of words: the hashes of a block's words, as differences, and how often they occur."""
 
-    def run(table: pa.Table) -> pa.Table:
-        number: Counter = Counter()
-        for words in _tokens(table, order):
-            number.update(words)
-        hashes, which = np.unique(_hashed(number), return_inverse=True)
-        times = np.bincount(which, np.fromiter(number.values(), np.int64, len(number)), len(hashes)).astype(np.int64)
-        begin = np.searchsorted(_shard(hashes, shards), np.arange(shards + 1))
-        some = [slice(a, b) for a, b in zip(begin, begin[1:])]
-        return _cells(table, ([*_planes(np.diff(hashes[x], prepend=np.uint64(0))), _packed(times[x])] for x in some))
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = []
+        for block, parts in zip(batch["block"].to_pylist(), _parts(batch["words"])):
+            hashes, times = _words(parts)
+            begin = np.searchsorted(_shard(hashes, shards), np.arange(shards + 1))
+            some = [slice(a, b) for a, b in zip(begin, begin[1:])]
+            rows.append(_cells(block, ([*_planes(np.diff(hashes[x], prepend=np.uint64(0))), _packed(times[x])] for x in some)))
+        return pa.concat_tables(rows).combine_chunks().to_batches()[0]
 
     return run
 
@@ -263,10 +315,7 @@ def _number(order: int, shards: int, limit: int):
     """Ids of the words of a shard, the more frequent the smaller, and which ones occur more than ``limit`` times."""
 
     def run(table: pa.Table) -> pa.Table:
-        each, times = [], []
-        for *planes, raw in _parts(table):
-            each.append(np.cumsum(_whole(planes, np.uint64), dtype=np.uint64))
-            times.append(_unpacked(raw, len(each[-1])))
+        each, times = zip(*map(_words, _parts(table["parts"])))
         hashes, which = np.unique(np.concatenate(each), return_inverse=True)
         total = np.bincount(which, np.concatenate(times), len(hashes))
         ids = np.empty(len(hashes), np.int64)
@@ -292,16 +341,15 @@ def _bits(raw: bytes, n: int) -> np.ndarray:
 def _ask(order: int, shards: int):
     """One row per shard: a block's n-grams and its training counts of them, and in the first one its frequent words."""
 
-    def run(docs: pa.Table, numbers: pa.Table) -> pa.Table:
-        block = Block(docs, order)
+    def run(encoded: pa.Table, numbers: pa.Table) -> pa.Table:
+        block = Block(encoded, order)
         ids, often = [], []
-        for *planes, raw in _parts(numbers.sort_by("shard")):
+        for *planes, raw in _parts(numbers.sort_by("shard")["parts"]):
             ids.append(_whole(planes, np.uint32))
             often.append(_bits(raw, len(ids[-1])))
-        at = np.cumsum(np.diff(block.words, prepend=block.words[:1]) > 0)  # words of equal hash have one id
-        often = np.concatenate(often)[at]
+        often = np.concatenate(often)
         block.deal(shards, often)
-        out = _cells(docs, block.cells(np.concatenate(ids)[at], shards))
+        out = _cells(encoded["block"][0].as_py(), block.cells(np.concatenate(ids), shards))
         flags = [common.squeezed(np.packbits(often).tobytes())] + [None] * (shards - 1)
         return out.append_column("often", pa.array(flags, pa.binary()))
 
@@ -312,7 +360,7 @@ class Trie:
     """N-grams seen in training, by context and word."""
 
     def __init__(self, contexts, words, left, right, counts: np.ndarray, folder: str) -> None:
-        """``contexts``, ``words``: increasing hashes; ``left``, ``right``: their numbers, in order, for each n-gram."""
+        """``contexts``, ``words``: increasing hashes and ids; ``left``, ``right``: their numbers, in order, for each n-gram."""
         per = np.bincount(left, minlength=len(contexts))
         pointer = np.concatenate([[0], np.cumsum(per)])
         last = right[pointer[1:] - 1]  # largest successor of each context
@@ -336,17 +384,22 @@ class Trie:
         return np.where(found & (at < level.n), at, -1)
 
     def find(self, contexts: np.ndarray, words: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """Levels of the n-grams (left, right), numbers of the given hashes; 0 where not seen."""
-        context, word = self._number(self.contexts, contexts)[left], self._number(self.words, words)[right]
+        """Levels of the n-grams (left, right), numbers of the given contexts and words; 0 where not seen."""
         out = np.zeros(len(left), np.uint16)
-        known = np.flatnonzero((context >= 0) & (word >= 0))
+        if not self.contexts.n:
+            return out
+        context, word = self._number(self.contexts, contexts), self._number(self.words, words)[right]
+        # Of each context: its range of successors, and where their values begin and end.
+        pointers, bases = self.pointers.every(), self.bases.every()
+        begin, end = pointers[context], np.where(context < 0, 0, pointers[context + 1])
+        base, limit = bases[context], bases[context + 1]
+        known = np.flatnonzero((context[left] >= 0) & (word >= 0))
         for at in range(0, len(known), 1 << 18):
             some = known[at : at + (1 << 18)]
-            node = context[some]
-            begin, end, base = self.pointers.get(node), self.pointers.get(node + 1), self.bases.get(node)
-            value = base + word[some]
-            place = self.successors.successor(value, begin, end)
-            inside = np.flatnonzero((place < end) & (value < self.bases.get(node + 1)))
+            node = left[some]
+            stop, value = end[node], base[node] + word[some]
+            place = self.successors.successor(value, begin[node], stop)
+            inside = np.flatnonzero((place < stop) & (value < limit[node]))
             inside = inside[self.successors.get(place[inside]) == value[inside]]
             out[some[inside]] = self.frequencies[place[inside]]
         return out
@@ -370,10 +423,17 @@ def _grams(parts: list[bytes], order: int) -> Iterator[tuple[np.ndarray, np.ndar
             path = [np.repeat(words, many) for words in path]
 
 
+def _used(numbers: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Those of n numbers that occur, and each one's place among them."""
+    used = np.zeros(n, bool)
+    used[numbers] = True
+    return np.flatnonzero(used), (np.cumsum(used) - 1)[numbers]
+
+
 def _answer(table: pa.Table, order: int) -> pa.Table:
     """The trie of a shard, and what it says about each block's n-grams, in the order they were asked."""
     of_context, of_word, counts, singles = [], [], [], []
-    for *parts, raw in _parts(table):
+    for *parts, raw in _parts(table["parts"]):
         contexts, words = zip(*_grams(parts, order))
         singles.append(len(words[0]))
         of_context += contexts
@@ -381,16 +441,18 @@ def _answer(table: pa.Table, order: int) -> pa.Table:
         counts.append(_unpacked(raw, sum(map(len, words))))
     sizes = np.cumsum([len(c) for c in counts])
     contexts, of_context = np.unique(np.concatenate(of_context), return_inverse=True)
-    words, of_word = np.unique(np.concatenate(of_word), return_inverse=True)
-    asked, which = np.unique(of_context * max(len(words), 1) + of_word, return_inverse=True)
+    of_word = np.concatenate(of_word)
+    span = int(of_word.max(initial=0)) + 1
+    asked, which = np.unique(of_context * span + of_word, return_inverse=True)
     del of_context, of_word
     total = np.zeros(len(asked), np.int64)
     np.add.at(total, which, np.concatenate(counts))
     del counts
-    left, right = np.divmod(asked, max(len(words), 1))
+    left = asked // span
+    words, right = np.unique((asked - left * span).astype(np.uint32), return_inverse=True)
     seen = total > 0
-    some_contexts, inner_left = np.unique(left[seen], return_inverse=True)
-    some_words, inner_right = np.unique(right[seen], return_inverse=True)
+    some_contexts, inner_left = _used(left[seen], len(contexts))
+    some_words, inner_right = _used(right[seen], len(words))
     with tempfile.TemporaryDirectory(prefix="trie-") as folder:
         trie = Trie(contexts[some_contexts], words[some_words], inner_left, inner_right, total[seen], folder)
         levels = trie.find(contexts, words, left, right)
@@ -414,15 +476,15 @@ def _answer(table: pa.Table, order: int) -> pa.Table:
 def _score(order: int, shards: int, prior: float):
     """The figures of each document."""
 
-    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        block = Block(docs, order)
+    def run(encoded: pa.Table, answers: pa.Table) -> pa.Table:
+        block = Block(encoded, order)
         answers = answers.sort_by("shard")
         n, v = sum(answers["n"].to_pylist()), sum(answers["v"].to_pylist())
         block.deal(shards, _bits(common.unsqueezed(answers["often"][0].as_py()), len(block.words)))
         words, alone = len(block.words), block.order < len(block.words)  # the first level is the words
         each = np.diff(np.append(0, np.cumsum(alone))[block.begin])
         levels, exact = [], []
-        for k, (*planes, raw) in zip(each, _parts(answers)):
+        for k, (*planes, raw) in zip(each, _parts(answers["parts"])):
             levels.append(_whole(planes, np.uint16))
             exact.append(_unpacked(raw, int(k)))
         counts = [counted(level) for level in block.by_level(np.concatenate(levels))]
@@ -442,7 +504,7 @@ def _score(order: int, shards: int, prior: float):
             p = (np.minimum(counts[k][block.grams[k][0]], context) + prior * p) / (context + prior)
         return pa.table(
             {
-                "doc_id": docs["doc_id"],
+                "doc_id": block.docs,
                 "held_out": pa.array(~block.train),
                 "n_tokens": pa.array(block.sizes),
                 "n_known": pa.array(np.bincount(block.doc, counts[0][tokens] > 0, rows).astype(np.int64)),
@@ -487,16 +549,18 @@ def score(
         F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(blocks)).cast("int").alias("block"),
     )
     rows = common.map_batches(rows, _squeeze, "doc_id long, text binary, train boolean, block int")
-    rows = rows.repartition(blocks, "block")  # all passes read this one exchange
-    listed = rows.groupBy("block").applyInArrow(_list(order, lists), CELL)
+    encoded = rows.repartition(blocks, "block").groupBy("block").applyInArrow(_encode(order), ENCODED)
+    encoded = encoded.repartition(blocks, "block")  # all that follows reads this one exchange
+    listed = common.map_batches(encoded, _list(lists), CELL)
     numbers = listed.groupBy("shard").applyInArrow(_number(order, lists, block_chars // RARE), CELL)
-    asked = rows.groupBy("block").cogroup(numbers.groupBy("block")).applyInArrow(_ask(order, shards), f"{CELL}, often binary")
+    by_block = encoded.groupBy("block")
+    asked = by_block.cogroup(numbers.groupBy("block")).applyInArrow(_ask(order, shards), f"{CELL}, often binary")
     answers = asked.groupBy("shard").applyInArrow(
         lambda table: _answer(table, order), f"{CELL}, often binary, n long, v long"
     )
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return (
-        rows.groupBy("block")
+        by_block
         .cogroup(answers.groupBy("block"))
         .applyInArrow(_score(order, shards, prior), schema)
     )

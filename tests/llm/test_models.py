@@ -7,11 +7,12 @@ import tempfile
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import ODD
-from headway.llm import ngram_lm, quality
+from headway.llm import common, ngram_lm, quality
 from headway.llm.elias_fano import EliasFano
 
 
@@ -30,6 +31,17 @@ def test_elias_fano(n, top):
             assert packed.successor(want, begin, end).tolist() == brute
 
 
+@pytest.mark.parametrize("n, top", [(0, 1), (3000, 2), (40_000, 10**4)])
+def test_elias_fano_of_long_runs(n, top):
+    values = np.sort(np.random.default_rng(n).integers(0, top, n) ** 2)
+    with tempfile.TemporaryDirectory() as folder:
+        packed = EliasFano(values, folder, "x")
+        assert (packed.every() == values).all() and (packed.get(np.arange(n)) == values).all()
+        want = np.arange(top + 3)
+        found = packed.successor(want, np.zeros(len(want), np.int64), np.full(len(want), n))
+        assert not n or (found == np.searchsorted(values, want)).all()
+
+
 def lm_tokens(text):
     low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
     return [*re.findall(r"[^\x20\x09-\x0D]+", low), "\n"]
@@ -131,6 +143,43 @@ def test_a_trie_finds_what_was_seen():
     assert found == pytest.approx(want, rel=5e-4) and (found[want <= ngram_lm.EXACT] == want[want <= ngram_lm.EXACT]).all()
 
 
+def test_blocks_send_few_bytes_for_an_ngram():
+    """Beside its counts a shard needs ids of words, not hashes of contexts (8 bytes an n-gram)."""
+    random = np.random.default_rng(3)
+    texts = [b" ".join(b"w%d" % w for w in random.zipf(1.3, 2000) % 20_000) for _ in range(100)]
+    table = pa.table(
+        {
+            "block": pa.array([0] * len(texts), pa.int32()),
+            "doc_id": pa.array(range(len(texts)), pa.int64()),
+            "text": pa.array([common.squeezed(t) for t in texts], pa.binary()),
+            "train": pa.array([True] * len(texts)),
+        }
+    )
+    encoded = ngram_lm._encode(3)(table)
+    listed = ngram_lm._list(1)(encoded.to_batches()[0])
+    asked = ngram_lm._ask(3, 4)(encoded, ngram_lm._number(3, 1, 1000)(pa.Table.from_batches([listed])))
+    grams = sum(len(level.first) for level in ngram_lm.Block(encoded, 3).levels)
+    assert grams > 150_000 and asked.nbytes < 4 * grams
+
+
+@pytest.mark.parametrize("limit", [0, 3, 10**9])
+def test_shards_of_words_of_any_frequency(odd, monkeypatch, limit):
+    """All words frequent, some, or none: n-grams lie in other shards, the scores are the same."""
+    number = ngram_lm._number
+    monkeypatch.setattr(ngram_lm, "_number", lambda order, shards, _: number(order, shards, limit))
+    check_scores(ngram_lm.score(odd).collect(), ODD)
+
+
+def test_words_of_a_text():
+    random = np.random.default_rng(5)
+    texts = [bytes(random.choice(list(b"aAbB\0\x85 \t\n\x0b\x0c\r\xc3\x9c"), n).tolist()) for n in (0, 1, 7, 8, 9, 500, 4000)]
+    texts += [b"", b"x" * 8 + b" " + b"x" * 16 + b" " + b"x" * 300 + b" X" + b"x" * 299, b"a a\0 a\0\0", b" "]
+    hashes, sizes = ngram_lm.split(texts)
+    words = [w for t in texts for w in t.lower().split()]
+    assert sizes.tolist() == [len(t.split()) for t in texts] and len(hashes) == len(words)
+    assert len(set(zip(words, hashes.tolist()))) == len(set(words)) == len(set(hashes.tolist()))
+
+
 def test_language_model_over_many_blocks(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     found = ngram_lm.score(docs, block_chars=30_000).collect()
