@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
 from . import common
+from .words import Words
 
 NONE = np.int64(1) << 60
 _BEYOND = regex.compile("[^\\x00-\\u024f]").search
@@ -253,37 +254,75 @@ class Encoder:
 
 
 class IdBytes:
-    """The ids of a text as little-endian bytes, with those of words and chunks kept in bounded caches."""
+    """The ids of a text as little-endian bytes, with those of words and chunks kept in bounded caches.
+
+    Chunks are known by 126 bits of hashes: they are sorted by the first 63, and the others tell when that is not enough.
+    """
 
     def __init__(self, data: bytes) -> None:
         self.model = Model(data)
         self.kind = np.dtype("<u2" if self.model.size <= 1 << 16 else "<u4")
-        self.chunk: dict[str, bytes] = {}
         self.word: dict[str, bytes] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        self.keys, self.checks = np.zeros(0, np.uint64), np.zeros(0, np.uint64)  # hashes of chunks, the first increasing
+        self.begin, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)  # where their ids are
+        self.ids = np.zeros(0, self.kind)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         lasting = gc.isenabled()
         gc.disable()  # as above
-        if len(self.chunk) > 2 * common.CACHE_ENTRIES:
-            self.chunk.clear()
+        if len(self.keys) > 2 * common.CACHE_ENTRIES:
+            self.forget()
         if len(self.word) > common.CACHE_ENTRIES:
             self.word.clear()
-        rows = [common.chunks(t) for t in texts]
-        fresh = set().union(*rows) - self.chunk.keys()
-        plain = [c for c in fresh if c.isascii() and c.isalpha()]  # one word each
-        lower = list(map(str.lower, plain))
-        parts = [(c, self.model.parts(c)) for c in fresh.difference(plain)]
-        words = list(({w for _, part in parts for w in part}.union(lower)) - self.word.keys())
-        self.word.update(zip(words, self.model.encode_bytes(words, self.kind)))
-        get = self.word.__getitem__
-        self.chunk.update(zip(plain, map(get, lower)))
-        self.chunk.update([(c, get(part[0]) if len(part) == 1 else b"".join(map(get, part))) for c, part in parts])
-        get = self.chunk.__getitem__
-        out = [b"".join(map(get, r)) for r in rows]
+        found = Words([common.plain_spaces(t).encode() for t in texts])
+        hashes, checks = found.hashes((0, 1))
+        keys, which = np.unique(hashes, return_inverse=True)
+        example = np.empty(len(keys), np.int64)
+        example[which] = np.arange(len(which))
+        self._learn(keys, checks[example], found, example)
+        place = np.searchsorted(self.keys, keys)
+        if (self.checks[place][which] == checks).all():
+            begin, sizes = self.begin[place][which], self.sizes[place][which]
+            ends = np.cumsum(sizes)
+            at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - ends + sizes, sizes)
+            packed = self.ids[at].tobytes()
+            bounds = np.append(0, ends)[np.append(0, np.cumsum(found.per_text))] * self.kind.itemsize
+            bounds = bounds.tolist()
+            out = [packed[a:b] for a, b in zip(bounds, bounds[1:])]
+        else:  # two chunks with the same first hash
+            every = self._ids([c.decode() for c in found.bytes(np.arange(len(which)))])
+            bounds = np.append(0, np.cumsum(found.per_text)).tolist()
+            out = [b"".join(every[a:b]) for a, b in zip(bounds, bounds[1:])]
         if lasting:
             gc.enable()
         return out
 
+    def _learn(self, keys: np.ndarray, checks: np.ndarray, found: Words, example: np.ndarray) -> None:
+        """Add those of the chunks, given by increasing hashes, that are not known."""
+        place = np.searchsorted(self.keys, keys)
+        fresh = np.ones(len(keys), bool)
+        inside = place < len(self.keys)
+        fresh[inside] = self.keys[place[inside]] != keys[inside]
+        fresh = np.flatnonzero(fresh)
+        ids = self._ids([c.decode() for c in found.bytes(example[fresh])])
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.kind.itemsize
+        begin = len(self.ids) + np.cumsum(sizes) - sizes
+        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(ids), self.kind)])
+        place = place[fresh]
+        self.keys, self.checks = np.insert(self.keys, place, keys[fresh]), np.insert(self.checks, place, checks[fresh])
+        self.begin, self.sizes = np.insert(self.begin, place, begin), np.insert(self.sizes, place, sizes)
+
+    def _ids(self, chunks: list[str]) -> list[bytes]:
+        """The ids of each chunk."""
+        parts = [[c.lower()] if c.isascii() and c.isalpha() else self.model.parts(c) for c in chunks]
+        words = list({w for part in parts for w in part} - self.word.keys())
+        self.word.update(zip(words, self.model.encode_bytes(words, self.kind)))
+        get = self.word.__getitem__
+        return [get(part[0]) if len(part) == 1 else b"".join(map(get, part)) for part in parts]
+
 
 @lru_cache(1)
 def kept_bytes(data: bytes) -> IdBytes:

@@ -25,6 +25,8 @@ CACHE_ENTRIES = 600_000
 _CONTROL = re.compile("[\x1c-\x1f]")  # white space for str.split, but not for the tokenizers
 _WHITE = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+")
 
+_WIDE = re.compile("[\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]")
+
 
 _shipped: set[str] = set()
 
@@ -95,6 +97,11 @@ def vocabulary(spark: SparkSession, path: str):
         return spark.sparkContext.broadcast(file.read())
 
 
+def plain_spaces(text: str) -> str:
+    """The text with a space for each white-space character beyond ASCII."""
+    return text if text.isascii() else _WIDE.sub(" ", text)
+
+
 def chunks(text: str) -> list[str]:
     """The text's parts between white space (Unicode White_Space, as the tokenizers define it)."""
     if _CONTROL.search(text):

@@ -33,12 +33,12 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
 from .elias_fano import EliasFano, mapped
+from .words import Words, mix, whole
 
 BLOCK_CHARS = 8_000_000
 ORDER = 3
@@ -48,9 +48,6 @@ ROOT = np.zeros(1, np.uint64)  # the empty context
 RARE = 32  # a word is rare in the corpus up to the RARE-th part of ``block_chars`` occurrences
 EXACT, FINE = 1 << 14, 3_500  # counts up to EXACT are levels of their own, FINE levels to each power of ten above
 EDGE = np.log10(EXACT)
-LONG = 256  # bytes; longer words are hashed one by one
-_SPACE = np.isin(np.arange(256), list(b"\t\n\v\f\r "))
-_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)  # masks of so many bytes
 
 
 def _starts(order: int) -> list[bytes]:
@@ -58,38 +55,6 @@ def _starts(order: int) -> list[bytes]:
     return [b"\r" * n for n in range(order - 1, 0, -1)]
 
 
-def _hashed(words) -> np.ndarray:
-    return np.maximum(np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64) >> np.uint64(1), np.uint64(1))
-
-
-def _mix(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """A 63-bit hash of a pair of hashes, never that of the empty context."""
-    x = left * np.uint64(0x9E3779B97F4A7C15) + right
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return np.maximum((x ^ (x >> np.uint64(31))) >> np.uint64(1), np.uint64(1))
-
-
-def split(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The hashes of all words (A-Z in lower case, between the six white-space characters), and how many each text has."""
-    raw = b" ".join([b"", *texts, b" " * 8]).lower()
-    codes = np.frombuffer(raw, np.uint8)
-    solid = ~_SPACE[codes]
-    edges = np.flatnonzero(solid[1:] != solid[:-1]) + 1
-    begin, sizes = edges[::2], edges[1::2] - edges[::2]
-    bounds = np.cumsum([1] + [len(text) + 1 for text in texts])
-    eights = np.ndarray(len(codes) - 7, "<u8", codes, strides=(1,))  # the eight bytes from each byte on
-    hashes = sizes.astype(np.uint64)
-    live, done = np.flatnonzero(sizes <= LONG), 0
-    while len(live):  # eight bytes more of each word
-        left = sizes[live] - done
-        hashes[live] = _mix(hashes[live], eights[begin[live] + done] & _FIRST[np.minimum(left, 8)])
-        live, done = live[left > 8], done + 8
-    long = np.flatnonzero(sizes > LONG)
-    hashes[long] = _hashed(raw[a : a + n] for a, n in zip(begin[long].tolist(), sizes[long].tolist()))
-    return hashes, np.diff(np.searchsorted(begin, bounds))
-
-
 def quantised(counts: np.ndarray) -> np.ndarray:
     """Counts in 16 bits: as they are up to EXACT, by their logarithm above."""
     above = EXACT + np.rint((np.log10(np.maximum(counts, EXACT)) - EDGE) * FINE)
@@ -125,10 +90,11 @@ class Level:
 def _encode(order: int):
     """A block as one row: its texts' ids, sizes and tokens, and the hashes of its words with how often they occur."""
 
-    marks = _hashed([*_starts(order), END])
+    marks = whole([*_starts(order), END])
 
     def run(table: pa.Table) -> pa.Table:
-        words, sizes = split([common.unsqueezed(text.as_py()) for text in table["text"]])
+        found = Words([common.unsqueezed(text.as_py()) for text in table["text"]], lower=True)  # of bytes: A-Z only
+        (words,), sizes = found.hashes(), found.per_text
         hashes, which = np.unique(np.concatenate([words, marks]), return_inverse=True)
         sizes += order
         last = np.cumsum(sizes) - 1
@@ -205,7 +171,7 @@ class Block:
         for n, level in enumerate(self.levels):
             if n:
                 stays = ended[level.ending]
-                key = np.where(stays, key[level.ending], _mix(key[level.ending], self.words[level.first]))
+                key = np.where(stays, key[level.ending], mix(key[level.ending], self.words[level.first]))
                 ended = stays | ~often[level.first]
             else:
                 ended = ~often
@@ -322,7 +288,7 @@ def _number(order: int, shards: int, limit: int):
         ids[np.argsort(-total, kind="stable")] = np.arange(len(hashes))
         ids = ids * shards + table["shard"][0].as_py() + order - 1
         often = total > limit
-        for k, mark in enumerate(_hashed(_starts(order))):  # as if frequent
+        for k, mark in enumerate(whole(_starts(order))):  # as if frequent
             ids[hashes == mark], often[hashes == mark] = k, True
         if ids.size and ids.max() >= 1 << 32:
             raise ValueError("ids of words have 32 bits")
@@ -417,7 +383,7 @@ def _grams(parts: list[bytes], order: int) -> Iterator[tuple[np.ndarray, np.ndar
             many, asked, parts = _unpacked(parts[0], len(words)), _bits(parts[1], len(words)), parts[2:]
         context = np.zeros(np.count_nonzero(asked), np.uint64)  # the empty one
         for words in path[:0:-1]:
-            context = _mix(context, words[asked].astype(np.uint64))
+            context = mix(context, words[asked].astype(np.uint64))
         yield context, path[0][asked]
         if n + 1 < order:
             path = [np.repeat(words, many) for words in path]

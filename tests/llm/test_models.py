@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from conftest import ODD
 from headway.llm import common, ngram_lm, quality
 from headway.llm.elias_fano import EliasFano
+from headway.llm.words import Words
 
 
 @pytest.mark.parametrize("n, top", [(0, 1), (1, 1), (5, 3), (1000, 100), (1000, 10**6), (3000, 10**12)])
@@ -174,7 +175,11 @@ def test_words_of_a_text():
     random = np.random.default_rng(5)
     texts = [bytes(random.choice(list(b"aAbB\0\x85 \t\n\x0b\x0c\r\xc3\x9c"), n).tolist()) for n in (0, 1, 7, 8, 9, 500, 4000)]
     texts += [b"", b"x" * 8 + b" " + b"x" * 16 + b" " + b"x" * 300 + b" X" + b"x" * 299, b"a a\0 a\0\0", b" "]
-    hashes, sizes = ngram_lm.split(texts)
+    found = Words(texts, lower=True)
+    hashes, other = found.hashes((0, 1))
+    sizes = found.per_text
+    assert found.bytes(np.arange(len(hashes))) == [w for t in texts for w in t.lower().split()]
+    assert not (hashes == other).any()
     words = [w for t in texts for w in t.lower().split()]
     assert sizes.tolist() == [len(t.split()) for t in texts] and len(hashes) == len(words)
     assert len(set(zip(words, hashes.tolist()))) == len(set(words)) == len(set(hashes.tolist()))

@@ -80,6 +80,26 @@ def test_words_go_through_trees_that_stay_small(monkeypatch):
     assert len(seen) > 7 and max(seen) <= 2 << 20  # bytes
 
 
+def test_known_chunks_cost_no_object_each(monkeypatch):
+    """A chunk met before is found among sorted hashes; only the new ones of a batch are looked at as strings."""
+    asked = []
+    plain = bpe.IdBytes._ids
+    monkeypatch.setattr(bpe.IdBytes, "_ids", lambda self, chunks: asked.append(len(chunks)) or plain(self, chunks))
+    encoder = bpe.IdBytes(open(WORD, "rb").read())
+    texts = ["the cat, the  CAT\u3000the\xa0cat\n" * 50, "", "\x1c the\u2003cat, new\x1fword " * 50]
+    for k in range(2):
+        assert [np.frombuffer(x, encoder.kind).tolist() for x in encoder.encode(texts)] == [ids(t) for t in texts]
+    assert asked == [6, 0]
+
+
+def test_chunks_of_equal_hash_are_told_apart(monkeypatch):
+    hashes = bpe.Words.hashes
+    monkeypatch.setattr(bpe.Words, "hashes", lambda self, seeds: [hashes(self, seeds)[0] % np.uint64(3), hashes(self, seeds)[1]])
+    encoder = bpe.IdBytes(open(WORD, "rb").read())
+    for texts in (["one two three four", "five six one", ""], ["seven", "one"]):
+        assert [np.frombuffer(x, encoder.kind).tolist() for x in encoder.encode(texts)] == [ids(t) for t in texts]
+
+
 def test_a_full_cache_changes_nothing(spark, odd, monkeypatch):
     encoder = bpe.IdBytes(open(WORD, "rb").read())
     monkeypatch.setattr(common, "CACHE_ENTRIES", 1)
